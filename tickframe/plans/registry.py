@@ -438,3 +438,69 @@ def _seg_returns(i):
     seg = fe.per_share_features(i.fundamentals).select(
         "Instrument", "Year", "Quarter", F.floor(F.col("Revenue_Per_Share") / 100).cast("int").alias("segment"))
     return join_on_period(seg, yoy_return(ru.quarterly_avg_price(i.technicals)))
+
+
+# ---------------------------------------------------------------- P2 / P3 / P5 segments (model outputs: rows check)
+
+
+def _ratios(i):
+    return fe.pairwise_ratios(fe.per_share_features(i.fundamentals))
+
+
+@register("kmeans_segments")
+def _kmeans(i):
+    from ..operators.segments import kmeans_segments
+    return kmeans_segments(_ratios(i))
+
+
+@register("pca_features")
+def _pca(i):
+    from ..operators.segments import pca_features
+    return pca_features(_ratios(i))
+
+
+@register("clusters_with_returns")
+def _clusters_returns(i):
+    from ..operators.joins import join_on_period
+    from ..operators.segments import kmeans_segments
+    return join_on_period(kmeans_segments(_ratios(i)), yoy_return(ru.quarterly_avg_price(i.technicals)))
+
+
+def _sweep(i):
+    from ..operators.segments import kmeans_sweep
+    return kmeans_sweep(sc.value_screen(i.fundamentals, i.technicals, SCREEN), list(sc.METRICS))
+
+
+@register("kmeans_sweep")
+def _kmeans_sweep(i):
+    return _sweep(i)[0]
+
+
+@register("kmeans_silhouette")
+def _kmeans_sil(i):
+    return _sweep(i)[1]
+
+
+# ---------------------------------------------------------------- P6 linear model (rows check)
+
+
+def _lasso(i):
+    from ..operators.regress import lasso_scopes
+    return lasso_scopes(i.joined, SPLIT_YEAR, SECTOR)
+
+
+@register("lasso_fit_summary")
+def _lasso_summary(i):
+    return _lasso(i)[0]
+
+
+@register("lasso_predictions")
+def _lasso_pred(i):
+    from ..operators.regress import number_rows
+    return number_rows(_lasso(i)[1])
+
+
+@register("lasso_entity_scores")
+def _lasso_scores(i):
+    from ..operators.regress import regression_metrics
+    return regression_metrics(_lasso(i)[1], "Price_Close", "prediction", by=("Tech_Only_Pred", "Instrument"))
