@@ -24,3 +24,211 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
         F.count(F.lit(1)).alias("n_pred"),
         exact_sum(F.abs(c(value) - c("last_seen"))).alias("sum_abs_error"),
         F.avg(pct_error(c(value), c("last_seen"))).alias("mean_pct_error"))
+
+
+# ---------------------------------------------------------------------------
+# Direct multi-horizon ridge forecaster (I13, I14, I16, I19, I20), re-aimed
+# from the reference's per-company LSTM.
+#
+# Features of an anchor day t: the entity's min-max scaled closes of days
+# t-n_in+1..t, its scaled volume on day t, and a bias; targets: scaled
+# closes of days t+1..t+n_out. The fit needs only X'X and X'Y, which are
+# sums over samples: each (entity, chunk of rows) group -- its rows plus a
+# halo of n_in-1 earlier and n_out later rows -- emits partial sums per
+# scope (train / +test / +val), and one small per-entity step adds them up
+# and solves. Walk-forward evaluation uses the model of the scope before
+# each block, fed with the observed history, as the reference does.
+# ---------------------------------------------------------------------------
+
+import numpy as np  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+from ..functions.numeric import exact_avg, relative_upside  # noqa: E402
+from ..specs import ForecastParams, SplitParams  # noqa: E402
+from .sequence import minmax_scale, sequence_index  # noqa: E402
+
+
+def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFrame:
+    c = F.col
+    nb = F.floor(c("n_rows") / block)
+    nt = F.floor(nb * split.train_frac)
+    ns = F.ceil((nb - nt) * split.test_frac_of_rest)
+    return seq_df.select("*", (nt * block).alias("train_end"), ((nt + ns) * block).alias("test_end"),
+                         (nb * block).alias("all_end"))
+
+
+def _stats_fn(n_in: int, n_out: int, chunk: int):
+    import pandas as pd
+
+    d = n_in + 2
+
+    def fn(key, pdf):
+        inst, ch = key
+        pdf = pdf.sort_values("seq")
+        seq = pdf["seq"].to_numpy(np.int64)
+        x = pdf["x"].to_numpy(np.float64)
+        v = pdf["v"].to_numpy(np.float64)
+        lo = int(seq[0])
+        tr_end, te_end, all_end = (int(pdf[k].iloc[0]) for k in ("train_end", "test_end", "all_end"))
+        t0, t1 = max(ch * chunk, n_in - 1), min(ch * chunk + chunk - 1, all_end - 1 - n_out)
+        rows = []
+        if t1 >= t0 and len(seq) == seq[-1] - lo + 1:
+            win = np.lib.stride_tricks.sliding_window_view(x, n_in + n_out)
+            # sample with anchor t uses positions t-n_in+1 .. t+n_out
+            starts = np.arange(t0, t1 + 1) - (n_in - 1) - lo
+            ok = (starts >= 0) & (starts < len(win))
+            starts, anchors = starts[ok], np.arange(t0, t1 + 1)[ok]
+            if len(starts):
+                w = win[starts]
+                X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], np.ones((len(starts), 1))])
+                Y = w[:, n_in:]
+                last = anchors + n_out
+                tag = np.where(last < tr_end, 0, np.where(last < te_end, 1, 2))
+                for s in (0, 1, 2):
+                    m = tag == s
+                    if m.any():
+                        Xs, Ys = X[m], Y[m]
+                        rows.append((inst, s, int(m.sum()), (Xs.T @ Xs).ravel().tolist(), (Xs.T @ Ys).ravel().tolist()))
+        return pd.DataFrame(rows, columns=["Instrument", "scope", "n", "gram", "xty"])
+
+    schema = "Instrument string, scope int, n long, gram array<double>, xty array<double>"
+    return fn, schema, d
+
+
+def _solve_fn(d: int, n_out: int, ridge: float):
+    import pandas as pd
+
+    def fn(key, pdf):
+        inst = key[0]
+        out = []
+        g = np.zeros((d, d))
+        b = np.zeros((d, n_out))
+        n = 0
+        for s in (0, 1, 2):
+            part = pdf[pdf["scope"] == s]
+            for gr, xy, k in zip(part["gram"], part["xty"], part["n"]):
+                g += np.asarray(gr).reshape(d, d)
+                b += np.asarray(xy).reshape(d, n_out)
+                n += int(k)
+            if n > 0:
+                lam = ridge * max(np.trace(g) / d, 1e-12)
+                w = np.linalg.solve(g + lam * np.eye(d), b)
+                out.append((inst, s, n, w.ravel().tolist()))
+            else:
+                out.append((inst, s, 0, None))
+        return pd.DataFrame(out, columns=["Instrument", "scope", "n_samples", "coef"])
+
+    return fn, "Instrument string, scope int, n_samples long, coef array<double>"
+
+
+def _predict_udf(d: int, n_out: int):
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    def predict(feat, coef):
+        res = []
+        for f, w in zip(feat, coef):
+            if f is None or w is None or len(f) != d:
+                res.append(None)
+            else:
+                res.append((np.asarray(f) @ np.asarray(w).reshape(d, n_out)).tolist())
+        return pd.Series(res)
+
+    # real (not string) annotations: this module uses postponed evaluation
+    predict.__annotations__ = {"feat": pd.Series, "coef": pd.Series, "return": pd.Series}
+    return pandas_udf(predict, "array<double>")
+
+
+def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
+                      split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument"):
+    """Fit, walk forward and forecast every entity. Returns
+    ``(results, details)``: one row per entity (metrics, forecast, upside;
+    entities too short to model keep null metrics) and one row per
+    predicted test/validation day (``forecast_vs_actual``)."""
+    c = F.col
+    split = split or SplitParams(window=p.block)
+    scaled = minmax_scale(series.select(entity, "Date", "Price_Close", "Volume"), ["Price_Close", "Volume"], entity)
+    seq = sequence_index(scaled.select(entity, "Date", "Price_Close", c("Price_Close_scaled").alias("x"),
+                                       c("Volume_scaled").alias("v"), "Price_Close_min", "Price_Close_max"),
+                         entity=entity)
+    seq = _block_bounds(seq, p.block, split)
+
+    # partial sufficient statistics per (entity, chunk) with halo rows
+    first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
+    last = F.floor((c("seq") + p.n_in - 1) / chunk)
+    halo = seq.select(entity, "seq", "x", "v", "train_end", "test_end", "all_end",
+                      F.explode(F.sequence(first, last)).alias("chunk"))
+    sfn, sschema, d = _stats_fn(p.n_in, p.n_out, chunk)
+    partial = halo.groupBy(entity, "chunk").applyInPandas(sfn, sschema)
+    solve, solve_schema = _solve_fn(d, p.n_out, p.ridge)
+    models = partial.groupBy(entity).applyInPandas(solve, solve_schema)
+
+    # anchors: day before each test / validation block, and the last day
+    ent = seq.select(entity, "n_rows", "train_end", "test_end", "all_end", "Price_Close_min",
+                     "Price_Close_max").dropDuplicates([entity])
+    test_a = ent.select(entity, F.lit("test").alias("split"), F.lit(0).alias("scope"),
+                        F.explode(F.sequence(c("train_end"), c("test_end") - 1, F.lit(p.block))).alias("block_start"))
+    val_a = ent.select(entity, F.lit("val").alias("split"), F.lit(1).alias("scope"),
+                       F.explode(F.sequence(c("test_end"), c("all_end") - 1, F.lit(p.block))).alias("block_start"))
+    fut_a = ent.where(c("all_end") > 0).select(entity, F.lit("future").alias("split"), F.lit(2).alias("scope"),
+                                               c("all_end").alias("block_start"))
+    anchors = (test_a.unionByName(val_a).unionByName(fut_a)
+               .where(c("block_start") >= p.n_in))
+    lags = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(p.n_in - 1))).alias("k"))
+    lags = lags.withColumn("seq", c("block_start") - 1 - c("k"))
+    xs = seq.select(entity, "seq", "x", "v")
+    feats = (lags.join(xs, [entity, "seq"])
+             .groupBy(entity, "split", "scope", "block_start")
+             .agg(F.sort_array(F.collect_list(F.struct(F.lit(0) - c("k"), "x", "v"))).alias("h")))
+    feats = feats.select(entity, "split", "scope", "block_start",
+                         F.concat(F.transform("h", lambda s: s["x"]),
+                                  F.array(F.element_at(c("h"), -1)["v"], F.lit(1.0))).alias("feat"))
+    pred = feats.join(models, [entity, "scope"]).join(ent.select(entity, "Price_Close_min", "Price_Close_max"), entity)
+    pred = pred.withColumn("yhat", _predict_udf(d, p.n_out)(c("feat"), c("coef")))
+    lo, hi = c("Price_Close_min"), c("Price_Close_max")
+    steps = pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), lo, hi)
+    steps = steps.select(entity, "split", "block_start", "h", (c("ps") * (hi - lo) + lo).alias("predicted"))
+
+    # evaluated days: the first n_out days of each test / validation block
+    actual = seq.select(entity, "seq", "Date", c("Price_Close").alias("actual"))
+    details = (steps.where(c("split") != "future")
+               .withColumn("seq", c("block_start") + c("h"))
+               .join(actual, [entity, "seq"])
+               .select(entity, "split", "block_start", "h", "Date", "actual", "predicted"))
+    err = F.abs(c("predicted") - c("actual"))
+    pct = F.try_divide(err * 100.0, c("actual"))
+    metrics = details.groupBy(entity).agg(
+        F.avg(F.when(c("split") == "test", pct)).alias("test_pct_err"),
+        F.avg(F.when(c("split") == "val", pct)).alias("val_pct_err"),
+        F.sum(F.when(c("split") == "test", err)).alias("test_sum_abs_error"),
+        F.sum(F.when(c("split") == "val", err)).alias("val_sum_abs_error"))
+    future = (steps.where((c("split") == "future") & (c("h") >= p.n_out - p.tail_forecast))
+              .groupBy(entity).agg(F.avg("predicted").alias("future_predicted_price")))
+    recent = (seq.where(c("seq") >= c("n_rows") - p.tail_price)
+              .groupBy(entity).agg(exact_avg("Price_Close").alias("recent_price")))
+    nsamp = models.where(c("scope") == 2).select(entity, "n_samples")
+    res = (ent.select(entity, "n_rows").join(nsamp, entity, "left").join(metrics, entity, "left")
+           .join(future, entity, "left").join(recent, entity, "left"))
+    res = res.withColumn("potential_upside", relative_upside("future_predicted_price", "recent_price"))
+    return res, details
+
+
+def entity_forecast_result(res: DataFrame, baseline_err: DataFrame | None = None,
+                           entity: str = "Instrument") -> DataFrame:
+    """The reference's eight declared float columns (its ``training_*``
+    columns held test-block results and ``test_*`` validation results) next
+    to correctly named ones."""
+    c = F.col
+    if baseline_err is not None:
+        res = res.join(baseline_err.select(entity, c("mean_pct_error").alias("simple_model_pct_err")), entity, "left")
+    else:
+        res = res.withColumn("simple_model_pct_err", F.lit(None).cast("double"))
+    return res.select(
+        entity, "n_rows", "n_samples", "test_pct_err", "val_pct_err", "test_sum_abs_error", "val_sum_abs_error",
+        c("test_pct_err").cast("float").alias("training_pct_err"),
+        c("val_pct_err").cast("float").alias("val_pct_err_f"),
+        c("simple_model_pct_err").cast("float").alias("simple_model_pct_err"),
+        c("test_sum_abs_error").cast("float").alias("training_RMSE_sum"),
+        c("val_sum_abs_error").cast("float").alias("test_RMSE_sum"),
+        c("future_predicted_price").cast("float").alias("future_predicted_price"),
+        c("potential_upside").cast("float").alias("potential_upside"))

@@ -504,3 +504,36 @@ def _lasso_pred(i):
 def _lasso_scores(i):
     from ..operators.regress import regression_metrics
     return regression_metrics(_lasso(i)[1], "Price_Close", "prediction", by=("Tech_Only_Pred", "Instrument"))
+
+
+# ---------------------------------------------------------------- P7 dense model (rows check)
+
+DENSE_EPOCHS = 3
+
+
+@register("dense_entity_scores")
+def _dense_scores(i):
+    from ..operators.dense import dense_scope
+    from ..operators.regress import regression_metrics
+    pred = dense_scope(i.joined, SPLIT_YEAR, SECTOR, epochs=DENSE_EPOCHS)
+    return regression_metrics(pred, "Price_Close", "prediction")
+
+
+# ---------------------------------------------------------------- P8 forecaster (rows check)
+
+
+def _forecast(i):
+    from ..operators.forecast import forecast_entities
+    return forecast_entities(i.technicals, FORECAST, BLOCKS)
+
+
+@register("entity_forecast")
+def _entity_forecast(i):
+    from ..operators.forecast import entity_forecast_result
+    res, _ = _forecast(i)
+    return entity_forecast_result(res, bl.growth_baseline_error(bl.growth_baseline(i.technicals)))
+
+
+@register("forecast_vs_actual")
+def _forecast_vs_actual(i):
+    return _forecast(i)[1]
