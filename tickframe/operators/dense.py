@@ -161,19 +161,21 @@ def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 2
     train, test = scopes[True]
     feats = feature_columns(joined)
     asm = VectorAssembler(inputCols=feats, outputCol="raw", handleInvalid="keep")
-    tr = asm.transform(prepare(train, feats))
+    # read by the scaler fit, the label statistics and the first epoch
+    tr = asm.transform(prepare(train, feats)).persist(StorageLevel.MEMORY_AND_DISK)
     scaler = StandardScaler(inputCol="raw", outputCol="sf", withMean=True, withStd=True).fit(tr)
     stats = tr.agg(F.avg(TARGET).alias("m"), F.stddev_samp(TARGET).alias("s")).first()
     y_mean = float(stats["m"] or 0.0)
     y_std = float(stats["s"] or 1.0) or 1.0
 
-    def rows(df):
-        out = scaler.transform(asm.transform(prepare(df, feats)))
+    def rows(df, assembled=None):
+        out = scaler.transform(assembled if assembled is not None else asm.transform(prepare(df, feats)))
         return out.select("Instrument", "Date", TARGET, vector_to_array("sf").alias("x"),
                           ((F.col(TARGET) - y_mean) / y_std).alias("y"))
 
-    tr_rows = rows(train)
+    tr_rows = rows(train, tr)
     if partitions:
         tr_rows = tr_rows.repartition(partitions)
     flat = fit_dense(tr_rows, len(feats), hidden, epochs=epochs, seed=seed)
+    tr.unpersist()
     return predict_dense(rows(test), flat, len(feats), hidden, y_mean=y_mean, y_std=y_std)

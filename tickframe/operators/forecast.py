@@ -41,7 +41,7 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
 # ---------------------------------------------------------------------------
 
 import numpy as np  # noqa: E402
-from pyspark.sql import Window  # noqa: E402
+from pyspark import StorageLevel  # noqa: E402
 
 from ..functions.numeric import exact_avg, relative_upside  # noqa: E402
 from ..specs import ForecastParams, SplitParams  # noqa: E402
@@ -151,7 +151,9 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     seq = sequence_index(scaled.select(entity, "Date", "Price_Close", c("Price_Close_scaled").alias("x"),
                                        c("Volume_scaled").alias("v"), "Price_Close_min", "Price_Close_max"),
                          entity=entity)
-    seq = _block_bounds(seq, p.block, split)
+    # read by six branches below: computed once, spilled to disk if needed,
+    # and recomputed from lineage if an executor holding it is lost
+    seq = _block_bounds(seq, p.block, split).persist(StorageLevel.MEMORY_AND_DISK)
 
     # partial sufficient statistics per (entity, chunk) with halo rows
     first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
