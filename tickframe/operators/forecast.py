@@ -57,6 +57,11 @@ def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFram
                          (nb * block).alias("all_end"))
 
 
+def _steps(start, end, step: int):
+    """Block starts in [start, end); null (no rows) when the range is empty."""
+    return F.when(end > start, F.sequence(start, end - 1, F.lit(step).cast("long")))
+
+
 def _stats_fn(n_in: int, n_out: int, chunk: int):
     import pandas as pd
 
@@ -169,9 +174,9 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     ent = seq.select(entity, "n_rows", "train_end", "test_end", "all_end", "Price_Close_min",
                      "Price_Close_max").dropDuplicates([entity])
     test_a = ent.select(entity, F.lit("test").alias("split"), F.lit(0).alias("scope"),
-                        F.explode(F.sequence(c("train_end"), c("test_end") - 1, F.lit(p.block))).alias("block_start"))
+                        F.explode(_steps(c("train_end"), c("test_end"), p.block)).alias("block_start"))
     val_a = ent.select(entity, F.lit("val").alias("split"), F.lit(1).alias("scope"),
-                       F.explode(F.sequence(c("test_end"), c("all_end") - 1, F.lit(p.block))).alias("block_start"))
+                       F.explode(_steps(c("test_end"), c("all_end"), p.block)).alias("block_start"))
     fut_a = ent.where(c("all_end") > 0).select(entity, F.lit("future").alias("split"), F.lit(2).alias("scope"),
                                                c("all_end").alias("block_start"))
     anchors = (test_a.unionByName(val_a).unionByName(fut_a)
