@@ -36,6 +36,17 @@ def exact_avg(c, scale: int | None = 2) -> Column:
     return F.try_divide(exact_sum(x, scale), F.count(x).cast("double"))
 
 
+STAT_SCALE = 12
+
+
+def exact_moments(c, scale: int = STAT_SCALE):
+    """(n, sum, sum of squares) of a double column, accumulated in decimal so
+    the result is independent of row order. Each value is first rounded to
+    ``scale`` decimals (the decimal form of its shortest representation)."""
+    x = _col(c)
+    return F.count(x), exact_sum(x, scale), exact_sum(x * x, scale)
+
+
 def pct_error(actual, predicted) -> Column:
     """Absolute percent error ``100*|a-p|/a`` (H9); null when ``a`` is 0."""
     a, p = _col(actual), _col(predicted)

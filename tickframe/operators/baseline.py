@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg, pct_error, safe_div
+from ..functions.numeric import STAT_SCALE, exact_avg, pct_error, safe_div
 
 
 def yearly_means(prices: DataFrame, entity: str = "Instrument", date: str = "Date",
@@ -50,5 +50,5 @@ def growth_baseline_error(baseline: DataFrame, entity: str = "Instrument",
     err = c(value) - c("next_year_price")
     return baseline.groupBy(entity).agg(
         F.count(F.lit(1)).alias("n_days"),
-        F.avg(err * err).alias("mse"),
-        F.avg(pct_error(c(value), c("next_year_price"))).alias("mean_pct_error"))
+        exact_avg(err * err, STAT_SCALE).alias("mse"),
+        exact_avg(pct_error(c(value), c("next_year_price")), STAT_SCALE).alias("mean_pct_error"))

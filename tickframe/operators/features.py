@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import safe_div
+from ..functions.numeric import exact_moments, safe_div
 
 # The statement measures the reference puts on a per-share
 # basis, the divisor, and the measures that are already per share.
@@ -54,10 +54,17 @@ def pairwise_ratios(per_share: DataFrame, features=None, keys=KEYS) -> DataFrame
 def standardize(df: DataFrame, cols, fit: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
     """I2 as SQL: ``(x - mean) / stddev_samp`` with the statistics of ``fit``
     (the training rows; default ``df``) from a single scalar subquery that
-    Spark evaluates once and inlines, so no join is needed."""
+    Spark evaluates once and inlines, so no join is needed. Moments are
+    order-independent decimal sums."""
     fit = fit if fit is not None else df
-    stats = fit.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(f"c{i}")
-                               for i, c in enumerate(cols)]).alias("stats")).scalar()
+
+    def mean_sd(c):
+        n, s1, s2 = exact_moments(c)
+        nd = n.cast("double")
+        var = F.try_divide(s2 - F.try_divide(s1 * s1, nd), nd - 1.0)
+        return F.struct(F.try_divide(s1, nd).alias("m"), F.sqrt(var).alias("s"))
+
+    stats = fit.agg(F.struct(*[mean_sd(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("stats")).scalar()
     return df.select("*", *[safe_div(F.col(c) - stats.getField(f"c{i}").getField("m"),
                                      stats.getField(f"c{i}").getField("s")).alias(f"{c}{suffix}")
                             for i, c in enumerate(cols)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, pct_error
+from ..functions.numeric import STAT_SCALE, exact_avg, exact_sum, pct_error
 
 
 def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str = "Price_Close",
@@ -23,7 +23,7 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
     return j.groupBy(entity, "split").agg(
         F.count(F.lit(1)).alias("n_pred"),
         exact_sum(F.abs(c(value) - c("last_seen"))).alias("sum_abs_error"),
-        F.avg(pct_error(c(value), c("last_seen"))).alias("mean_pct_error"))
+        exact_avg(pct_error(c(value), c("last_seen")), STAT_SCALE).alias("mean_pct_error"))
 
 
 # ---------------------------------------------------------------------------
@@ -43,7 +43,7 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
 import numpy as np  # noqa: E402
 from pyspark import StorageLevel  # noqa: E402
 
-from ..functions.numeric import exact_avg, relative_upside  # noqa: E402
+from ..functions.numeric import relative_upside  # noqa: E402
 from ..specs import ForecastParams, SplitParams  # noqa: E402
 from .sequence import minmax_scale, sequence_index  # noqa: E402
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct_error
+from ..functions.numeric import STAT_SCALE, exact_sum, pct_error
 from .sequence import sequence_index
 
 # Columns the reference excludes from the regression features.
@@ -59,14 +59,20 @@ def prepare(df: DataFrame, features, target: str = TARGET, keep=("Instrument", "
 
 def regression_metrics(pred: DataFrame, actual: str, predicted: str, by=("Instrument",)) -> DataFrame:
     """Per group n, SSE, MSE, RMSE, sum of absolute errors and the
-    centred R^2 (SST from the one-pass, mergeable population variance)."""
-    a, p = F.col(actual), F.col(predicted)
+    centred R^2, all from one pass of order-independent decimal sums
+    (SST = sum(a^2) - sum(a)^2 / n, evaluated exactly before the final
+    conversion to double)."""
+    c = F.col
+    a, p = c(actual), c(predicted)
     e = a - p
-    g = pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
-                              F.avg(e * e).alias("mse"), F.sum(F.abs(e)).alias("sum_abs_error"),
-                              (F.var_pop(a) * F.count(a)).alias("_sst"))
-    return g.select(*by, "n", "sse", "mse", F.sqrt("mse").alias("rmse"), "sum_abs_error",
-                    (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("_sst"))).alias("r2"))
+    g = pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), exact_sum(e * e, STAT_SCALE).alias("sse"),
+                              exact_sum(F.abs(e), STAT_SCALE).alias("sum_abs_error"),
+                              exact_sum(a, STAT_SCALE).alias("_sa"), exact_sum(a * a, STAT_SCALE).alias("_saa"))
+    n = c("n").cast("double")
+    mse = F.try_divide(c("sse"), n)
+    sst = c("_saa") - F.try_divide(c("_sa") * c("_sa"), n)
+    return g.select(*by, "n", "sse", mse.alias("mse"), F.sqrt(mse).alias("rmse"), "sum_abs_error",
+                    (F.lit(1.0) - F.try_divide(c("sse"), sst)).alias("r2"))
 
 
 def fit_lasso(train: DataFrame, features, target: str = TARGET, max_iter: int = 300, reg: float = 1.0,

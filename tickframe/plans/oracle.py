@@ -18,6 +18,19 @@ def AVG2(x, scale=2):
     return f"CAST(SUM(CAST({x} AS DECIMAL(38,{scale}))) AS DOUBLE) / CAST(COUNT({x}) AS DOUBLE)"
 
 
+def DEC(x, scale=12):
+    """Spark's double -> decimal cast (via the shortest decimal form)."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,{scale}))"
+
+
+def DSUM(x, scale=12):
+    return f"CAST(SUM({DEC(x, scale)}) AS DOUBLE)"
+
+
+def DAVG(x, scale=12):
+    return f"{DSUM(x, scale)} / CAST(COUNT({x}) AS DOUBLE)"
+
+
 CTES = {
     "technicals_raw": TECHNICALS_RAW_SQL,
     "fundamentals_raw": FUNDAMENTALS_RAW_SQL,
@@ -51,7 +64,7 @@ CTES = {
         {AVG2('Normalized_Income_Avail_to_Cmn_Shareholders')} AS earnings_avg,
         {SUM2('Gross_Dividends___Common_Stock')} AS dividends_sum,
         {AVG2('Total_Common_Shares_Outstanding')} AS shares_avg,
-        {AVG2('Book_Value_Per_Share', 10)} AS book_per_share_avg
+        {DAVG('Book_Value_Per_Share', 10)} AS book_per_share_avg
       FROM fundamentals GROUP BY Instrument, YEAR(Date)) y""",
     "latest": f"""SELECT Instrument, MAX_BY(Price_Close, Date) AS Price FROM technicals
         WHERE YEAR(Date) = {SCREEN.current_year} GROUP BY Instrument""",
@@ -161,5 +174,5 @@ def ratios_select() -> str:
             f"WHERE {notnull}")
 
 
-__all__ = ["with_ctes", "screen_body", "per_share_select", "ratios_select", "SUM2", "AVG2",
+__all__ = ["with_ctes", "screen_body", "per_share_select", "ratios_select", "SUM2", "AVG2", "DSUM", "DAVG",
            "BLOCKS", "ENTITIES", "FORECAST", "SCREEN", "SECTOR", "SPLIT_YEAR"]

@@ -236,9 +236,9 @@ def _baseline(i):
     return bl.growth_baseline(i.technicals)
 
 
-@register("growth_baseline_error", W(["baseline"], """SELECT Instrument, COUNT(*) AS n_days,
-    AVG((Price_Close - next_year_price) * (Price_Close - next_year_price)) AS mse,
-    AVG(ABS(Price_Close - next_year_price) * 100 / NULLIF(Price_Close, 0)) AS mean_pct_error
+@register("growth_baseline_error", W(["baseline"], f"""SELECT Instrument, COUNT(*) AS n_days,
+    {O.DAVG('(Price_Close - next_year_price) * (Price_Close - next_year_price)')} AS mse,
+    {O.DAVG('ABS(Price_Close - next_year_price) * 100 / NULLIF(Price_Close, 0)')} AS mean_pct_error
     FROM baseline GROUP BY Instrument"""))
 def _baseline_err(i):
     return bl.growth_baseline_error(bl.growth_baseline(i.technicals))
@@ -252,11 +252,12 @@ def _pct_error(i):
                     pct_error("Price_Close", "next_year_price").alias("Error_Pct"))
 
 
-@register("regression_metrics", W(["baseline"], """SELECT Instrument, COUNT(*) AS n,
-    SUM(e * e) AS sse, AVG(e * e) AS mse, SQRT(AVG(e * e)) AS rmse, SUM(ABS(e)) AS sum_abs_error,
-    1 - SUM(e * e) / NULLIF(SUM((a - ma) * (a - ma)), 0) AS r2
-    FROM (SELECT Instrument, Price_Close AS a, Price_Close - next_year_price AS e,
-                 AVG(Price_Close) OVER (PARTITION BY Instrument) AS ma FROM baseline) x GROUP BY Instrument"""))
+@register("regression_metrics", W(["baseline"], f"""SELECT Instrument, n, sse, sse / n AS mse, SQRT(sse / n) AS rmse,
+    sum_abs_error, 1 - sse / NULLIF(saa - sa * sa / n, 0) AS r2 FROM (
+    SELECT Instrument, COUNT(*) AS n, {O.DSUM('e * e')} AS sse, {O.DSUM('ABS(e)')} AS sum_abs_error,
+      {O.DSUM('a')} AS sa, {O.DSUM('a * a')} AS saa
+    FROM (SELECT Instrument, Price_Close AS a, Price_Close - next_year_price AS e FROM baseline) x
+    GROUP BY Instrument) g"""))
 def _reg_metrics(i):
     from ..operators.regress import regression_metrics
     return regression_metrics(bl.growth_baseline(i.technicals), "Price_Close", "next_year_price")
@@ -338,7 +339,7 @@ def _upside(i):
 
 @register("walk_forward_naive", W(["seqd"], f"""SELECT Instrument, split, COUNT(*) AS n_pred,
     {O.SUM2('ABS(Price_Close - last_seen)')} AS sum_abs_error,
-    AVG(ABS(Price_Close - last_seen) * 100 / NULLIF(Price_Close, 0)) AS mean_pct_error FROM (
+    {O.DAVG('ABS(Price_Close - last_seen) * 100 / NULLIF(Price_Close, 0)')} AS mean_pct_error FROM (
       SELECT b.*, h.Price_Close AS last_seen FROM (
         SELECT *, CASE WHEN block_id < nt THEN 'train' WHEN block_id < nt + ns THEN 'test' ELSE 'val' END AS split,
                block_id * {BLOCKS.window} AS block_start FROM (
@@ -372,7 +373,9 @@ _STD_COLS = ["Revenue_Per_Share", "Book_Value_Per_Share", "EBIT_per_share"]
 
 @register("standardize", W(["fundamentals"], "SELECT p.*, " + ", ".join(
     f"({c} - m{k}) / NULLIF(s{k}, 0) AS {c}_z" for k, c in enumerate(_STD_COLS)) + f" FROM ({O.per_share_select()}) p, ("
-    "SELECT " + ", ".join(f"AVG({c}) AS m{k}, STDDEV_SAMP({c}) AS s{k}" for k, c in enumerate(_STD_COLS))
+    "SELECT " + ", ".join(f"{O.DSUM(c)} / CAST(COUNT({c}) AS DOUBLE) AS m{k}, SQRT(({O.DSUM(f'{c} * {c}')} - "
+                          f"{O.DSUM(c)} * {O.DSUM(c)} / CAST(COUNT({c}) AS DOUBLE)) / (CAST(COUNT({c}) AS DOUBLE) - 1)) AS s{k}"
+                          for k, c in enumerate(_STD_COLS))
     + f" FROM ({O.per_share_select()}) t WHERE Year < {SPLIT_YEAR}) st"))
 def _standardize(i):
     ps = fe.per_share_features(i.fundamentals)
