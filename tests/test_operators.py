@@ -145,3 +145,21 @@ def test_repartitioning_does_not_change_exact_results(spark):
     a = sorted(map(tuple, yoy_return(ru.quarterly_avg_price(df.repartition(1))).collect()))
     b = sorted(map(tuple, yoy_return(ru.quarterly_avg_price(df.repartition(7))).collect()))
     assert a == b
+
+
+def test_sequence_index_with_one_dominant_entity(spark):
+    """A third of the rows in one entity: numbering equals a plain row_number."""
+    from pyspark.sql import Window
+
+    start = dt.date(2000, 1, 1)
+    rows = [("HOT", start + dt.timedelta(days=i), float(i % 97)) for i in range(3000)]
+    rows += [("E%d" % (i % 40), start + dt.timedelta(days=i // 40), float(i % 13)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "Instrument string, Date date, Price_Close double").repartition(6)
+    got = sq.sequence_index(df, running={"cum": "Price_Close"})
+    w = Window.partitionBy("Instrument").orderBy("Date")
+    ref = df.select("Instrument", "Date", (F.row_number().over(w) - 1).alias("seq"),
+                    F.sum(F.col("Price_Close").cast("decimal(38,2)")).over(
+                        w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    a = sorted((r.Instrument, r.Date, r.seq, r.cum) for r in got.select("Instrument", "Date", "seq", "cum").collect())
+    b = sorted((r.Instrument, r.Date, r.seq, r.cum) for r in ref.collect())
+    assert a == b

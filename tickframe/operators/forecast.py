@@ -94,12 +94,34 @@ def _stats_fn(n_in: int, n_out: int, chunk: int):
                     if m.any():
                         Xs, Ys = X[m], Y[m]
                         rows.append((inst, s, int(m.sum()), (Xs.T @ Xs).ravel().tolist(), (Xs.T @ Ys).ravel().tolist()))
-        return pd.DataFrame(rows, columns=["Instrument", "scope", "n", "gram", "xty"])
+        return pd.DataFrame([(r[0], r[1], int(ch), r[2], r[3], r[4]) for r in rows],
+                            columns=["Instrument", "scope", "chunk", "n", "gram", "xty"])
 
-    schema = "Instrument string, scope int, n long, gram array<double>, xty array<double>"
+    schema = "Instrument string, scope int, chunk long, n long, gram array<double>, xty array<double>"
     return fn, schema, d
 
 
+def _tree_sum(partial: DataFrame, fanin: int, levels: int) -> DataFrame:
+    """Sum partial (gram, xty, n) rows of the same (entity, scope) in rounds,
+    each over groups of ``fanin`` consecutive chunk ids."""
+    import pandas as pd
+
+    def add(key, pdf):
+        inst, scope, grp = key
+        g = np.sum(np.stack([np.asarray(a) for a in pdf["gram"]]), axis=0)
+        b = np.sum(np.stack([np.asarray(a) for a in pdf["xty"]]), axis=0)
+        return pd.DataFrame({"Instrument": [inst], "scope": [scope], "chunk": [grp], "n": [int(pdf["n"].sum())],
+                             "gram": [g.tolist()], "xty": [b.tolist()]})
+
+    out = partial
+    for _ in range(levels):
+        out = (out.withColumn("_grp", F.floor(F.col("chunk") / fanin))
+                  .groupBy("Instrument", "scope", "_grp")
+                  .applyInPandas(add, "Instrument string, scope int, chunk long, n long, "
+                                      "gram array<double>, xty array<double>"))
+    return out
+
+
 def _solve_fn(d: int, n_out: int, ridge: float):
     import pandas as pd
 
@@ -145,12 +167,20 @@ def _predict_udf(d: int, n_out: int):
 
 
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
-                      split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument"):
-    """Fit, walk forward and forecast every entity. Returns
+                      split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument",
+                      fanin: int = 64, levels: int = 2):
+    """Fit, walk forward and forecast every entity. Partial statistics are
+    summed in ``levels`` rounds of ``fanin`` chunks before the per-entity
+    solve, so no group holds more than ``fanin`` (or, at the solve, about
+    ``3 * chunks / fanin**levels``) matrices. Returns
     ``(results, details)``: one row per entity (metrics, forecast, upside;
     entities too short to model keep null metrics) and one row per
     predicted test/validation day (``forecast_vs_actual``)."""
     c = F.col
+    if entity != "Instrument":  # the grouped NumPy steps use the column name
+        res, det = forecast_entities(series.withColumnRenamed(entity, "Instrument"), p, split, chunk,
+                                     "Instrument", fanin, levels)
+        return res.withColumnRenamed("Instrument", entity), det.withColumnRenamed("Instrument", entity)
     split = split or SplitParams(window=p.block)
     scaled = minmax_scale(series.select(entity, "Date", "Price_Close", "Volume"), ["Price_Close", "Volume"], entity)
     seq = sequence_index(scaled.select(entity, "Date", "Price_Close", c("Price_Close_scaled").alias("x"),
@@ -167,6 +197,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                       F.explode(F.sequence(first, last)).alias("chunk"))
     sfn, sschema, d = _stats_fn(p.n_in, p.n_out, chunk)
     partial = halo.groupBy(entity, "chunk").applyInPandas(sfn, sschema)
+    partial = _tree_sum(partial, fanin, levels)
     solve, solve_schema = _solve_fn(d, p.n_out, p.ridge)
     models = partial.groupBy(entity).applyInPandas(solve, solve_schema)
 
