@@ -63,3 +63,9 @@ def test_forecaster_tracks_a_smooth_series(spark):
     counts = {r.split: r["count"] for r in details.where("Instrument = 'A'").groupBy("split").count().collect()}
     assert counts == {"test": 10, "val": 10}
     assert details.where(F.col("predicted").isNull()).count() == 0
+    # summing the partial statistics in several rounds changes nothing
+    res2, _ = forecast_entities(df, p, SplitParams(window=30), chunk=32, fanin=2)
+    again = {r.Instrument: r for r in res2.collect()}
+    for e in ("A", "B"):
+        assert abs(again[e].test_pct_err - got[e].test_pct_err) < 1e-6
+        assert again[e].n_samples == got[e].n_samples

@@ -168,11 +168,11 @@ def _predict_udf(d: int, n_out: int):
 
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                       split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument",
-                      fanin: int = 64, levels: int = 2):
+                      fanin: int = 64, levels: int | None = None):
     """Fit, walk forward and forecast every entity. Partial statistics are
     summed in ``levels`` rounds of ``fanin`` chunks before the per-entity
-    solve, so no group holds more than ``fanin`` (or, at the solve, about
-    ``3 * chunks / fanin**levels``) matrices. Returns
+    solve (by default as many rounds as the longest history needs), so no
+    group ever holds more than about ``3 * fanin`` matrices. Returns
     ``(results, details)``: one row per entity (metrics, forecast, upside;
     entities too short to model keep null metrics) and one row per
     predicted test/validation day (``forecast_vs_actual``)."""
@@ -197,6 +197,13 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                       F.explode(F.sequence(first, last)).alias("chunk"))
     sfn, sschema, d = _stats_fn(p.n_in, p.n_out, chunk)
     partial = halo.groupBy(entity, "chunk").applyInPandas(sfn, sschema)
+    if levels is None:
+        # rounds needed for the longest history: one small aggregate over the
+        # persisted sequence table (planning metadata, like a model fit)
+        longest = seq.agg(F.max("n_rows")).first()[0] or 0
+        chunks, levels = -(-int(longest) // chunk), 0
+        while chunks > fanin:
+            chunks, levels = -(-chunks // fanin), levels + 1
     partial = _tree_sum(partial, fanin, levels)
     solve, solve_schema = _solve_fn(d, p.n_out, p.ridge)
     models = partial.groupBy(entity).applyInPandas(solve, solve_schema)
