@@ -63,6 +63,10 @@ def test_forecaster_tracks_a_smooth_series(spark):
     counts = {r.split: r["count"] for r in details.where("Instrument = 'A'").groupBy("split").count().collect()}
     assert counts == {"test": 10, "val": 10}
     assert details.where(F.col("predicted").isNull()).count() == 0
+    # training-only scaling bounds and the reference's percent-error form
+    res3, _ = forecast_entities(df, p, SplitParams(window=30), chunk=64, fit_on="train", pct_denominator="prediction")
+    alt = {r.Instrument: r for r in res3.collect()}
+    assert alt["A"].test_pct_err < 5.0 and alt["T"].test_pct_err is None
     # summing the partial statistics in several rounds changes nothing
     res2, _ = forecast_entities(df, p, SplitParams(window=30), chunk=32, fanin=2)
     again = {r.Instrument: r for r in res2.collect()}

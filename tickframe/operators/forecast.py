@@ -45,7 +45,8 @@ from pyspark import StorageLevel  # noqa: E402
 
 from ..functions.numeric import relative_upside  # noqa: E402
 from ..specs import ForecastParams, SplitParams  # noqa: E402
-from .sequence import minmax_scale, sequence_index  # noqa: E402
+from ..functions.numeric import minmax  # noqa: E402
+from .sequence import sequence_index  # noqa: E402
 
 
 def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFrame:
@@ -87,6 +88,8 @@ def _stats_fn(n_in: int, n_out: int, chunk: int):
                 w = win[starts]
                 X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], np.ones((len(starts), 1))])
                 Y = w[:, n_in:]
+                fin = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)  # unscalable rows
+                X, Y, anchors = X[fin], Y[fin], anchors[fin]
                 last = anchors + n_out
                 tag = np.where(last < tr_end, 0, np.where(last < te_end, 1, 2))
                 for s in (0, 1, 2):
@@ -168,27 +171,37 @@ def _predict_udf(d: int, n_out: int):
 
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                       split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument",
-                      fanin: int = 64, levels: int | None = None):
+                      fanin: int = 64, levels: int | None = None, fit_on: str = "all",
+                      pct_denominator: str = "actual"):
     """Fit, walk forward and forecast every entity. Partial statistics are
     summed in ``levels`` rounds of ``fanin`` chunks before the per-entity
     solve (by default as many rounds as the longest history needs), so no
     group ever holds more than about ``3 * fanin`` matrices. Returns
     ``(results, details)``: one row per entity (metrics, forecast, upside;
     entities too short to model keep null metrics) and one row per
-    predicted test/validation day (``forecast_vs_actual``)."""
+    predicted test/validation day (``forecast_vs_actual``). ``pct_denominator=
+    'prediction'`` reproduces the reference's swapped percent-error
+    arguments (S17)."""
     c = F.col
     if entity != "Instrument":  # the grouped NumPy steps use the column name
         res, det = forecast_entities(series.withColumnRenamed(entity, "Instrument"), p, split, chunk,
-                                     "Instrument", fanin, levels)
+                                     "Instrument", fanin, levels, fit_on, pct_denominator)
         return res.withColumnRenamed("Instrument", entity), det.withColumnRenamed("Instrument", entity)
     split = split or SplitParams(window=p.block)
-    scaled = minmax_scale(series.select(entity, "Date", "Price_Close", "Volume"), ["Price_Close", "Volume"], entity)
-    seq = sequence_index(scaled.select(entity, "Date", "Price_Close", c("Price_Close_scaled").alias("x"),
-                                       c("Volume_scaled").alias("v"), "Price_Close_min", "Price_Close_max"),
-                         entity=entity)
+    base = _block_bounds(sequence_index(series.select(entity, "Date", "Price_Close", "Volume"), entity=entity),
+                         p.block, split)
+    # min-max bounds per entity (S18: the reference fitted them on all rows,
+    # test and validation included; ``fit_on='train'`` uses training rows)
+    fit_rows = base if fit_on == "all" else base.where(c("seq") < c("train_end"))
+    bounds = fit_rows.groupBy(entity).agg(*[a for col in ("Price_Close", "Volume") for a in
+                                            (F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))])
+    seq = base.join(bounds, entity, "left").select(
+        entity, "Date", "seq", "n_rows", "train_end", "test_end", "all_end", "Price_Close",
+        minmax("Price_Close", "Price_Close_min", "Price_Close_max").alias("x"),
+        minmax("Volume", "Volume_min", "Volume_max").alias("v"), "Price_Close_min", "Price_Close_max")
     # read by six branches below: computed once, spilled to disk if needed,
     # and recomputed from lineage if an executor holding it is lost
-    seq = _block_bounds(seq, p.block, split).persist(StorageLevel.MEMORY_AND_DISK)
+    seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
 
     # partial sufficient statistics per (entity, chunk) with halo rows
     first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
@@ -206,7 +219,9 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
             chunks, levels = -(-chunks // fanin), levels + 1
     partial = _tree_sum(partial, fanin, levels)
     solve, solve_schema = _solve_fn(d, p.n_out, p.ridge)
-    models = partial.groupBy(entity).applyInPandas(solve, solve_schema)
+    # three rows per entity, read twice below: keep, so the grouped NumPy
+    # steps run once
+    models = partial.groupBy(entity).applyInPandas(solve, solve_schema).persist(StorageLevel.MEMORY_AND_DISK)
 
     # anchors: day before each test / validation block, and the last day
     ent = seq.select(entity, "n_rows", "train_end", "test_end", "all_end", "Price_Close_min",
@@ -233,6 +248,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     lo, hi = c("Price_Close_min"), c("Price_Close_max")
     steps = pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), lo, hi)
     steps = steps.select(entity, "split", "block_start", "h", (c("ps") * (hi - lo) + lo).alias("predicted"))
+    steps = steps.persist(StorageLevel.MEMORY_AND_DISK)  # feeds the evaluation and the future forecast
 
     # evaluated days: the first n_out days of each test / validation block
     actual = seq.select(entity, "seq", "Date", c("Price_Close").alias("actual"))
@@ -241,7 +257,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                .join(actual, [entity, "seq"])
                .select(entity, "split", "block_start", "h", "Date", "actual", "predicted"))
     err = F.abs(c("predicted") - c("actual"))
-    pct = F.try_divide(err * 100.0, c("actual"))
+    pct = F.try_divide(err * 100.0, c("predicted") if pct_denominator == "prediction" else c("actual"))
     metrics = details.groupBy(entity).agg(
         F.avg(F.when(c("split") == "test", pct)).alias("test_pct_err"),
         F.avg(F.when(c("split") == "val", pct)).alias("val_pct_err"),
