@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .regress import TARGET, feature_columns, prepare, scope_frames
+from .regress import SECTOR_COL, TARGET, feature_columns, prepare, scope_frames
 
 
 def _shapes(d: int, hidden: tuple):
@@ -157,9 +157,11 @@ def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 2
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
+    feats = feature_columns(joined)
+    keep = [c for c in ("Instrument", "Date", "Year", SECTOR_COL) if c in joined.columns]
+    joined = joined.select(*keep, *feats, TARGET).persist(StorageLevel.MEMORY_AND_DISK)  # train and test read it
     scopes = scope_frames(joined, split_year, sector, train_scope_sector=True, test_scope_sector=False)
     train, test = scopes[True]
-    feats = feature_columns(joined)
     asm = VectorAssembler(inputCols=feats, outputCol="raw", handleInvalid="keep")
     # read by the scaler fit, the label statistics and the first epoch
     tr = asm.transform(prepare(train, feats)).persist(StorageLevel.MEMORY_AND_DISK)

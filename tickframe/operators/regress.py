@@ -8,6 +8,7 @@ driver loop over companies.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,22 +96,35 @@ def lasso_scopes(joined: DataFrame, split_year: int, sector: str, target: str =
     """Fit and score both scopes. Returns ``(summary, predictions)``:
     ``summary`` has one row per scope (coefficients, intercept, training R^2
     and RMSE); ``predictions`` has per-row results for every test entity."""
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = joined.sparkSession
     features = feature_columns(joined, target=target)
-    summaries, preds = [], []
-    for flag, (train, test) in scope_frames(joined, split_year, sector).items():
+    # both scopes read train and test rows: keep one column-pruned copy
+    keep = [c for c in ("Instrument", "Date", "Year", SECTOR_COL) if c in joined.columns]
+    joined = joined.select(*keep, *features, target).persist(StorageLevel.MEMORY_AND_DISK)
+    joined.count()  # materialise once, before the concurrent fits read it
+
+    def run(item):
+        flag, (train, test) = item
         if entities is not None:
             test = entity_filter(test, entities)
         tr = prepare(train, features, target).persist()
         model = fit_lasso(tr, features, target, max_iter=max_iter)
         lr = model.stages[-1]
         s = lr.summary
-        summaries.append((bool(flag), float(lr.intercept), [float(x) for x in lr.coefficients],
-                          len(features), float(s.r2), float(s.rootMeanSquaredError)))
+        summary = (bool(flag), float(lr.intercept), [float(x) for x in lr.coefficients],
+                   len(features), float(s.r2), float(s.rootMeanSquaredError))
         tr.unpersist()
         scored = model.transform(prepare(test, features, target)).select(
             "Instrument", "Date", F.col(target).alias(target), F.col("prediction").cast("float").alias("prediction"))
-        preds.append(scored.withColumn("Tech_Only_Pred", F.lit(bool(flag))))
+        return summary, scored.withColumn("Tech_Only_Pred", F.lit(bool(flag)))
+
+    # the two scopes are independent fits: submit their jobs concurrently
+    items = list(scope_frames(joined, split_year, sector).items())
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        done = list(pool.map(run, items))
+    summaries, preds = [d[0] for d in done], [d[1] for d in done]
     summary = spark.createDataFrame(
         summaries, "Tech_Only_Pred boolean, intercept double, coefficients array<double>, n_features int, "
                    "train_r2 double, train_rmse double")

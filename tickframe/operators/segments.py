@@ -62,15 +62,20 @@ def kmeans_sweep(table: DataFrame, cols, ks=(2, 8, 15, 25, 45), seed: int = 1, k
 
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(
         table.select(key, *cols)).persist(StorageLevel.MEMORY_AND_DISK)
-    parts, scores = [], []
-    for k in ks:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(k):
         pred = KMeans(k=k, seed=seed, featuresCol="features").fit(vec).transform(vec)
         try:
             sil = float(ClusteringEvaluator().evaluate(pred))
         except Exception:  # single cluster: silhouette undefined
             sil = None
-        scores.append((int(k), sil))
-        parts.append(pred.select(key, *cols, F.lit(int(k)).alias("k"), F.col("prediction").cast("int")))
+        return (int(k), sil), pred.select(key, *cols, F.lit(int(k)).alias("k"), F.col("prediction").cast("int"))
+
+    # independent fits over one persisted table: submit their jobs concurrently
+    with ThreadPoolExecutor(max_workers=min(len(ks), 8)) as pool:
+        done = list(pool.map(run, ks))
+    scores, parts = [d[0] for d in done], [d[1] for d in done]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
