@@ -58,12 +58,17 @@ def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFram
                          (nb * block).alias("all_end"))
 
 
-def _steps(start, end, step: int):
-    """Block starts in [start, end); null (no rows) when the range is empty."""
-    return F.when(end > start, F.sequence(start, end - 1, F.lit(step).cast("long")))
+_PASS_SCHEMA = ("kind string, Instrument string, scope int, chunk long, n long, gram array<double>, "
+                "xty array<double>, split string, block_start long, feat array<double>, "
+                "actual array<double>, dates array<date>, lo double, hi double")
 
 
-def _stats_fn(n_in: int, n_out: int, chunk: int):
+def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
+    """One NumPy pass per (entity, chunk) group. Emits ``stat`` rows (X'X,
+    X'Y and the sample count per scope, for samples anchored in the chunk)
+    and ``anchor`` rows (the feature vector of each walk-forward or future
+    anchor in the chunk, with the observed prices and dates it will be
+    scored against)."""
     import pandas as pd
 
     d = n_in + 2
@@ -74,34 +79,63 @@ def _stats_fn(n_in: int, n_out: int, chunk: int):
         seq = pdf["seq"].to_numpy(np.int64)
         x = pdf["x"].to_numpy(np.float64)
         v = pdf["v"].to_numpy(np.float64)
+        price = pdf["Price_Close"].to_numpy(np.float64)
+        dates = list(pdf["Date"])
         lo = int(seq[0])
         tr_end, te_end, all_end = (int(pdf[k].iloc[0]) for k in ("train_end", "test_end", "all_end"))
-        t0, t1 = max(ch * chunk, n_in - 1), min(ch * chunk + chunk - 1, all_end - 1 - n_out)
+        plo, phi = float(pdf["Price_Close_min"].iloc[0]), float(pdf["Price_Close_max"].iloc[0])
         rows = []
-        if t1 >= t0 and len(seq) == seq[-1] - lo + 1:
+        if len(seq) != seq[-1] - lo + 1:  # not a contiguous slice: nothing to emit
+            return pd.DataFrame([], columns=_COLS)
+        first, last_t = ch * chunk, ch * chunk + chunk - 1
+
+        def feat(t):
+            return np.concatenate([x[t - n_in + 1 - lo:t + 1 - lo], [v[t - lo], 1.0]])
+
+        # sufficient statistics of complete samples anchored in this chunk
+        t0, t1 = max(first, n_in - 1), min(last_t, all_end - 1 - n_out)
+        if t1 >= t0:
             win = np.lib.stride_tricks.sliding_window_view(x, n_in + n_out)
-            # sample with anchor t uses positions t-n_in+1 .. t+n_out
-            starts = np.arange(t0, t1 + 1) - (n_in - 1) - lo
+            anchors = np.arange(t0, t1 + 1)
+            starts = anchors - (n_in - 1) - lo
             ok = (starts >= 0) & (starts < len(win))
-            starts, anchors = starts[ok], np.arange(t0, t1 + 1)[ok]
+            starts, anchors = starts[ok], anchors[ok]
             if len(starts):
                 w = win[starts]
                 X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], np.ones((len(starts), 1))])
                 Y = w[:, n_in:]
                 fin = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)  # unscalable rows
                 X, Y, anchors = X[fin], Y[fin], anchors[fin]
-                last = anchors + n_out
-                tag = np.where(last < tr_end, 0, np.where(last < te_end, 1, 2))
+                tag = np.where(anchors + n_out < tr_end, 0, np.where(anchors + n_out < te_end, 1, 2))
                 for s in (0, 1, 2):
                     m = tag == s
                     if m.any():
                         Xs, Ys = X[m], Y[m]
-                        rows.append((inst, s, int(m.sum()), (Xs.T @ Xs).ravel().tolist(), (Xs.T @ Ys).ravel().tolist()))
-        return pd.DataFrame([(r[0], r[1], int(ch), r[2], r[3], r[4]) for r in rows],
-                            columns=["Instrument", "scope", "chunk", "n", "gram", "xty"])
-
-    schema = "Instrument string, scope int, chunk long, n long, gram array<double>, xty array<double>"
-    return fn, schema, d
+                        rows.append(("stat", inst, s, ch, int(m.sum()), (Xs.T @ Xs).ravel().tolist(),
+                                     (Xs.T @ Ys).ravel().tolist(), None, None, None, None, None, None, None))
+        # walk-forward anchors (day before each test / validation block) and
+        # the final anchor (last day of the last whole block)
+        wanted = [(b, 0, "test") for b in range(tr_end, te_end, block)]
+        wanted += [(b, 1, "val") for b in range(te_end, all_end, block)]
+        if all_end > 0:
+            wanted.append((all_end, 2, "future"))
+        for b, scope, split in wanted:
+            t = b - 1
+            if first <= t <= last_t and t - n_in + 1 >= lo and t >= n_in - 1:
+                f = feat(t)
+                if not np.isfinite(f).all():
+                    continue
+                hi_t = min(t + n_out, int(seq[-1])) if split != "future" else t
+                act = price[t + 1 - lo:hi_t + 1 - lo].tolist()
+                dts = dates[t + 1 - lo:hi_t + 1 - lo]
+                rows.append(("anchor", inst, scope, ch, None, None, None, split, b, f.tolist(), act, dts, plo, phi))
+        return pd.DataFrame(rows, columns=_COLS)
+
+    return fn, d
+
+
+_COLS = ["kind", "Instrument", "scope", "chunk", "n", "gram", "xty", "split", "block_start", "feat", "actual",
+         "dates", "lo", "hi"]
 
 
 def _tree_sum(partial: DataFrame, fanin: int, levels: int) -> DataFrame:
@@ -203,13 +237,15 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     # and recomputed from lineage if an executor holding it is lost
     seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
 
-    # partial sufficient statistics per (entity, chunk) with halo rows
+    # one NumPy pass per (entity, chunk) group with halo rows: partial
+    # statistics and anchor features (bounded groups whatever the entity size)
     first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
     last = F.floor((c("seq") + p.n_in - 1) / chunk)
-    halo = seq.select(entity, "seq", "x", "v", "train_end", "test_end", "all_end",
-                      F.explode(F.sequence(first, last)).alias("chunk"))
-    sfn, sschema, d = _stats_fn(p.n_in, p.n_out, chunk)
-    partial = halo.groupBy(entity, "chunk").applyInPandas(sfn, sschema)
+    halo = seq.select(entity, "Date", "seq", "x", "v", "Price_Close", "train_end", "test_end", "all_end",
+                      "Price_Close_min", "Price_Close_max", F.explode(F.sequence(first, last)).alias("chunk"))
+    pfn, d = _chunk_pass_fn(p.n_in, p.n_out, chunk, p.block)
+    passed = halo.groupBy(entity, "chunk").applyInPandas(pfn, _PASS_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    partial = passed.where(c("kind") == "stat").select(entity, "scope", "chunk", "n", "gram", "xty")
     if levels is None:
         # rounds needed for the longest history: one small aggregate over the
         # persisted sequence table (planning metadata, like a model fit)
@@ -223,38 +259,21 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     # steps run once
     models = partial.groupBy(entity).applyInPandas(solve, solve_schema).persist(StorageLevel.MEMORY_AND_DISK)
 
-    # anchors: day before each test / validation block, and the last day
-    ent = seq.select(entity, "n_rows", "train_end", "test_end", "all_end", "Price_Close_min",
-                     "Price_Close_max").dropDuplicates([entity])
-    test_a = ent.select(entity, F.lit("test").alias("split"), F.lit(0).alias("scope"),
-                        F.explode(_steps(c("train_end"), c("test_end"), p.block)).alias("block_start"))
-    val_a = ent.select(entity, F.lit("val").alias("split"), F.lit(1).alias("scope"),
-                       F.explode(_steps(c("test_end"), c("all_end"), p.block)).alias("block_start"))
-    fut_a = ent.where(c("all_end") > 0).select(entity, F.lit("future").alias("split"), F.lit(2).alias("scope"),
-                                               c("all_end").alias("block_start"))
-    anchors = (test_a.unionByName(val_a).unionByName(fut_a)
-               .where(c("block_start") >= p.n_in))
-    lags = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(p.n_in - 1))).alias("k"))
-    lags = lags.withColumn("seq", c("block_start") - 1 - c("k"))
-    xs = seq.select(entity, "seq", "x", "v")
-    feats = (lags.join(xs, [entity, "seq"])
-             .groupBy(entity, "split", "scope", "block_start")
-             .agg(F.sort_array(F.collect_list(F.struct(F.lit(0) - c("k"), "x", "v"))).alias("h")))
-    feats = feats.select(entity, "split", "scope", "block_start",
-                         F.concat(F.transform("h", lambda s: s["x"]),
-                                  F.array(F.element_at(c("h"), -1)["v"], F.lit(1.0))).alias("feat"))
-    pred = feats.join(models, [entity, "scope"]).join(ent.select(entity, "Price_Close_min", "Price_Close_max"), entity)
+    anchors = passed.where(c("kind") == "anchor").select(entity, "scope", "split", "block_start", "feat",
+                                                         "actual", "dates", "lo", "hi")
+    pred = anchors.join(models.select(entity, "scope", "coef"), [entity, "scope"])
     pred = pred.withColumn("yhat", _predict_udf(d, p.n_out)(c("feat"), c("coef")))
-    lo, hi = c("Price_Close_min"), c("Price_Close_max")
-    steps = pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), lo, hi)
-    steps = steps.select(entity, "split", "block_start", "h", (c("ps") * (hi - lo) + lo).alias("predicted"))
+    lo, hi = c("lo"), c("hi")
+    steps = pred.select(entity, "split", "block_start", "actual", "dates", F.posexplode("yhat").alias("h", "ps"),
+                        lo, hi)
+    steps = steps.select(entity, "split", "block_start", "h", (c("ps") * (hi - lo) + lo).alias("predicted"),
+                         F.try_element_at("actual", c("h") + 1).alias("actual"),
+                         F.try_element_at("dates", c("h") + 1).alias("Date"))
     steps = steps.persist(StorageLevel.MEMORY_AND_DISK)  # feeds the evaluation and the future forecast
+    ent = seq.where(c("seq") == 0).select(entity, "n_rows")  # one row per entity, no shuffle
 
     # evaluated days: the first n_out days of each test / validation block
-    actual = seq.select(entity, "seq", "Date", c("Price_Close").alias("actual"))
-    details = (steps.where(c("split") != "future")
-               .withColumn("seq", c("block_start") + c("h"))
-               .join(actual, [entity, "seq"])
+    details = (steps.where((c("split") != "future") & c("actual").isNotNull())
                .select(entity, "split", "block_start", "h", "Date", "actual", "predicted"))
     err = F.abs(c("predicted") - c("actual"))
     pct = F.try_divide(err * 100.0, c("predicted") if pct_denominator == "prediction" else c("actual"))
@@ -268,7 +287,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     recent = (seq.where(c("seq") >= c("n_rows") - p.tail_price)
               .groupBy(entity).agg(exact_avg("Price_Close").alias("recent_price")))
     nsamp = models.where(c("scope") == 2).select(entity, "n_samples")
-    res = (ent.select(entity, "n_rows").join(nsamp, entity, "left").join(metrics, entity, "left")
+    res = (ent.join(nsamp, entity, "left").join(metrics, entity, "left")
            .join(future, entity, "left").join(recent, entity, "left"))
     res = res.withColumn("potential_upside", relative_upside("future_predicted_price", "recent_price"))
     return res, details
