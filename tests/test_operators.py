@@ -87,6 +87,12 @@ def test_screen_absence_and_edges(spark):
         ("E", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 0.0, None, 1.0),
         ("Z", d(2009, 6, 1), 1.0, 1.0, 5.0, 9.0, 0.0, 1.0, 10.0, 1.0),
         ("Z", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
+        # a loss after the current year still breaks the earnings record
+        ("L", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
+        ("L", d(2020, 6, 1), 1.0, 1.0, 5.0, 9.0, -5.0, 1.0, 10.0, 1.0),
+        # years before the earliest tested one are ignored
+        ("O", d(2001, 6, 1), 1.0, 1.0, 5.0, 9.0, -5.0, 0.0, 10.0, 1.0),
+        ("O", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
     ])
     tech = spark.createDataFrame([("A", d(2019, 12, 30), 1.0), ("A", d(2019, 12, 31), 2.0)],
                                  "Instrument string, Date date, Price_Close double")
@@ -97,6 +103,8 @@ def test_screen_absence_and_edges(spark):
     assert a.metric7 == 1 and a.metric8 == 1  # latest price 2.0 <= 15 * eps(2) and <= 1.5 * book
     assert got["E"].metric6 == 0 and got["E"].metric4 == 1 and got["E"].metric5 == 0
     assert got["Z"].metric6 == 0  # first endpoint 0 -> growth undefined
+    assert got["L"].metric4 == 0 and got["L"].metric5 == 1
+    assert got["O"].metric4 == 1 and got["O"].metric5 == 1
     assert ru.latest_price(tech, 2019).first().Price == 2.0
 
 

@@ -25,3 +25,8 @@ def test_all_jobs_end_to_end(spark, scratch):
     # partition pruning reaches the scan of the written fact
     plan = read(p["combined"]).where("Year = 2000")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Year" in plan
+    # the screen's year bounds reach the written tables as partition filters
+    from tickframe.operators.screen import screen_inputs
+    scr = screen_inputs(read(p["fundamentals"]), read(p["technicals"]), SCREEN)
+    plan = scr._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(Year") >= 2

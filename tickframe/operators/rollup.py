@@ -46,6 +46,8 @@ def latest_price(tech: DataFrame, year: int, price: str = "Price_Close", date: s
     ``last``). The year test is a date range so it can reach the scan."""
     lo, hi = _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1)
     rows = tech.where((F.col(date) >= F.lit(lo)) & (F.col(date) < F.lit(hi)))
+    if "Year" in tech.columns:  # daily Year is the calendar year: prunes Year partitions
+        rows = rows.where(F.col("Year") == year)
     return rows.groupBy("Instrument").agg(
         F.max_by(F.col(price), F.struct(F.col(date), F.col(price))).alias("Price"))
 

@@ -32,6 +32,14 @@ def _at(cond, value):
 def screen_inputs(fund: DataFrame, tech: DataFrame, p: ScreenParams = ScreenParams()) -> DataFrame:
     """Per entity: every quantity the eight tests read, plus the latest price."""
     c = F.col
+    # years before the earliest tested one never matter (later ones do: the
+    # earnings and dividend records cover every year since ``since_year``);
+    # a statement's reporting Year is its calendar year or the next one, so
+    # the same bound on Year prunes partitions of a written table
+    first = min(p.base_year, p.since_year, p.current_year)
+    fund = fund.where(F.year("Date") >= first)
+    if "Year" in fund.columns:
+        fund = fund.where(c("Year") >= first)
     annual = annual_rollup(fund)
     cur = c("actual_year") == p.current_year
     base = c("actual_year") == p.base_year
