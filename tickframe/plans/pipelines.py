@@ -157,8 +157,10 @@ def main(argv=None):
     ap.add_argument("job", choices=["all", "p1"])
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--fixture", help="build the raw tables from the TPC-H style tables in this folder")
-    ap.add_argument("--technicals", help="raw daily table (parquet)")
-    ap.add_argument("--fundamentals", help="raw statement table (parquet)")
+    ap.add_argument("--technicals", help="raw daily table: a path, or a table name for connector formats")
+    ap.add_argument("--fundamentals", help="raw statement table: a path, or a table name")
+    ap.add_argument("--format", default="parquet", help="any Spark source (parquet, orc, csv, a warehouse connector)")
+    ap.add_argument("--option", action="append", default=[], help="reader option key=value (repeatable)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if a.fixture:
@@ -167,7 +169,14 @@ def main(argv=None):
         tr, fr = technicals_raw(spark, a.fixture), fundamentals_raw(spark, a.fixture)
         kw = dict(screen_params=SCREEN, split_year=SPLIT_YEAR, sector=SECTOR, forecast_params=FORECAST)
     else:
-        tr, fr, kw = spark.read.parquet(a.technicals), spark.read.parquet(a.fundamentals), {}
+        opts = dict(o.split("=", 1) for o in a.option)
+
+        def read(target):
+            r = spark.read.format(a.format).options(**opts)
+            return r.option("table", target).load() if a.format not in ("parquet", "orc", "csv", "json") \
+                else r.load(target)
+
+        tr, fr, kw = read(a.technicals), read(a.fundamentals), {}
     if a.job == "p1":
         print(profile_clean_join(spark, tr, fr, a.out))
     else:
