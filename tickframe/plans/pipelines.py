@@ -37,13 +37,14 @@ def profile_clean_join(spark: SparkSession, technicals_raw: DataFrame, fundament
     _profiles("fundamentals", fundamentals_raw, FUNDAMENTALS.or_cols, out, "raw")
     paths = {"technicals": f"{out}/technicals_cleaned", "fundamentals": f"{out}/fundamentals_cleaned",
              "combined": f"{out}/combined_technicals_fundamentals"}
-    write_table(clean_technicals(technicals_raw), paths["technicals"], partition_by=("Year",))
+    by = ("Instrument", "Date")
+    write_table(clean_technicals(technicals_raw), paths["technicals"], partition_by=("Year",), sort_within=by)
     write_table(clean_fundamentals(fundamentals_raw, one_per_quarter=one_per_quarter), paths["fundamentals"],
-                partition_by=("Year",))
+                partition_by=("Year",), sort_within=by)
     tech, fund = spark.read.parquet(paths["technicals"]), spark.read.parquet(paths["fundamentals"])
     _profiles("technicals", tech, TECHNICALS.or_cols, out, "clean")
     _profiles("fundamentals", fund, FUNDAMENTALS.or_cols, out, "clean")
-    write_table(join_tech_fund(tech, fund), paths["combined"], partition_by=("Year",))
+    write_table(join_tech_fund(tech, fund), paths["combined"], partition_by=("Year",), sort_within=by)
     _profiles("combined", spark.read.parquet(paths["combined"]), (), out, "joined")
     return paths
 
