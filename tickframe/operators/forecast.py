@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import STAT_SCALE, exact_avg, exact_sum, pct_error
+from ..functions.numeric import STAT_SCALE, exact_avg, exact_sum, minmax, pct_error, relative_upside
+from ..specs import ForecastParams, SplitParams
+from .sequence import sequence_index
 
 
 def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str = "Price_Close",
@@ -40,14 +44,6 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
 # each block, fed with the observed history, as the reference does.
 # ---------------------------------------------------------------------------
 
-import numpy as np  # noqa: E402
-from pyspark import StorageLevel  # noqa: E402
-
-from ..functions.numeric import relative_upside  # noqa: E402
-from ..specs import ForecastParams, SplitParams  # noqa: E402
-from ..functions.numeric import minmax  # noqa: E402
-from .sequence import sequence_index  # noqa: E402
-
 
 def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFrame:
     c = F.col

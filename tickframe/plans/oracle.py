@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from ..operators.features import PER_SHARE_MEASURES, EXISTING_PER_SHARE, SHARES, per_share_names
 from ..sources.fixtures import FUNDAMENTALS_RAW_SQL, TECHNICALS_RAW_SQL
-from .inputs import BLOCKS, ENTITIES, FORECAST, SCREEN, SECTOR, SPLIT_YEAR
+from .inputs import SCREEN
 
 
 def SUM2(x):
@@ -174,5 +174,4 @@ def ratios_select() -> str:
             f"WHERE {notnull}")
 
 
-__all__ = ["with_ctes", "screen_body", "per_share_select", "ratios_select", "SUM2", "AVG2", "DSUM", "DAVG",
-           "BLOCKS", "ENTITIES", "FORECAST", "SCREEN", "SECTOR", "SPLIT_YEAR"]
+__all__ = ["with_ctes", "screen_body", "per_share_select", "ratios_select", "SUM2", "AVG2", "DSUM", "DAVG"]

@@ -15,7 +15,7 @@ from ..operators import profile as pr
 from ..operators import rollup as ru
 from ..operators import screen as sc
 from ..operators import sequence as sq
-from ..operators.cleaning import dedup, fill_zero, require_non_null, with_statement_calendar, clean_table
+from ..operators.cleaning import clean_table, dedup, fill_zero, with_statement_calendar
 from ..operators.returns import yoy_return
 from ..specs import FUNDAMENTALS, TECHNICALS
 from . import oracle as O
