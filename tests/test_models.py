@@ -40,9 +40,12 @@ def test_dense_fits_planted_relation(spark):
     x = rng.normal(size=(2000, 3))
     y = x @ np.array([1.0, -2.0, 0.5]) + 0.3
     df = spark.createDataFrame([([float(v) for v in xi], float(yi)) for xi, yi in zip(x, y)], "x array<double>, y double")
-    w = dense.fit_dense(df.repartition(4), 3, hidden=(16, 16), epochs=6, lr=0.01, batch=32, dropout=0.0)
+    hist: list = []
+    w = dense.fit_dense(df.repartition(4), 3, hidden=(16, 16), epochs=6, lr=0.01, batch=32, dropout=0.0,
+                        val=df.limit(500), history=hist)
     pred = dense.forward(w, x, 3, hidden=(16, 16))
     assert np.mean((pred - y) ** 2) < 0.1 * np.var(y)
+    assert [e for e, _ in hist] == [1, 2, 3, 4, 5, 6] and hist[-1][1] < 0.1 * np.var(y)
 
 
 def test_forecaster_tracks_a_smooth_series(spark):

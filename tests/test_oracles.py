@@ -40,4 +40,5 @@ def test_every_query_has_an_oracle_or_is_a_model():
     models = set(E.queries()) - set(E.oracle_sql())
     assert models <= {"kmeans_segments", "pca_features", "clusters_with_returns", "kmeans_sweep", "kmeans_silhouette",
                       "lasso_fit_summary", "lasso_predictions", "lasso_entity_scores", "dense_entity_scores",
+                      "dense_training_history",
                       "entity_forecast", "forecast_vs_actual"}

@@ -93,9 +93,30 @@ def _stack(series) -> np.ndarray:
     return np.stack([np.asarray(a, dtype=np.float64) for a in series]) if len(series) else np.zeros((0, 0))
 
 
+def validation_mse(val: DataFrame, flat: np.ndarray, d: int, hidden=(256, 256)) -> float | None:
+    """Mean squared error of ``flat`` on rows ``(x, y)``: per-partition sums
+    in ``mapInPandas``, one small aggregate (no rows reach the driver)."""
+    import pandas as pd
+
+    bw = val.sparkSession.sparkContext.broadcast(flat)
+
+    def sse(batches):
+        for pdf in batches:
+            if len(pdf):
+                e = forward(bw.value, _stack(pdf["x"]), d, hidden) - pdf["y"].to_numpy(np.float64)
+                yield pd.DataFrame({"sse": [float(e @ e)], "n": [len(pdf)]})
+
+    r = val.select("x", "y").mapInPandas(sse, "sse double, n long").agg(F.sum("sse"), F.sum("n")).first()
+    bw.unpersist()
+    return float(r[0]) / r[1] if r[1] else None
+
+
 def fit_dense(train: DataFrame, d: int, hidden=(256, 256), epochs: int = 25, lr: float = 0.01, batch: int = 64,
-              dropout: float = 0.05, seed: int = 0) -> np.ndarray:
-    """Train on rows ``(x array<double>, y double)``; returns flat weights."""
+              dropout: float = 0.05, seed: int = 0, val: DataFrame | None = None,
+              history: list | None = None) -> np.ndarray:
+    """Train on rows ``(x array<double>, y double)``; returns flat weights.
+    With ``val``, the validation MSE after each epoch is appended to
+    ``history`` as ``(epoch, mse)``."""
     import pandas as pd
     from pyspark import TaskContext
 
@@ -126,6 +147,8 @@ def fit_dense(train: DataFrame, d: int, hidden=(256, 256), epochs: int = 25, lr:
         if n:
             flat = total / n
         bw.unpersist()
+        if val is not None and history is not None:
+            history.append((epoch + 1, validation_mse(val, flat, d, hidden)))
     data.unpersist()
     return flat
 
@@ -151,9 +174,13 @@ def predict_dense(df: DataFrame, flat: np.ndarray, d: int, hidden=(256, 256), ke
 
 
 def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 25, hidden=(256, 256),
-                seed: int = 0, partitions: int | None = None) -> DataFrame:
+                seed: int = 0, partitions: int | None = None, validation_frac: float = 0.2):
     """Train on the sector's rows before ``split_year`` (train-only
-    filter, as the reference's dense script), score all later rows."""
+    filter, as the reference's dense script), score all later rows. A
+    ``validation_frac`` share of the training days (hash of entity and date,
+    so repeated rows of one day stay together) is held out and scored after
+    every epoch. Returns ``(predictions, history)``, history being
+    ``(epoch, val_mse)`` rows."""
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
@@ -175,9 +202,18 @@ def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 2
         return out.select("Instrument", "Date", TARGET, vector_to_array("sf").alias("x"),
                           ((F.col(TARGET) - y_mean) / y_std).alias("y"))
 
-    tr_rows = rows(train, tr)
+    all_rows = rows(train, tr)
+    bucket = F.pmod(F.xxhash64("Instrument", "Date"), F.lit(1000)) < int(round(validation_frac * 1000))
+    tr_rows, val_rows = all_rows.where(~bucket), all_rows.where(bucket).persist(StorageLevel.MEMORY_AND_DISK)
     if partitions:
         tr_rows = tr_rows.repartition(partitions)
-    flat = fit_dense(tr_rows, len(feats), hidden, epochs=epochs, seed=seed)
+    history: list = []
+    flat = fit_dense(tr_rows, len(feats), hidden, epochs=epochs, seed=seed,
+                     val=val_rows if validation_frac > 0 else None, history=history)
+    val_rows.unpersist()
     tr.unpersist()
-    return predict_dense(rows(test), flat, len(feats), hidden, y_mean=y_mean, y_std=y_std)
+    spark = joined.sparkSession
+    hist = spark.createDataFrame(history, "epoch int, val_mse double")
+    # the network learns standardised labels: report the MSE in price units
+    hist = hist.withColumn("val_mse", F.col("val_mse") * (y_std * y_std))
+    return predict_dense(rows(test), flat, len(feats), hidden, y_mean=y_mean, y_std=y_std), hist

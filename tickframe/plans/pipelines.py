@@ -107,7 +107,8 @@ def dense_model(combined: DataFrame, out: str, split_year: int = 2018, sector: s
     from ..operators.regress import regression_metrics
 
     path = f"{out}/DNN_Model_Results"
-    pred = dense_scope(combined, split_year, sector, epochs=epochs)
+    pred, history = dense_scope(combined, split_year, sector, epochs=epochs)
+    write_table(history, f"{out}/DNN_Training_History")
     write_table(regression_metrics(pred, "Price_Close", "prediction"), path)
     return path
 

@@ -518,10 +518,16 @@ DENSE_EPOCHS = 3
 def _dense_scores(i):
     from ..operators.dense import dense_scope
     from ..operators.regress import regression_metrics
-    pred = dense_scope(i.joined, SPLIT_YEAR, SECTOR, epochs=DENSE_EPOCHS)
+    pred, _ = dense_scope(i.joined, SPLIT_YEAR, SECTOR, epochs=DENSE_EPOCHS)
     return regression_metrics(pred, "Price_Close", "prediction")
 
 
+@register("dense_training_history")
+def _dense_history(i):
+    from ..operators.dense import dense_scope
+    return dense_scope(i.joined, SPLIT_YEAR, SECTOR, epochs=DENSE_EPOCHS)[1]
+
+
 # ---------------------------------------------------------------- P8 forecaster (rows check)
 
 
