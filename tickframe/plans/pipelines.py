@@ -154,9 +154,37 @@ def run_all(spark: SparkSession, technicals_raw: DataFrame, fundamentals_raw: Da
     return p
 
 
+def run_job(spark: SparkSession, job: str, out: str, screen_params: ScreenParams = ScreenParams(),
+            split_year: int = 2018, sector: str = "Technology",
+            forecast_params: ForecastParams = ForecastParams(), dense_epochs: int = 25):
+    """Run one of P2-P9 over the tables P1 wrote under ``out``."""
+    read = spark.read.parquet
+    tech = read(f"{out}/technicals_cleaned")
+    fund = read(f"{out}/fundamentals_cleaned")
+    comb = read(f"{out}/combined_technicals_fundamentals")
+    if job == "p2":
+        return segment_statements(fund, out)
+    if job == "p3":
+        return segment_returns(tech, read(f"{out}/k_means_data"), out)
+    if job == "p4":
+        return screen(fund, tech, out, screen_params)
+    if job == "p5":
+        return screen_clusters(read(f"{out}/graham_metrics"), out)
+    if job == "p6":
+        return linear_model(comb, out, split_year, sector)
+    if job == "p7":
+        return dense_model(comb, out, split_year, sector, epochs=dense_epochs)
+    if job == "p8":
+        return forecast(tech, out, forecast_params)
+    if job == "p9":
+        return growth_baseline(tech, out)
+    raise ValueError(f"unknown job {job}")
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(description="Run the analytics jobs.")
-    ap.add_argument("job", choices=["all", "p1"])
+    ap.add_argument("job", choices=["all", "p1", "p2", "p3", "p4", "p5", "p6", "p7", "p8", "p9"],
+                    help="p1 cleans and joins; p2-p9 read the tables p1 wrote under --out")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--fixture", help="build the raw tables from the TPC-H style tables in this folder")
     ap.add_argument("--technicals", help="raw daily table: a path, or a table name for connector formats")
@@ -165,6 +193,9 @@ def main(argv=None):
     ap.add_argument("--option", action="append", default=[], help="reader option key=value (repeatable)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    if a.job not in ("all", "p1"):
+        print(run_job(spark, a.job, a.out))
+        return
     if a.fixture:
         from ..sources.fixtures import fundamentals_raw, technicals_raw
         from .inputs import FORECAST, SCREEN, SECTOR, SPLIT_YEAR
