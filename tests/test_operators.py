@@ -135,6 +135,9 @@ def test_sequence_ops_on_ramp(spark):
     w = sq.sliding_window_stats(s, n_in, n_out, running="cum")
     assert w.where("Instrument = 'R'").count() == n - n_in - n_out + 1
     assert w.where("Instrument = 'S'").count() == 0
+    for small in (10, 3):  # halo blocks (3 is raised to n_in + n_out - 1)
+        w2 = sq.sliding_window_stats(s, n_in, n_out, running="cum", block=small)
+        assert sorted(map(tuple, w2.collect())) == sorted(map(tuple, w.collect()))
     first = w.where("Instrument = 'R' and sample_start = 0").first()
     assert first.input_mean == 4.0 and first.label_mean == 9.0
     blocks = sq.chrono_block_split(s, SplitParams(window=10)).where("Instrument = 'R'")

@@ -7,8 +7,9 @@ the job. Instead rows are numbered with a two-level prefix sum: counts
 (and running sums) per (entity, month) are aggregated map-side, offsets
 are a window over the small per-month table, and rows are numbered
 within their (entity, month). Sliding sums are then differences of prefix
-sums, fetched with equi-joins on (entity, row number), which hash-spread
-even a single entity over every task.
+sums, read with ``lead`` inside (entity, block of row numbers) groups that
+carry a small halo of the next block, so a single entity is spread over
+many bounded groups.
 """
 
 from __future__ import annotations
@@ -78,21 +79,40 @@ def chrono_block_split(seq_df: DataFrame, p: SplitParams = SplitParams()) -> Dat
 
 
 def sliding_window_stats(seq_df: DataFrame, n_in: int, n_out: int, running: str = "cum_price",
-                         entity: str = "Instrument", date: str = "Date", value: str = "Price_Close") -> DataFrame:
+                         entity: str = "Instrument", date: str = "Date", value: str = "Price_Close",
+                         block: int = 4096) -> DataFrame:
     """E5 in aggregated form: for every complete supervised sample (inputs
     rows i..i+n_in-1, labels the next n_out rows) its dates and the exact
     means of the input and label values. ``seq_df`` comes from
     ``sequence_index(..., running={running: value})``; the sample count per
-    entity is ``n_rows - n_in - n_out + 1``."""
+    entity is ``n_rows - n_in - n_out + 1``.
+
+    One shuffle: rows are grouped by (entity, block of ``block`` row
+    numbers), and each block also receives the first ``n_in + n_out - 1``
+    rows of the next block (a halo), so ``lead`` inside a group sees every
+    row a sample starting in that block needs. Groups stay bounded however
+    long an entity's history is."""
     c = F.col
-    start = seq_df.select(entity, c("seq").alias("sample_start"), c(date).alias("input_start_date"),
-                          (c(running) - c(value).cast("decimal(38,2)")).alias("_p0"))
-    in_end = seq_df.select(entity, (c("seq") - (n_in - 1)).alias("sample_start"),
-                           c(date).alias("input_end_date"), c(running).alias("_p1"))
-    out_end = seq_df.select(entity, (c("seq") - (n_in + n_out - 1)).alias("sample_start"),
-                            c(date).alias("label_end_date"), c(running).alias("_p2"))
-    j = start.join(in_end, [entity, "sample_start"]).join(out_end, [entity, "sample_start"])
-    return j.select(
+    span = n_in + n_out - 1
+    block = max(block, span)  # a sample may then reach at most one block ahead
+    blk = F.floor(c("seq") / block)
+    own = F.array(blk)
+    # rows near the start of a block are also needed by the previous block
+    halo = F.when((c("seq") % block < span) & (blk > 0), F.array(blk, blk - 1)).otherwise(own)
+    rows = seq_df.select(entity, "seq", date, running, value, F.explode(halo).alias("_blk"))
+    w = Window.partitionBy(entity, "_blk").orderBy("seq")
+    out = rows.select(
+        entity, "_blk", c("seq").alias("sample_start"), c(date).alias("input_start_date"),
+        (c(running) - c(value).cast("decimal(38,2)")).alias("_p0"),
+        F.lead(date, n_in - 1).over(w).alias("input_end_date"),
+        F.lead(running, n_in - 1).over(w).alias("_p1"),
+        F.lead(date, span).over(w).alias("label_end_date"),
+        F.lead(running, span).over(w).alias("_p2"),
+        F.lead("seq", span).over(w).alias("_s2"))
+    # keep each sample once (in its own block) and only complete ones
+    out = out.where((F.floor(c("sample_start") / block) == c("_blk"))
+                    & (c("_s2") == c("sample_start") + span))
+    return out.select(
         entity, "sample_start", "input_start_date", "input_end_date", "label_end_date",
         ((c("_p1") - c("_p0")).cast("double") / float(n_in)).alias("input_mean"),
         ((c("_p2") - c("_p1")).cast("double") / float(n_out)).alias("label_mean"))
