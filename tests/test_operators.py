@@ -90,6 +90,10 @@ def test_screen_absence_and_edges(spark):
         # a loss after the current year still breaks the earnings record
         ("L", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
         ("L", d(2020, 6, 1), 1.0, 1.0, 5.0, 9.0, -5.0, 1.0, 10.0, 1.0),
+        # a year with null shares has no dividend per share: it neither
+        # counts as paying nor blocks the record
+        ("N", d(2016, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, None, 1.0),
+        ("N", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
         # years before the earliest tested one are ignored
         ("O", d(2001, 6, 1), 1.0, 1.0, 5.0, 9.0, -5.0, 0.0, 10.0, 1.0),
         ("O", d(2019, 6, 1), 1.0, 1.0, 5.0, 9.0, 5.0, 1.0, 10.0, 1.0),
@@ -104,6 +108,7 @@ def test_screen_absence_and_edges(spark):
     assert got["E"].metric6 == 0 and got["E"].metric4 == 1 and got["E"].metric5 == 0
     assert got["Z"].metric6 == 0  # first endpoint 0 -> growth undefined
     assert got["L"].metric4 == 0 and got["L"].metric5 == 1
+    assert got["N"].metric5 == 1
     assert got["O"].metric4 == 1 and got["O"].metric5 == 1
     assert ru.latest_price(tech, 2019).first().Price == 2.0
 
