@@ -205,8 +205,9 @@ def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 2
     all_rows = rows(train, tr)
     bucket = F.pmod(F.xxhash64("Instrument", "Date"), F.lit(1000)) < int(round(validation_frac * 1000))
     tr_rows, val_rows = all_rows.where(~bucket), all_rows.where(bucket).persist(StorageLevel.MEMORY_AND_DISK)
-    if partitions:
-        tr_rows = tr_rows.repartition(partitions)
+    # one partition per core for data-parallel steps: a single shuffle of the
+    # training rows, which are then persisted for every epoch
+    tr_rows = tr_rows.repartition(partitions or joined.sparkSession.sparkContext.defaultParallelism)
     history: list = []
     flat = fit_dense(tr_rows, len(feats), hidden, epochs=epochs, seed=seed,
                      val=val_rows if validation_frac > 0 else None, history=history)
