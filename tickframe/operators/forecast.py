@@ -218,6 +218,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                                      "Instrument", fanin, levels, fit_on, pct_denominator)
         return res.withColumnRenamed("Instrument", entity), det.withColumnRenamed("Instrument", entity)
     split = split or SplitParams(window=p.block)
+    chunk = max(chunk, p.n_in + p.n_out)  # each row then lands in at most two chunks
     base = _block_bounds(sequence_index(series.select(entity, "Date", "Price_Close", "Volume"), entity=entity),
                          p.block, split)
     # min-max bounds per entity (S18: the reference fitted them on all rows,
