@@ -70,6 +70,11 @@ def test_forecaster_tracks_a_smooth_series(spark):
     res3, _ = forecast_entities(df, p, SplitParams(window=30), chunk=64, fit_on="train", pct_denominator="prediction")
     alt = {r.Instrument: r for r in res3.collect()}
     assert alt["A"].test_pct_err < 5.0 and alt["T"].test_pct_err is None
+    # an extra input column on the anchor day
+    df_ex = df.withColumn("Extra", F.col("Volume") * 2.0)
+    res4, _ = forecast_entities(df_ex, p, SplitParams(window=30), chunk=64, exog=["Extra"])
+    ex = {r.Instrument: r for r in res4.collect()}
+    assert ex["A"].test_pct_err < 2.0 and ex["A"].n_samples == got["A"].n_samples
     # summing the partial statistics in several rounds changes nothing
     res2, _ = forecast_entities(df, p, SplitParams(window=30), chunk=32, fanin=2)
     again = {r.Instrument: r for r in res2.collect()}

@@ -59,7 +59,7 @@ _PASS_SCHEMA = ("kind string, Instrument string, scope int, chunk long, n long,
                 "actual array<double>, dates array<date>, lo double, hi double")
 
 
-def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
+def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int, n_exog: int = 0):
     """One NumPy pass per (entity, chunk) group. Emits ``stat`` rows (X'X,
     X'Y and the sample count per scope, for samples anchored in the chunk)
     and ``anchor`` rows (the feature vector of each walk-forward or future
@@ -67,7 +67,7 @@ def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
     scored against)."""
     import pandas as pd
 
-    d = n_in + 2
+    d = n_in + 2 + n_exog
 
     def fn(key, pdf):
         inst, ch = key
@@ -75,6 +75,7 @@ def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
         seq = pdf["seq"].to_numpy(np.int64)
         x = pdf["x"].to_numpy(np.float64)
         v = pdf["v"].to_numpy(np.float64)
+        ex = pdf[[f"e{k}" for k in range(n_exog)]].to_numpy(np.float64) if n_exog else np.zeros((len(pdf), 0))
         price = pdf["Price_Close"].to_numpy(np.float64)
         dates = list(pdf["Date"])
         lo = int(seq[0])
@@ -86,7 +87,7 @@ def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
         first, last_t = ch * chunk, ch * chunk + chunk - 1
 
         def feat(t):
-            return np.concatenate([x[t - n_in + 1 - lo:t + 1 - lo], [v[t - lo], 1.0]])
+            return np.concatenate([x[t - n_in + 1 - lo:t + 1 - lo], [v[t - lo]], ex[t - lo], [1.0]])
 
         # sufficient statistics of complete samples anchored in this chunk
         t0, t1 = max(first, n_in - 1), min(last_t, all_end - 1 - n_out)
@@ -98,7 +99,8 @@ def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int):
             starts, anchors = starts[ok], anchors[ok]
             if len(starts):
                 w = win[starts]
-                X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], np.ones((len(starts), 1))])
+                X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], ex[anchors - lo],
+                               np.ones((len(starts), 1))])
                 Y = w[:, n_in:]
                 fin = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)  # unscalable rows
                 X, Y, anchors = X[fin], Y[fin], anchors[fin]
@@ -202,34 +204,40 @@ def _predict_udf(d: int, n_out: int):
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
                       split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument",
                       fanin: int = 64, levels: int | None = None, fit_on: str = "all",
-                      pct_denominator: str = "actual"):
+                      pct_denominator: str = "actual", exog=()):
     """Fit, walk forward and forecast every entity. Partial statistics are
     summed in ``levels`` rounds of ``fanin`` chunks before the per-entity
     solve (by default as many rounds as the longest history needs), so no
     group ever holds more than about ``3 * fanin`` matrices. Returns
     ``(results, details)``: one row per entity (metrics, forecast, upside;
     entities too short to model keep null metrics) and one row per
-    predicted test/validation day (``forecast_vs_actual``). ``pct_denominator=
-    'prediction'`` reproduces the reference's swapped percent-error
-    arguments (S17)."""
+    predicted test/validation day (``forecast_vs_actual``). ``exog`` adds
+    other columns' scaled values on the anchor day as features (the
+    reference fed its model ten statement measures); rows with a null in
+    any used column are dropped first. ``pct_denominator='prediction'``
+    reproduces the reference's swapped percent-error arguments (S17)."""
     c = F.col
     if entity != "Instrument":  # the grouped NumPy steps use the column name
         res, det = forecast_entities(series.withColumnRenamed(entity, "Instrument"), p, split, chunk,
-                                     "Instrument", fanin, levels, fit_on, pct_denominator)
+                                     "Instrument", fanin, levels, fit_on, pct_denominator, exog)
         return res.withColumnRenamed("Instrument", entity), det.withColumnRenamed("Instrument", entity)
     split = split or SplitParams(window=p.block)
     chunk = max(chunk, p.n_in + p.n_out)  # each row then lands in at most two chunks
-    base = _block_bounds(sequence_index(series.select(entity, "Date", "Price_Close", "Volume"), entity=entity),
-                         p.block, split)
+    exog = list(exog)
+    used = ["Price_Close", "Volume", *exog]
+    rows_in = series.select(entity, "Date", *used).na.drop()
+    base = _block_bounds(sequence_index(rows_in, entity=entity, order=("Date", *used)), p.block, split)
     # min-max bounds per entity (S18: the reference fitted them on all rows,
     # test and validation included; ``fit_on='train'`` uses training rows)
     fit_rows = base if fit_on == "all" else base.where(c("seq") < c("train_end"))
-    bounds = fit_rows.groupBy(entity).agg(*[a for col in ("Price_Close", "Volume") for a in
+    bounds = fit_rows.groupBy(entity).agg(*[a for col in used for a in
                                             (F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))])
     seq = base.join(bounds, entity, "left").select(
         entity, "Date", "seq", "n_rows", "train_end", "test_end", "all_end", "Price_Close",
         minmax("Price_Close", "Price_Close_min", "Price_Close_max").alias("x"),
-        minmax("Volume", "Volume_min", "Volume_max").alias("v"), "Price_Close_min", "Price_Close_max")
+        minmax("Volume", "Volume_min", "Volume_max").alias("v"),
+        *[minmax(e, f"{e}_min", f"{e}_max").alias(f"e{k}") for k, e in enumerate(exog)],
+        "Price_Close_min", "Price_Close_max")
     # read by six branches below: computed once, spilled to disk if needed,
     # and recomputed from lineage if an executor holding it is lost
     seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
@@ -238,9 +246,10 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     # statistics and anchor features (bounded groups whatever the entity size)
     first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
     last = F.floor((c("seq") + p.n_in - 1) / chunk)
-    halo = seq.select(entity, "Date", "seq", "x", "v", "Price_Close", "train_end", "test_end", "all_end",
-                      "Price_Close_min", "Price_Close_max", F.explode(F.sequence(first, last)).alias("chunk"))
-    pfn, d = _chunk_pass_fn(p.n_in, p.n_out, chunk, p.block)
+    halo = seq.select(entity, "Date", "seq", "x", "v", *[f"e{k}" for k in range(len(exog))], "Price_Close",
+                      "train_end", "test_end", "all_end", "Price_Close_min", "Price_Close_max",
+                      F.explode(F.sequence(first, last)).alias("chunk"))
+    pfn, d = _chunk_pass_fn(p.n_in, p.n_out, chunk, p.block, len(exog))
     passed = halo.groupBy(entity, "chunk").applyInPandas(pfn, _PASS_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
     partial = passed.where(c("kind") == "stat").select(entity, "scope", "chunk", "n", "gram", "xty")
     if levels is None:

@@ -532,8 +532,10 @@ def _dense_history(i):
 
 
 def _forecast(i):
+    # as the reference: each entity's joined daily rows, with the ten
+    # statement measures as further inputs
     from ..operators.forecast import forecast_entities
-    return forecast_entities(i.technicals, FORECAST, BLOCKS)
+    return forecast_entities(i.joined, FORECAST, BLOCKS, exog=fe.PER_SHARE_MEASURES)
 
 
 @register("entity_forecast")
