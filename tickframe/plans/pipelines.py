@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import baseline as bl
 from ..operators import profile as pr
 from ..operators.cleaning import clean_fundamentals, clean_technicals
-from ..operators.features import pairwise_ratios, per_share_features
+from ..operators.features import PER_SHARE_MEASURES, pairwise_ratios, per_share_features
 from ..operators.joins import join_on_period, join_tech_fund
 from ..operators.rollup import quarterly_avg_price
 from ..operators.returns import yoy_return
@@ -113,14 +113,16 @@ def dense_model(combined: DataFrame, out: str, split_year: int = 2018, sector: s
     return path
 
 
-def forecast(tech: DataFrame, out: str, params: ForecastParams = ForecastParams(),
-             single_csv: bool = False) -> dict:
-    """Per-entity forecasts and the predicted-vs-actual days; the result
-    table is also written as CSV with a header, as the reference did."""
+def forecast(combined: DataFrame, out: str, params: ForecastParams = ForecastParams(),
+             single_csv: bool = False, exog=PER_SHARE_MEASURES) -> dict:
+    """Per-entity forecasts from the joined daily rows (close, volume and
+    the statement measures in ``exog``) and the predicted-vs-actual days;
+    the result table is also written as CSV with a header, as the reference
+    did."""
     from ..operators.forecast import entity_forecast_result, forecast_entities
 
-    res, details = forecast_entities(tech, params, SplitParams(window=params.block))
-    result = entity_forecast_result(res, bl.growth_baseline_error(bl.growth_baseline(tech)))
+    res, details = forecast_entities(combined, params, SplitParams(window=params.block), exog=exog)
+    result = entity_forecast_result(res, bl.growth_baseline_error(bl.growth_baseline(combined)))
     paths = {"results": f"{out}/forecast_results", "csv": f"{out}/forecast_csv",
              "details": f"{out}/forecast_vs_actual"}
     write_table(result, paths["results"])
@@ -149,7 +151,7 @@ def run_all(spark: SparkSession, technicals_raw: DataFrame, fundamentals_raw: Da
     p.update(screen_clusters(spark.read.parquet(p["screen"]), out))
     p.update(linear_model(comb, out, split_year, sector))
     p["dense"] = dense_model(comb, out, split_year, sector, epochs=dense_epochs)
-    p.update(forecast(tech, out, forecast_params))
+    p.update(forecast(comb, out, forecast_params))
     p["baseline"] = growth_baseline(tech, out)
     return p
 
@@ -175,7 +177,7 @@ def run_job(spark: SparkSession, job: str, out: str, screen_params: ScreenParams
     if job == "p7":
         return dense_model(comb, out, split_year, sector, epochs=dense_epochs)
     if job == "p8":
-        return forecast(tech, out, forecast_params)
+        return forecast(comb, out, forecast_params)
     if job == "p9":
         return growth_baseline(tech, out)
     raise ValueError(f"unknown job {job}")
