@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import STAT_SCALE, exact_avg, exact_sum, minmax, pct_error, relative_upside
 from ..specs import ForecastParams, SplitParams
+from .baseline import growth_baseline, growth_baseline_error
 from .sequence import sequence_index
 
 
@@ -296,6 +297,10 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     res = (ent.join(nsamp, entity, "left").join(metrics, entity, "left")
            .join(future, entity, "left").join(recent, entity, "left"))
     res = res.withColumn("potential_upside", relative_upside("future_predicted_price", "recent_price"))
+    # the simple model on the same rows the forecaster used (the reference
+    # scored its growth baseline on the model's own cleaned data)
+    simple = growth_baseline_error(growth_baseline(seq.select(entity, "Date", "Price_Close")), entity)
+    res = res.join(simple.select(entity, c("mean_pct_error").alias("simple_model_pct_err")), entity, "left")
     return res, details
 
 
@@ -305,10 +310,9 @@ def entity_forecast_result(res: DataFrame, baseline_err: DataFrame | None = None
     columns held test-block results and ``test_*`` validation results) next
     to correctly named ones."""
     c = F.col
-    if baseline_err is not None:
-        res = res.join(baseline_err.select(entity, c("mean_pct_error").alias("simple_model_pct_err")), entity, "left")
-    else:
-        res = res.withColumn("simple_model_pct_err", F.lit(None).cast("double"))
+    if baseline_err is not None:  # replace the baseline computed on the model rows
+        res = res.drop("simple_model_pct_err").join(
+            baseline_err.select(entity, c("mean_pct_error").alias("simple_model_pct_err")), entity, "left")
     return res.select(
         entity, "n_rows", "n_samples", "test_pct_err", "val_pct_err", "test_sum_abs_error", "val_sum_abs_error",
         c("test_pct_err").cast("float").alias("training_pct_err"),

@@ -122,7 +122,7 @@ def forecast(combined: DataFrame, out: str, params: ForecastParams = ForecastPar
     from ..operators.forecast import entity_forecast_result, forecast_entities
 
     res, details = forecast_entities(combined, params, SplitParams(window=params.block), exog=exog)
-    result = entity_forecast_result(res, bl.growth_baseline_error(bl.growth_baseline(combined)))
+    result = entity_forecast_result(res)
     paths = {"results": f"{out}/forecast_results", "csv": f"{out}/forecast_csv",
              "details": f"{out}/forecast_vs_actual"}
     write_table(result, paths["results"])

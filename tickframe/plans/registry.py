@@ -542,7 +542,7 @@ def _forecast(i):
 def _entity_forecast(i):
     from ..operators.forecast import entity_forecast_result
     res, _ = _forecast(i)
-    return entity_forecast_result(res, bl.growth_baseline_error(bl.growth_baseline(i.joined)))
+    return entity_forecast_result(res)
 
 
 @register("forecast_vs_actual")
