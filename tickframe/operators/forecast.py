@@ -184,22 +184,13 @@ def _solve_fn(d: int, n_out: int, ridge: float):
     return fn, "Instrument string, scope int, n_samples long, coef array<double>"
 
 
-def _predict_udf(d: int, n_out: int):
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    def predict(feat, coef):
-        res = []
-        for f, w in zip(feat, coef):
-            if f is None or w is None or len(f) != d:
-                res.append(None)
-            else:
-                res.append((np.asarray(f) @ np.asarray(w).reshape(d, n_out)).tolist())
-        return pd.Series(res)
-
-    # real (not string) annotations: this module uses postponed evaluation
-    predict.__annotations__ = {"feat": pd.Series, "coef": pd.Series, "return": pd.Series}
-    return pandas_udf(predict, "array<double>")
+def _predict_expr(d: int, n_out: int, feat, coef):
+    """``feat @ W`` with ``W`` stored row-major (d x n_out) in ``coef``, as
+    nested higher-order functions: evaluated in the JVM, no Python worker."""
+    steps = F.sequence(F.lit(0), F.lit(n_out - 1))
+    rows = F.sequence(F.lit(0), F.lit(d - 1))
+    return F.when(F.size(feat) == d, F.transform(steps, lambda h: F.aggregate(
+        rows, F.lit(0.0), lambda acc, i: acc + F.element_at(feat, i + 1) * F.element_at(coef, i * n_out + h + 1))))
 
 
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
@@ -269,7 +260,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     anchors = passed.where(c("kind") == "anchor").select(entity, "scope", "split", "block_start", "feat",
                                                          "actual", "dates", "lo", "hi")
     pred = anchors.join(models.select(entity, "scope", "coef"), [entity, "scope"])
-    pred = pred.withColumn("yhat", _predict_udf(d, p.n_out)(c("feat"), c("coef")))
+    pred = pred.withColumn("yhat", _predict_expr(d, p.n_out, c("feat"), c("coef")))
     lo, hi = c("lo"), c("hi")
     steps = pred.select(entity, "split", "block_start", "actual", "dates", F.posexplode("yhat").alias("h", "ps"),
                         lo, hi)
