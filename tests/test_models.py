@@ -83,3 +83,17 @@ def test_forecaster_tracks_a_smooth_series(spark):
     for e in ("A", "B"):
         assert abs(again[e].test_pct_err - got[e].test_pct_err) < 1e-6
         assert again[e].n_samples == got[e].n_samples
+
+
+def test_native_prediction_matches_numpy(spark):
+    from tickframe.operators.forecast import _predict_expr
+
+    rng = np.random.default_rng(3)
+    d, h = 6, 4
+    feats = rng.normal(size=(20, d))
+    coefs = rng.normal(size=(20, d * h))
+    df = spark.createDataFrame([([float(v) for v in f], [float(v) for v in w]) for f, w in zip(feats, coefs)],
+                               "feat array<double>, coef array<double>")
+    got = [r.y for r in df.select(_predict_expr(d, h, F.col("feat"), F.col("coef")).alias("y")).collect()]
+    want = [f @ w.reshape(d, h) for f, w in zip(feats, coefs)]
+    assert all(np.allclose(g, w_, rtol=1e-12, atol=1e-12) for g, w_ in zip(got, want))
