@@ -6,13 +6,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from . import bpe, packing, pii, quality, secrets
+from . import bpe, decontaminate, lines, packing, pii, quality, secrets
 from .common import table
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 END_ID = 2
 
 
+def op1_benchmark_index(spark, sf_dir) -> DataFrame:
+    return decontaminate.report(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op2_secret_scan(spark, sf_dir) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -32,11 +36,16 @@ def op6_byte_bpe(spark, sf_dir) -> DataFrame:
     return bpe.decimal_digest(bpe.decode(encoded, path))
 
 
+def op7_line_join(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.report(lines.remove_repeated(docs))
+
+
 def op10_packed_tokens(spark, sf_dir) -> DataFrame:
     path = packing.new_file(spark)
     packing.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, END_ID, path)
     return packing.crc_of(packing.read_documents(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_pii_bootstrap, op5_rule_ensemble, op6_byte_bpe, op10_packed_tokens)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op5_rule_ensemble, op6_byte_bpe, op7_line_join, op10_packed_tokens)}
 ORACLES: dict[str, str] = {}
