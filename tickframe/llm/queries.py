@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from . import bpe, decontaminate, lines, packing, pii, quality, secrets
+from . import bpe, decontaminate, lines, ngram_join, packing, pii, quality, secrets
 from .common import table
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op3_pii_bootstrap(spark, sf_dir) -> DataFrame:
     return pii.report(pii.extract(table(spark, sf_dir, "documents")))
 
 
+def op4_count_vector_join(spark, sf_dir) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_rule_ensemble(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.report(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))))
@@ -47,5 +51,5 @@ def op10_packed_tokens(spark, sf_dir) -> DataFrame:
     return packing.crc_of(packing.read_documents(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op5_rule_ensemble, op6_byte_bpe, op7_line_join, op10_packed_tokens)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op4_count_vector_join, op5_rule_ensemble, op6_byte_bpe, op7_line_join, op10_packed_tokens)}
 ORACLES: dict[str, str] = {}
