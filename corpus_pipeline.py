@@ -17,7 +17,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, quality
+from tickframe.llm import bpe, decontaminate, lines, ngram_join, quality
 from tickframe.llm.common import stage, table
 from tickframe.llm.queries import RANKS
 
@@ -27,13 +27,28 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line repeats."""
+    return lines.remove_repeated(docs).select(*docs.columns)
+
+
+def document_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the first, of each group of near duplicates."""
+    return ngram_join.keep_one(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document's whole text, and digests of the ids and of what they decode to."""
     path = public_tokenizers.path(RANKS)
     return bpe.decimal_digest(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path))
 
 
-STAGES = [("quality", quality_stage), ("tokens", token_stage)]
+STAGES = [("quality", quality_stage), ("lines", line_stage), ("near_duplicates", document_stage), ("benchmark", benchmark_stage), ("tokens", token_stage)]
 
 #: Learned scores and set joins are not SQL; tests compare with brute force.
 ORACLE_SQL = None

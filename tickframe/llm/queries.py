@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from . import bpe, decontaminate, lines, ngram_join, packing, pii, quality, secrets
+from . import bpe, decontaminate, graph_search, lines, ngram_join, packing, pii, quality, secrets, suffixes
 from .common import table
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -45,11 +45,20 @@ def op7_line_join(spark, sf_dir) -> DataFrame:
     return lines.report(lines.remove_repeated(docs))
 
 
+def op8_suffix_array(spark, sf_dir) -> DataFrame:
+    return suffixes.report(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op9_pruned_graph(spark, sf_dir) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op10_packed_tokens(spark, sf_dir) -> DataFrame:
     path = packing.new_file(spark)
     packing.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, END_ID, path)
     return packing.crc_of(packing.read_documents(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op4_count_vector_join, op5_rule_ensemble, op6_byte_bpe, op7_line_join, op10_packed_tokens)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op4_count_vector_join, op5_rule_ensemble,
+                                   op6_byte_bpe, op7_line_join, op8_suffix_array, op9_pruned_graph, op10_packed_tokens)}
 ORACLES: dict[str, str] = {}
