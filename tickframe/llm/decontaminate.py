@@ -4,7 +4,7 @@
 document word that occurs in the queried items, and one end posting for each
 document, at its length. A query window is looked up from its rarest terms,
 by their number of postings: lists are shifted by the term's offset in the
-window, and intersected on (document, start). Starts that the rarest terms
+window, and intersected on (document, start), the rarest first. Starts that the rarest terms
 agree on are checked against the postings of the other terms. A window
 matches exactly where all terms have the same shifted start, and nearly
 where its rarest terms' shifted starts lie within ``slop``.
@@ -73,14 +73,19 @@ def rank_terms(windows: DataFrame, terms: DataFrame, postings: DataFrame) -> Dat
 def search(postings: DataFrame, ranked: DataFrame, rarest: int = RAREST, slop: int = SLOP) -> tuple[DataFrame, DataFrame]:
     """Exact matches (doc_id, window, n, start) and near ones (doc_id,
     window); exact ones are among the near."""
-    first = ranked.where(F.col("rank") <= rarest)
-    near_by = F.explode(F.when(F.col("rank") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(-slop), F.lit(slop)))).alias("by")
-    bit = F.expr("shiftleft(1, rank - 1)")
-    shifted = (postings.join(small(first), "term_id").select("doc_id", "window", "n", "rank", (F.col("pos") - F.col("offset")).alias("at"), near_by)
-               .select("doc_id", "window", "n", (F.col("at") + F.col("by")).alias("start"), bit.alias("bit"), F.when(F.col("by") == 0, bit).otherwise(F.lit(0)).alias("own")))
-    full = F.expr(f"shiftleft(1, least(n, {rarest})) - 1")
-    lists = shifted.groupBy("doc_id", "window", "n", "start").agg(F.bit_or("bit").alias("near"), F.bit_or("own").alias("own"))
-    agreed = stage(lists.where(F.col("near") == full).withColumn("exact", F.col("own") == full).select("doc_id", "window", "n", "start", "exact"), "agreed")
+    def placed(rank):
+        return small(ranked.where(F.col("rank") == rank).select("window", "n", "offset", "term_id"))
+
+    agreed = stage(postings.join(placed(1), "term_id").select("doc_id", "window", "n", (F.col("pos") - F.col("offset")).alias("start"), F.lit(True).alias("exact")).distinct(), "agreed")
+    for rank in range(2, rarest + 1):  # the next rarer list: its shifted starts have to agree
+        at = placed(rank).drop("n")
+        by = F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("by")
+        wanted = (agreed.where(F.col("n") >= rank).join(at, "window").select("doc_id", "window", "n", "start", "exact", "term_id", "offset", by)
+                  .withColumn("pos", F.col("start") + F.col("offset") + F.col("by")).drop("offset"))
+        lists = postings.join(small(ranked.where(F.col("rank") == rank).select("term_id").distinct()), "term_id", "left_semi")
+        both = (wanted.join(lists, ["doc_id", "term_id", "pos"]).groupBy("doc_id", "window", "n", "start")
+                .agg((F.first("exact") & F.max(F.col("by") == 0)).alias("exact")))
+        agreed = stage(both.unionByName(agreed.where(F.col("n") < rank)), "agreed")
     near = agreed.select("doc_id", "window").distinct()
     starts = agreed.where("exact").select("doc_id", "window", "n", "start")
     rest = ranked.where(F.col("rank") > rarest).select("window", "offset", "term_id")
