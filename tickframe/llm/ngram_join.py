@@ -45,6 +45,8 @@ COUNTERS = 1 << 18
 CHUNKS = 64
 LEAF = 16
 BLOCK = 2048
+SALTS = 4
+KEPT_PAIRS = 1_000_000
 
 _SETS = "doc_id long, n long, class long, point binary, chunk int, counts binary"
 
@@ -101,22 +103,23 @@ def shingle_levels(parts: DataFrame) -> np.ndarray:
 
 
 def _prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(token, class) of the first shingles of each set."""
+    """(token, class, place) of the first shingles of each set."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # COUNTERS bytes
 
     def tasks(batches):
         for batch in batches:
-            tokens, classes = [], []
+            tokens, classes, places = [], [], []
             for r, hashes in _per_text(batch):
                 if len(hashes):
                     n = len(hashes) - -(-NEED * len(hashes) // 100) + 1
                     order = np.lexsort((hashes, shared.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:n]
                     tokens.append(hashes[order].view(np.int64))
                     classes.append(np.full(n, _class_of(hashes)))
+                    places.append(np.arange(n, dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(classes))], ["token", "class"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, places)], ["token", "class", "place"])
 
-    return docs.mapInArrow(tasks, "token long, class long")
+    return docs.mapInArrow(tasks, "token long, class long, place int")
 
 
 def _enough(nx, ny, overlap) -> np.ndarray:
@@ -161,14 +164,25 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
         def of(group) -> pa.RecordBatch:
             part = pa.Table.from_batches(group)
             points = np.frombuffer(b"".join(part["point"].to_pylist()), "<i4").reshape(-1, GROUPS)
-            c, comp, n, side = (part[k].to_numpy() for k in ("class", "component", "n", "side"))
+            c, comp, n, side, place = (part[k].to_numpy() for k in ("class", "component", "n", "side", "place"))
             order = np.lexsort((n, comp))
             x, y = CountTree(points[order], n[order]).pairs()
             x, y = order[x], order[y]
-            ok = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y]))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(c[x], c[y])[ok]), pa.array(np.maximum(c[x], c[y])[ok])], ["a", "b"])
+            ok = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & _enough(n[x], n[y], np.minimum(n[x] - place[x], n[y] - place[y]))
+            return np.column_stack([np.minimum(c[x], c[y])[ok], np.maximum(c[x], c[y])[ok]])
+
+        held, key, pairs = [], None, np.zeros((0, 2), np.int64)
+
+        def add(more, flush=False):
+            nonlocal pairs
+            pairs = np.concatenate([pairs, more])
+            if flush or len(pairs) > KEPT_PAIRS:
+                pairs = np.unique(pairs, axis=0)
+            if flush or len(pairs) > KEPT_PAIRS // 2:
+                out, pairs = pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"]), pairs[:0]
+                return [out]
+            return []
 
-        held, key = [], None
         for batch in batches:
             k = np.stack([batch.column("token").to_numpy(), batch.column("block").to_numpy()])
             cuts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1, [batch.num_rows]])
@@ -176,14 +190,13 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
                 if i == j:
                     continue
                 if held and tuple(k[:, i]) != key:
-                    yield of(held)
+                    yield from add(of(held))
                     held = []
                 key = tuple(k[:, i])
                 held.append(batch.slice(i, j - i))
-        if held:
-            yield of(held)
+        yield from add(of(held) if held else pairs[:0], flush=True)
 
-    ordered = members.repartition("token", "block").sortWithinPartitions("token", "block", "class")
+    ordered = members.repartition("family", F.pmod("token", F.lit(SALTS)), "block").sortWithinPartitions("token", "block", "class")
     return ordered.mapInArrow(tasks, "a long, b long")
 
 
@@ -240,22 +253,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = whole_texts(docs).where(F.col("doc_id").isNotNull()).join(small(copies), "doc_id", "left_anti")
     group = Window.partitionBy("token")  # spills, so a hot shingle's rows needn't fit in memory
     entries = _prefix_rows(firsts, levels).withColumn("lead", F.min("class").over(group)).withColumn("last", F.max("class").over(group))
-    entries = stage(entries.where("lead != last").select("token", "class", "lead").distinct(), "jaccard-entries")
+    entries = stage(entries.where("lead != last").select("token", "class", "place", "lead").distinct(), "jaccard-entries")
 
     star = entries.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
     links = _links(docs, classes, star)
     found = components(links)
     labelled = entries.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    labelled = stage(labelled.select("token", "class", "component"), "jaccard-labelled")
-    # groups with several components; of those with the same members, one
-    groups = (labelled.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.bit_xor(F.xxhash64("class")).alias("s0"),
-                                            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("s1")).where("c0 != c1"))
-    groups = stage(groups.groupBy("size", "s0", "s1").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-groups")
+    labelled = stage(labelled.select("token", "class", "place", "component"), "jaccard-labelled")
+    # groups with several components
+    groups = (labelled.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1"))
+    groups = stage(groups.select("token", F.col("c0").alias("family"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-groups")
     members = labelled.join(groups, "token").withColumn("mine", F.pmod(F.hash("class"), F.col("blocks")))
     # block pair (i, j), i <= j, as one number; a class goes to each pair with its block
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "with"), F.greatest("mine", "with")
-    members = members.select("token", (low.cast("long") * F.col("blocks") + high).alias("block"), F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2).alias("side"),
+    members = members.select("token", "family", "place", (low.cast("long") * F.col("blocks") + high).alias("block"), F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2).alias("side"),
                              "class", "component")
     points = classes.select("class", F.col("n"), "point")
     more = stage(_tree_pairs(members.join(points, "class")).distinct(), "jaccard-pairs")
