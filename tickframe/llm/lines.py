@@ -10,7 +10,8 @@ Tokens are ordered by rarity: by the level of their count (over all lines,
 in counters of hashed words), then longer words first. Two lines that are
 similar share a token among the first ``n - ceil(threshold * n) + 1`` of
 each. Among lines with a common prefix token, a pair also has to pass the
-length filter and the positional filter. The join has two steps, so that a
+length filter and the positional filter, and the 64-bit sums of their tokens
+may not differ in more bits than similar lines in tokens. The join has two steps, so that a
 group of near copies isn't paired with itself: each line is verified with
 the earliest line of its token's group; only lines that remain without a
 partner are paired with all earlier lines of their groups. One earlier
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small, stage
+from .spans import let
 
 THRESHOLD = 0.9
 COUNTERS = 4096
@@ -64,61 +66,78 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
-    """(doc_id, line_no, h, n, prefix) of every line that isn't blank."""
-    levels = F.array(*map(F.lit, rarity_levels(docs)))
+    """(line_at, h, n, bits, prefix) of every line that isn't blank; ``line_at`` is its
+    place in the corpus as one number."""
+    levels = F.array(*(F.lit(level << 56).cast("long") for level in rarity_levels(docs)))
+    low = F.lit((1 << 48) - 1)
 
     def key(t):
-        return (F.shiftleft(F.element_at(levels, _counter(t) + 1).cast("long"), 56) + F.shiftleft((255 - F.least(F.length(t), F.lit(255))).cast("long"), 48)
-                + F.xxhash64(t).bitwiseAND(F.lit((1 << 48) - 1)))
+        h = F.xxhash64(t)
+        return F.element_at(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1) + F.shiftleft((255 - F.least(F.length(t), F.lit(255))).cast("long"), 48) + h.bitwiseAND(low)
 
-    keyed = _lines(docs).select("doc_id", "line_no", F.xxhash64(tokens("line")).alias("h"), F.sort_array(F.array_distinct(F.transform(tokens("line"), key))).alias("keys"))
-    n = F.size("keys")
-    return keyed.where(n > 0).select("doc_id", "line_no", "h", n.alias("n"), F.slice("keys", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")).alias("prefix"))
+    def of(words):
+        return let(F.sort_array(F.array_distinct(F.transform(words, key))), lambda keys: F.struct(
+            F.xxhash64(words).alias("h"), F.size(keys).alias("n"), F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
+            F.slice(keys, F.lit(1), (F.size(keys) - F.ceil(F.size(keys) * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
+
+    lines = _lines(docs).where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    return lines.select(_place(), let(tokens("line"), of).alias("k")).select("line_at", "k.*")
+
+
+def _place() -> Column:
+    """Place of a line as one number: 24 bits for the line in its document."""
+    fits = (F.col("line_no") < 1 << 24) & (F.abs("doc_id") < 1 << 39)
+    return F.when(fits, F.shiftleft(F.col("doc_id"), 24) + F.col("line_no")).otherwise(F.raise_error(F.lit("a doc_id of 2**39 or a text of 2**24 lines")).cast("long")).alias("line_at")
 
 
 def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Every line that isn't blank (doc_id, line_no, h), and for each distinct
-    line h its first place and whether an earlier line is similar to it."""
+    """Every line that isn't blank (line_at, h), and for each distinct line h
+    its first place and whether an earlier line is similar to it."""
     every = stage(_prefixes(docs, threshold), "lines")
-    first = stage(every.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f")).select("h", "f.*"), "lines-first")
-    entry = first.select(F.posexplode("prefix").alias("p", "token"), F.struct("doc_id", "line_no", "h").alias("at"), "n")
-    group = Window.partitionBy("token")
-    entry = (entry.withColumn("size", F.count(F.lit(1)).over(group)).withColumn("lead", F.min(F.struct("at", "n", "p")).over(group)).where("size > 1").drop("size"))
-    entry = stage(entry, "lines-entries")
+    first = stage(every.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f")).select("h", "f.*"), "lines-first")
+    entry = first.select(F.posexplode("prefix").alias("p", "token"), "line_at", "n", "bits")
+    group = Window.partitionBy("token")  # spills
+    entry = entry.withColumn("lead", F.min(F.struct("line_at", "n", "p", "bits")).over(group)).withColumn("last", F.max("line_at").over(group)).where("lead.line_at != last").drop("last")
+    entry = stage(entry.where(F.col("line_at") != F.col("lead.line_at")), "lines-entries")
 
     def may_match(x: str, y: str) -> Column:
-        nx, ny, px, py = (F.col(f"{s}{c}") for c in ("n", "p") for s in (x, y))
+        nx, ny, px, py, bx, by = (F.col(f"{s}{c}") for c in ("n", "p", "bits") for s in (x, y))
+        differ = F.floor((nx + ny) * ((1 - threshold) / (1 + threshold)) + 1e-9)  # tokens in one line only, at most
         need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
-        return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (1 + F.least(nx - px - 1, ny - py - 1) >= need)
-
-    with_lead = entry.where(F.col("at") != F.col("lead.at")).where(may_match("", "lead."))
-    done = stage(_verified(docs, first, with_lead.select(F.col("at.h").alias("h"), F.col("lead.at.h").alias("other")).distinct(), threshold), "lines-done")
-    left = entry.where(F.col("at") != F.col("lead.at")).join(done.select(F.col("h").alias("done_h")), F.col("at.h") == F.col("done_h"), "left_anti").drop("lead")
-    x = left.select("token", *(F.col(c).alias(f"x_{c}") for c in ("at", "n", "p")))
-    y = entry.where(F.col("at") != F.col("lead.at")).select("token", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "p")))
-    pairs = x.join(y, "token").where(F.col("y_at") < F.col("x_at")).where(may_match("x_", "y_"))
-    rest = _verified(docs, first, pairs.select(F.col("x_at.h").alias("h"), F.col("y_at.h").alias("other")).distinct(), threshold)
+        return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (1 + F.least(nx - px - 1, ny - py - 1) >= need) & (F.bit_count(bx.bitwiseXOR(by)) <= differ)
+
+    with_lead = entry.where(may_match("", "lead.")).select("line_at", F.col("lead.line_at").alias("other")).distinct()
+    done = stage(_verified(docs, with_lead, threshold), "lines-done")
+    left = entry.join(done, "line_at", "left_anti").drop("lead")
+    x = left.select("token", *(F.col(c).alias(f"x_{c}") for c in ("line_at", "n", "p", "bits")))
+    y = entry.select("token", *(F.col(c).alias(f"y_{c}") for c in ("line_at", "n", "p", "bits")))
+    pairs = x.join(y, "token").where(F.col("y_line_at") < F.col("x_line_at")).where(may_match("x_", "y_"))
+    rest = _verified(docs, pairs.select(F.col("x_line_at").alias("line_at"), F.col("y_line_at").alias("other")).distinct(), threshold)
     similar = done.unionByName(rest).distinct().withColumn("similar", F.lit(True))
-    places = first.select("h", F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line")).join(similar, "h", "left")
-    return every.select("doc_id", "line_no", "h"), places.withColumn("similar", F.coalesce("similar", F.lit(False)))
+    places = first.select("h", "line_at").join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
+    return every.select("line_at", "h"), places.withColumn("similar", F.coalesce("similar", F.lit(False)))
 
 
-def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The h of ``pairs`` (h, other) whose lines are similar."""
+def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The line_at of ``pairs`` (line_at, other) whose lines are similar."""
     pairs = stage(pairs, "lines-pairs")
-    used = pairs.select("h").union(pairs.select("other")).distinct()
-    places = stage(first.select("h", "doc_id", "line_no").join(used, "h", "left_semi"), "lines-places")
-    sets = stage(_lines(docs).join(small(places), ["doc_id", "line_no"]).select("h", F.array_distinct(tokens("line")).alias("words")).dropDuplicates(["h"]), "lines-sets")
-    both = (pairs.join(sets, "h").withColumnRenamed("words", "mine").join(sets.select(F.col("h").alias("other"), F.col("words").alias("theirs")), "other"))
+    used = stage(pairs.select("line_at").union(pairs.select("other")).distinct(), "lines-used")
+    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(tokens("line")).alias("words"))
+    sets = stage(texts.dropDuplicates(["line_at"]), "lines-sets")
+    both = (pairs.join(sets, "line_at").withColumnRenamed("words", "mine").join(sets.select(F.col("line_at").alias("other"), F.col("words").alias("theirs")), "other"))
     common = F.size(F.array_intersect("mine", "theirs"))
-    return both.where(common >= (F.size("mine") + F.size("theirs") - common) * threshold - 1e-9).select("h").distinct()
+    return both.where(common >= (F.size("mine") + F.size("theirs") - common) * threshold - 1e-9).select("line_at").distinct()
 
 
 def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the lines removed, and ``n_lines`` and ``n_removed``."""
     every, places = similar_lines(docs, threshold)
-    gone = every.join(places, "h").where(F.col("similar") | (F.col("doc_id") != F.col("first_doc")) | (F.col("line_no") != F.col("first_line")))
-    gone = stage(gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("removed_lines")).withColumnRenamed("doc_id", "removed_id"), "lines-removed")
+    # lines that occur once and are like no other need no join
+    places = places.join(every.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("again")), "h").where(F.col("again") | F.col("similar"))
+    gone = every.join(small(stage(places, "lines-places")), "h").where(F.col("similar") | (F.col("line_at") != F.col("first_at")))
+    gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("line_no"))
+    gone = stage(gone.groupBy("removed_id").agg(F.collect_set("line_no").alias("removed_lines")), "lines-removed")
     joined = docs.join(gone, F.col("doc_id") == F.col("removed_id"), "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed_lines"))
