@@ -1,3 +1,7 @@
+import math
+
+import pytest
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -35,3 +39,24 @@ def test_minmax_constant_and_inverse(spark):
     assert got[0].s == 0.0 and got[1].s == 0.5 and got[2].s is None
     back = df.select(minmax_inverse(minmax("x", "lo", "hi"), F.col("lo"), F.col("hi")).alias("b")).collect()
     assert back[1].b == 2.0
+
+
+def test_sums_keep_every_decimal(spark):
+    from tickframe.functions.numeric import exact_avg, exact_sum
+
+    def of(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return tuple(df.agg(exact_avg("v").alias("m"), exact_sum("v").alias("s")).first())
+
+    assert of([0.003, 0.004])[0] == pytest.approx(0.0035)
+    assert of([0.012])[0] == pytest.approx(0.012)
+    assert of([0.1] * 10) == (pytest.approx(0.1), 1.0)
+    assert all(math.isnan(x) for x in of([1.0, float("nan")]))
+    assert of([1.0, float("inf")])[0] == float("inf")
+    assert of([1e37, 1e37])[1] == 2e37
+    assert of([None]) == (None, None)
+
+
+def test_global_sort(spark):
+    df = spark.range(0, 1000, numPartitions=7).selectExpr("(id * 37) % 1000 AS v").orderBy("v")
+    assert [r.v for r in df.collect()] == list(range(1000))

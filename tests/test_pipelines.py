@@ -31,5 +31,5 @@ def test_all_jobs_end_to_end(spark, scratch):
     plan = scr._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [isnotnull(Year") >= 2
     # a single job re-run over the written tables
-    assert pl.run_job(spark, "p9", scratch) == p["baseline"]
+    assert pl.run_job(spark, "p9", scratch, split_year=SPLIT_YEAR) == p["baseline"]
     assert read(p["baseline"]).count() > 0

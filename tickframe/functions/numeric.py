@@ -18,14 +18,30 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
+STAT_SCALE = 12
+# Values up to here are summed in decimal(38, scale), which can't overflow.
+_DECIMAL_LIMIT = 1e15
+
+
 def exact_sum(c, scale: int | None = 2) -> Column:
-    """Sum of a money column. With ``scale`` the sum runs in decimal, so it is
-    exact and independent of row order (repeatable across partitionings and
-    engines); ``scale=None`` is the plain double sum."""
+    """Sum of a column. Each value is split in its first ``scale`` decimals,
+    which are summed in decimal, and what is left, which is summed as a
+    double: nothing is rounded away, and a column of ``scale`` decimals has
+    an exact sum that doesn't depend on row order. NaN, infinities and values
+    beyond the decimal range go through the double sum, as in a plain one.
+    At ``STAT_SCALE`` and above (error statistics) the rest is left out, so
+    that those sums don't depend on order either. ``scale=None`` is the plain
+    double sum."""
     x = _col(c)
     if scale is None:
         return F.sum(x)
-    return F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
+    x = x.cast("double")
+    near = F.abs(x) < _DECIMAL_LIMIT
+    part = F.when(near, x).cast(f"decimal(38,{scale})")
+    rest = x - F.coalesce(part.cast("double"), F.lit(0.0))
+    if scale >= STAT_SCALE:
+        rest = F.when(near, 0.0).otherwise(x)
+    return F.coalesce(F.sum(part).cast("double"), F.lit(0.0)) + F.sum(rest)
 
 
 def exact_avg(c, scale: int | None = 2) -> Column:
@@ -36,9 +52,6 @@ def exact_avg(c, scale: int | None = 2) -> Column:
     return F.try_divide(exact_sum(x, scale), F.count(x).cast("double"))
 
 
-STAT_SCALE = 12
-
-
 def exact_moments(c, scale: int = STAT_SCALE):
     """(n, sum, sum of squares) of a double column, accumulated in decimal so
     the result is independent of row order. Each value is first rounded to

@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import STAT_SCALE, exact_avg, pct_error, safe_div
+from .cleaning import fill_zero
+from .regress import entity_filter, split_by_year
+
+
+def test_rows(joined: DataFrame, split_year: int, entities=None) -> DataFrame:
+    """P9's input: joined rows from ``split_year`` on, of the listed entities
+    (all without a list), numeric nulls as 0."""
+    rows = split_by_year(joined, split_year)[1]
+    return fill_zero(entity_filter(rows, entities) if entities is not None else rows)
 
 
 def yearly_means(prices: DataFrame, entity: str = "Instrument", date: str = "Date",

@@ -47,16 +47,15 @@ def with_statement_calendar(df: DataFrame, date_col: str = "Date") -> DataFrame:
 def dedup(df: DataFrame, keys, order, keep: str = "first") -> DataFrame:
     """One row per key, the first (or last) in ``order``.
 
-    Written as a grouped ``min_by``/``max_by`` rather than ``row_number``:
-    the aggregate combines map-side, so a key holding a large share of the
-    rows never lands whole in one task. The remaining columns extend the
-    ordering, so the survivor is deterministic even when ``order`` ties."""
+    Written as a grouped ``min``/``max`` of one struct, the order columns
+    first, rather than ``row_number``: the aggregate combines map-side, so a
+    key holding a large share of the rows never lands whole in one task, and
+    a row is carried once. The remaining columns extend the ordering, so the
+    survivor is deterministic even when ``order`` ties."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    tie = list(order) + [c for c in rest if c not in order]
-    pick = F.min_by if keep == "first" else F.max_by
-    agg = df.groupBy(*keys).agg(
-        pick(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(f"`{c}`") for c in tie])).alias("__row"))
+    rest = list(order) + [c for c in df.columns if c not in keys and c not in order]
+    pick = F.min if keep == "first" else F.max
+    agg = df.groupBy(*keys).agg(pick(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row"))
     return agg.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 

@@ -23,7 +23,8 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
     rows = (blocks.where(c("split") != "train")
                   .withColumn("block_start", c("block_id") * window)
                   .where(c("seq") < c("block_start") + n_out))
-    hist = blocks.select(entity, (c("seq") + 1).alias("block_start"), c(value).alias("last_seen"))
+    # only a block's last row can be the last seen one: filter before the join
+    hist = blocks.where((c("seq") + 1) % window == 0).select(entity, (c("seq") + 1).alias("block_start"), c(value).alias("last_seen"))
     j = rows.join(hist, [entity, "block_start"])
     return j.groupBy(entity, "split").agg(
         F.count(F.lit(1)).alias("n_pred"),

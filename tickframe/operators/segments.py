@@ -66,10 +66,9 @@ def kmeans_sweep(table: DataFrame, cols, ks=(2, 8, 15, 25, 45), seed: int = 1, k
 
     def run(k):
         pred = KMeans(k=k, seed=seed, featuresCol="features").fit(vec).transform(vec)
-        try:
-            sil = float(ClusteringEvaluator().evaluate(pred))
-        except Exception:  # single cluster: silhouette undefined
-            sil = None
+        # of a single cluster the silhouette is undefined; any failure is raised
+        single = len(pred.select("prediction").distinct().limit(2).collect()) < 2
+        sil = None if single else float(ClusteringEvaluator().evaluate(pred))
         return (int(k), sil), pred.select(key, *cols, F.lit(int(k)).alias("k"), F.col("prediction").cast("int"))
 
     # independent fits over one persisted table: submit their jobs concurrently

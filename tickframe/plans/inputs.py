@@ -19,7 +19,7 @@ ENTITIES = ("S0", "S1", "S2", "S3", "S4", "S5", "S6", "S7", "S8", "S9", "S999999
 # Histories here are about 530 trading days per entity, so the forecaster's
 # windows are scaled down from the reference's 180-row blocks, 360 in, 90 out.
 BLOCKS = SplitParams(window=60)
-FORECAST = ForecastParams(n_in=40, n_out=10, block=60, n_lags=10, tail_forecast=5, tail_price=10)
+FORECAST = ForecastParams(n_in=40, n_out=10, block=60, tail_forecast=5, tail_price=10)
 
 
 class Inputs:

@@ -64,7 +64,7 @@ CTES = {
         {AVG2('Normalized_Income_Avail_to_Cmn_Shareholders')} AS earnings_avg,
         {SUM2('Gross_Dividends___Common_Stock')} AS dividends_sum,
         {AVG2('Total_Common_Shares_Outstanding')} AS shares_avg,
-        {DAVG('Book_Value_Per_Share', 10)} AS book_per_share_avg
+        AVG(Book_Value_Per_Share) AS book_per_share_avg
       FROM fundamentals GROUP BY Instrument, YEAR(Date)) y""",
     "latest": f"""SELECT Instrument, MAX_BY(Price_Close, Date) AS Price FROM technicals
         WHERE YEAR(Date) = {SCREEN.current_year} GROUP BY Instrument""",

@@ -131,10 +131,11 @@ def forecast(combined: DataFrame, out: str, params: ForecastParams = ForecastPar
     return paths
 
 
-def growth_baseline(tech: DataFrame, out: str) -> str:
-    """Average-growth baseline and its per-entity errors."""
+def growth_baseline(prices: DataFrame, out: str) -> str:
+    """Average-growth baseline and its per-entity errors, over the rows
+    of ``baseline.test_rows``; daily prices of all years work too."""
     path = f"{out}/growth_baseline_errors"
-    write_table(bl.growth_baseline_error(bl.growth_baseline(tech)), path)
+    write_table(bl.growth_baseline_error(bl.growth_baseline(prices)), path)
     return path
 
 
@@ -152,7 +153,7 @@ def run_all(spark: SparkSession, technicals_raw: DataFrame, fundamentals_raw: Da
     p.update(linear_model(comb, out, split_year, sector))
     p["dense"] = dense_model(comb, out, split_year, sector, epochs=dense_epochs)
     p.update(forecast(comb, out, forecast_params))
-    p["baseline"] = growth_baseline(tech, out)
+    p["baseline"] = growth_baseline(bl.test_rows(comb, split_year), out)
     return p
 
 
@@ -179,7 +180,7 @@ def run_job(spark: SparkSession, job: str, out: str, screen_params: ScreenParams
     if job == "p8":
         return forecast(comb, out, forecast_params)
     if job == "p9":
-        return growth_baseline(tech, out)
+        return growth_baseline(bl.test_rows(comb, split_year), out)
     raise ValueError(f"unknown job {job}")
 
 

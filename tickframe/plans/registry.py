@@ -178,9 +178,10 @@ def _yoy_cal(i):
 # ---------------------------------------------------------------- P4 value screen
 
 
-@register("annual_rollup", W(["annual"], "SELECT * FROM annual"))
+# means of long fractions are rounded in the output, on both sides; inputs are not
+@register("annual_rollup", W(["annual"], "SELECT * REPLACE (ROUND(book_per_share_avg, 6) AS book_per_share_avg) FROM annual"))
 def _annual(i):
-    return ru.annual_rollup(i.fundamentals)
+    return ru.annual_rollup(i.fundamentals).withColumn("book_per_share_avg", F.round("book_per_share_avg", 6))
 
 
 @register("latest_price", W(["latest"], "SELECT * FROM latest"))
@@ -244,6 +245,24 @@ def _baseline_err(i):
     return bl.growth_baseline_error(bl.growth_baseline(i.technicals))
 
 
+_LISTED = ", ".join(f"'{e}'" for e in ENTITIES)
+
+
+@register("growth_baseline_test_rows", W(["joined"], f"""SELECT Instrument, COUNT(*) AS n_days,
+    {O.DAVG('(p - m) * (p - m)')} AS mse, {O.DAVG('ABS(p - m) * 100 / NULLIF(p, 0)')} AS mean_pct_error FROM (
+      WITH r AS (SELECT Instrument, YEAR(Date) AS y, COALESCE(Price_Close, 0) AS p FROM joined
+                 WHERE Year >= {SPLIT_YEAR} AND Instrument IN ({_LISTED})),
+      a AS (SELECT Instrument, y, {O.AVG2('p')} AS mean FROM r GROUP BY Instrument, y),
+      g AS (SELECT *, (mean - LAG(mean) OVER (PARTITION BY Instrument ORDER BY y)) / NULLIF(mean, 0) AS growth FROM a),
+      k AS (SELECT Instrument, AVG(growth) AS mean_growth FROM g GROUP BY Instrument)
+      SELECT r.Instrument, r.p, g.mean * (1 + k.mean_growth) AS m FROM r JOIN g ON g.Instrument = r.Instrument AND g.y + 1 = r.y
+      JOIN k ON k.Instrument = r.Instrument) b
+    WHERE m IS NOT NULL GROUP BY Instrument"""))
+def _baseline_test_rows(i):
+    rows = bl.test_rows(i.joined, SPLIT_YEAR, ENTITIES)
+    return bl.growth_baseline_error(bl.growth_baseline(rows))
+
+
 @register("pct_error", W(["baseline"], """SELECT Instrument, Date, Price_Close, next_year_price,
     ABS(Price_Close - next_year_price) * 100 / NULLIF(Price_Close, 0) AS Error_Pct FROM baseline"""))
 def _pct_error(i):
@@ -338,7 +357,7 @@ def _upside(i):
 
 
 @register("walk_forward_naive", W(["seqd"], f"""SELECT Instrument, split, COUNT(*) AS n_pred,
-    {O.SUM2('ABS(Price_Close - last_seen)')} AS sum_abs_error,
+    ROUND(SUM(ABS(Price_Close - last_seen)), 6) AS sum_abs_error,
     {O.DAVG('ABS(Price_Close - last_seen) * 100 / NULLIF(Price_Close, 0)')} AS mean_pct_error FROM (
       SELECT b.*, h.Price_Close AS last_seen FROM (
         SELECT *, CASE WHEN block_id < nt THEN 'train' WHEN block_id < nt + ns THEN 'test' ELSE 'val' END AS split,
@@ -352,7 +371,8 @@ def _upside(i):
     GROUP BY Instrument, split"""))
 def _walk_naive(i):
     from ..operators.forecast import walk_forward_naive
-    return walk_forward_naive(sq.chrono_block_split(_seq(i), BLOCKS), FORECAST.n_out, BLOCKS.window)
+    errors = walk_forward_naive(sq.chrono_block_split(_seq(i), BLOCKS), FORECAST.n_out, BLOCKS.window)
+    return errors.withColumn("sum_abs_error", F.round("sum_abs_error", 6))
 
 
 # ---------------------------------------------------------------- P2 features
@@ -446,10 +466,6 @@ def _seg_returns(i):
 # ---------------------------------------------------------------- P2 / P3 / P5 segments (model outputs: rows check)
 
 
-def _ratios(i):
-    return fe.pairwise_ratios(fe.per_share_features(i.fundamentals))
-
-
 @register("kmeans_segments")
 def _kmeans(i):
     from ..operators.segments import kmeans_segments
@@ -511,7 +527,7 @@ def _lasso_scores(i):
 
 # ---------------------------------------------------------------- P7 dense model (rows check)
 
-DENSE_EPOCHS = 3
+DENSE_EPOCHS = 25
 
 
 @register("dense_entity_scores")

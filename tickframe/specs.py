@@ -78,7 +78,6 @@ class ForecastParams:
     n_in: int = 360
     n_out: int = 90
     block: int = 180
-    n_lags: int = 10
     ridge: float = 1e-3
     tail_forecast: int = 45
     tail_price: int = 10
