@@ -37,52 +37,62 @@ from .common import small, stage
 from .spans import let
 
 THRESHOLD = 0.9
-COUNTERS = 4096
+COUNTERS = 1 << 12
 
 _SPACE, _UPPER, _LOWER = "\t\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def tokens(line) -> Column:
-    return F.array_remove(F.split(F.translate(line, _SPACE + _UPPER, " " * len(_SPACE) + _LOWER), " "), "")
+def _plain(text: Column) -> Column:
+    """A-Z lower-cased, white space but line ends as spaces. ``lower`` does
+    the same for texts of ASCII alone, and faster."""
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+    return F.when(text.rlike("[\t\x0b\x0c\r]"), F.translate(low, _SPACE, " " * len(_SPACE))).otherwise(low)
 
 
-def _counter(token: Column) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(COUNTERS)).cast("int")
+def tokens(line: Column) -> Column:
+    return F.array_remove(F.split(_plain(line), " "), "")
+
+
+def _counter(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
 
 
 def rarity_levels(docs: DataFrame) -> list[int]:
     """log2 level of each counter's word count."""
-    text = F.translate("text", "\n", " ")
-    counts = docs.select(F.explode(tokens(text)).alias("token")).groupBy(_counter(F.col("token")).alias("c")).count().collect()  # COUNTERS rows
+    words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("token")).where("token != ''")
+    counts = words.groupBy(_counter(F.xxhash64("token")).alias("c")).count().collect()  # COUNTERS rows
     levels = [0] * COUNTERS
     for r in counts:
         levels[r["c"]] = int(2 * math.log2(r["count"]))
     return levels
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, text: Column | None = None) -> DataFrame:
+    text = F.col("text") if text is None else text
     return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-            .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")))
+            .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")))
 
 
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
     """(line_at, h, n, bits, prefix) of every line that isn't blank; ``line_at`` is its
     place in the corpus as one number."""
-    levels = F.array(*(F.lit(level << 56).cast("long") for level in rarity_levels(docs)))
+    levels = F.array(*(F.lit((level << 56) + (255 << 48)).cast("long") for level in rarity_levels(docs)))
     low = F.lit((1 << 48) - 1)
 
-    def key(t):
-        h = F.xxhash64(t)
-        return F.element_at(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1) + F.shiftleft((255 - F.least(F.length(t), F.lit(255))).cast("long"), 48) + h.bitwiseAND(low)
+    def key(h, t):
+        return F.element_at(levels, _counter(h) + 1) - F.shiftleft(F.least(F.length(t), F.lit(255)).cast("long"), 48) + h.bitwiseAND(low)
 
     def of(words):
-        return let(F.sort_array(F.array_distinct(F.transform(words, key))), lambda keys: F.struct(
-            F.xxhash64(words).alias("h"), F.size(keys).alias("n"), F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(
+        return let(F.transform(words, lambda t: F.xxhash64(t)), lambda hashes: of_hashes(words, hashes))
+
+    def of_hashes(words, hashes):
+        return let(F.sort_array(F.array_distinct(F.zip_with(hashes, words, key))), lambda keys: F.struct(
+            F.xxhash64(hashes).alias("h"), F.size(keys).alias("n"), F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(
                 F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
             F.slice(keys, F.lit(1), (F.size(keys) - F.ceil(F.size(keys) * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
 
-    lines = _lines(docs).where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
-    return lines.select(_place(), let(tokens("line"), of).alias("k")).select("line_at", "k.*")
+    lines = _lines(docs, _plain(F.col("text"))).where(F.trim("line") != "")
+    return lines.select(_place(), let(F.array_remove(F.split("line", " "), ""), of).alias("k")).select("line_at", "k.*")
 
 
 def _place() -> Column:
@@ -93,9 +103,10 @@ def _place() -> Column:
 
 def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Every line that isn't blank (line_at, h), and for each distinct line h
-    its first place and whether an earlier line is similar to it."""
+    its first place, whether it occurs again, and whether an earlier line is
+    similar to it."""
     every = stage(_prefixes(docs, threshold), "lines")
-    first = stage(every.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f")).select("h", "f.*"), "lines-first")
+    first = stage(every.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
     entry = first.select(F.posexplode("prefix").alias("p", "token"), "line_at", "n", "bits")
     group = Window.partitionBy("token")  # spills
     entry = entry.withColumn("lead", F.min(F.struct("line_at", "n", "p", "bits")).over(group)).withColumn("last", F.max("line_at").over(group)).where("lead.line_at != last").drop("last")
@@ -115,7 +126,7 @@ def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     pairs = x.join(y, "token").where(F.col("y_line_at") < F.col("x_line_at")).where(may_match("x_", "y_"))
     rest = _verified(docs, pairs.select(F.col("x_line_at").alias("line_at"), F.col("y_line_at").alias("other")).distinct(), threshold)
     similar = done.unionByName(rest).distinct().withColumn("similar", F.lit(True))
-    places = first.select("h", "line_at").join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
+    places = first.select("h", "line_at", "again").join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
     return every.select("line_at", "h"), places.withColumn("similar", F.coalesce("similar", F.lit(False)))
 
 
@@ -123,25 +134,25 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The line_at of ``pairs`` (line_at, other) whose lines are similar."""
     pairs = stage(pairs, "lines-pairs")
     used = stage(pairs.select("line_at").union(pairs.select("other")).distinct(), "lines-used")
-    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(tokens("line")).alias("words"))
+    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(tokens(F.col("line"))).alias("words"))
     sets = stage(texts.dropDuplicates(["line_at"]), "lines-sets")
     both = (pairs.join(sets, "line_at").withColumnRenamed("words", "mine").join(sets.select(F.col("line_at").alias("other"), F.col("words").alias("theirs")), "other"))
     common = F.size(F.array_intersect("mine", "theirs"))
-    return both.where(common >= (F.size("mine") + F.size("theirs") - common) * threshold - 1e-9).select("line_at").distinct()
+    return both.where(common >= (F.size("mine") + F.size("theirs")) * (threshold / (1 + threshold)) - 1e-9).select("line_at").distinct()
 
 
 def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the lines removed, and ``n_lines`` and ``n_removed``."""
     every, places = similar_lines(docs, threshold)
     # lines that occur once and are like no other need no join
-    places = places.join(every.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("again")), "h").where(F.col("again") | F.col("similar"))
+    places = places.where(F.col("again") | F.col("similar"))
     gone = every.join(small(stage(places, "lines-places")), "h").where(F.col("similar") | (F.col("line_at") != F.col("first_at")))
     gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("line_no"))
-    gone = stage(gone.groupBy("removed_id").agg(F.collect_set("line_no").alias("removed_lines")), "lines-removed")
+    gone = stage(gone.groupBy("removed_id").agg(F.collect_set(F.col("line_no") + 1).alias("removed_lines")), "lines-removed")
     joined = docs.join(gone, F.col("doc_id") == F.col("removed_id"), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed_lines"))
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
+    rest = let(lines, lambda one: F.transform(F.array_except(F.sequence(F.lit(1), F.size(one)), F.col("removed_lines")), lambda i: F.element_at(one, i)))
+    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     out = joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
                         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
