@@ -160,18 +160,37 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
     components, that the R-tree can't rule out. ``members`` has ``side``: 0
     for blocks paired with themselves, else 1 or 2, and pairs are across."""
 
-    def tasks(batches):
-        def of(group) -> pa.RecordBatch:
-            part = pa.Table.from_batches(group)
-            points = np.frombuffer(b"".join(part["point"].to_pylist()), "<i4").reshape(-1, GROUPS)
-            c, comp, n, side, place = (part[k].to_numpy() for k in ("class", "component", "n", "side", "place"))
-            order = np.lexsort((n, comp))
+    def of(part: pa.Table, cuts: np.ndarray) -> np.ndarray:
+        """Pairs of the groups of rows between ``cuts``. A group that fits in
+        one leaf has no boxes above its points, so all leaves go together."""
+        points = np.frombuffer(b"".join(part["point"].to_pylist()), "<i4").reshape(-1, GROUPS)
+        c, comp, n, side, place = (part[k].to_numpy() for k in ("class", "component", "n", "side", "place"))
+
+        def may_link(x, y):
+            return (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & _enough(n[x], n[y], np.minimum(n[x] - place[x], n[y] - place[y]))
+
+        found = [np.zeros((0, 2), np.int64)]
+        sizes = np.diff(cuts)
+        for size in np.unique(sizes[(sizes > 1) & (sizes <= LEAF)]):
+            i, j = np.triu_indices(size, 1)
+            starts = cuts[:-1][sizes == size][:, None]
+            x, y = (starts + i).ravel(), (starts + j).ravel()
+            ok = may_link(x, y)
+            x, y = x[ok], y[ok]
+            for s in range(0, len(x), 20_000):
+                v, w = x[s:s + 20_000], y[s:s + 20_000]
+                ok = _enough(n[v], n[w], np.minimum(points[v], points[w]).sum(1))
+                found.append(np.column_stack([c[v[ok]], c[w[ok]]]))
+        for first, size in zip(cuts[:-1][sizes > LEAF], sizes[sizes > LEAF], strict=True):
+            order = first + np.lexsort((n[first:first + size], comp[first:first + size]))
             x, y = CountTree(points[order], n[order]).pairs()
             x, y = order[x], order[y]
-            ok = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & _enough(n[x], n[y], np.minimum(n[x] - place[x], n[y] - place[y]))
-            return np.column_stack([np.minimum(c[x], c[y])[ok], np.maximum(c[x], c[y])[ok]])
+            ok = may_link(x, y)
+            found.append(np.column_stack([c[x[ok]], c[y[ok]]]))
+        return np.sort(np.concatenate(found), axis=1)
 
-        held, key, pairs = [], None, np.zeros((0, 2), np.int64)
+    def tasks(batches):
+        pairs, held = np.zeros((0, 2), np.int64), None
 
         def add(more, flush=False):
             nonlocal pairs
@@ -184,17 +203,14 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
             return []
 
         for batch in batches:
-            k = np.stack([batch.column("token").to_numpy(), batch.column("block").to_numpy()])
-            cuts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1, [batch.num_rows]])
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if i == j:
-                    continue
-                if held and tuple(k[:, i]) != key:
-                    yield from add(of(held))
-                    held = []
-                key = tuple(k[:, i])
-                held.append(batch.slice(i, j - i))
-        yield from add(of(held) if held else pairs[:0], flush=True)
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part])
+            k = np.stack([part["token"].to_numpy(), part["block"].to_numpy()])
+            cuts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1])
+            held = part.slice(cuts[-1])  # its group may go on
+            if cuts[-1]:
+                yield from add(of(part.slice(0, cuts[-1]), cuts))
+        yield from add(of(held, np.array([0, len(held)])) if held is not None else pairs[:0], flush=True)
 
     ordered = members.repartition("family", F.pmod("token", F.lit(SALTS)), "block").sortWithinPartitions("token", "block", "class")
     return ordered.mapInArrow(tasks, "a long, b long")
