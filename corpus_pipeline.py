@@ -44,8 +44,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document's whole text, and digests of the ids and of what they decode to."""
-    path = public_tokenizers.path(RANKS)
-    return bpe.decimal_digest(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+    return bpe.round_trip_digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality", quality_stage), ("lines", line_stage), ("near_duplicates", document_stage), ("benchmark", benchmark_stage), ("tokens", token_stage)]

@@ -24,12 +24,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .words import binaries, concat, gather, with_words, word_slices
+from .words import binaries, gather, with_words, word_slices
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
 DECODED = "doc_id long, n_tokens long, ids binary, decoded binary"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words of more bytes are merged one by one with a heap.
 LONG_WORD = 256
 NONE = np.int64(1 << 40)
@@ -147,50 +147,52 @@ def _ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every row; ids are little-endian unsigned
-    32-bit integers in one binary value."""
+def _encoded(batches, path: str):
+    """Batches (doc_id, n_tokens, ids) of batches (doc_id, words), a slice of rows each."""
+    ranks = _ranks(path)
+    for batch in batches:
+        for first, last, offsets, distinct, index in word_slices(batch.column("words")):
+            values, n = ranks.fold([w.encode() for w in distinct.to_pylist()])
+            own = np.concatenate([[0], np.cumsum(n[index])])[offsets]
+            ids = binaries(gather(values.astype("<u4"), np.cumsum(n) - n, n, index), own)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), pa.array(np.diff(own), pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
 
-    def tasks(batches):
-        ranks = _ranks(ranks_path)
-        for batch in batches:
-            counts, ids = [], []
-            words = batch.column("words")
-            for _, _, offsets, distinct, index in word_slices(words):
-                values, n = ranks.fold([w.encode() for w in distinct.to_pylist()])
-                own = np.concatenate([[0], np.cumsum(n[index])])[offsets]
-                ids.append(binaries(gather(values.astype("<u4"), np.cumsum(n) - n, n, index), own))
-                counts.append(pa.array(np.diff(own), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), concat(counts, pa.int64()), concat(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-    return with_words(docs, pattern).mapInArrow(tasks, ENCODED)
+def _decoded(batches, path: str):
+    """The batches with what their ids decode to."""
+    ranks = _ranks(path)
+    for batch in batches:
+        decoded = []
+        for ids in batch.column("ids"):
+            picks = np.frombuffer(ids.as_py(), "<u4")
+            decoded.append(gather(ranks.piece_bytes, ranks.piece_at, ranks.piece_len, picks).tobytes())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(decoded, pa.binary())],
+                                         ["doc_id", "n_tokens", "ids", "decoded"])
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with the bytes that its ids stand for."""
+def _digested(batches):
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    for batch in batches:
+        ids = [sha(" ".join(map(str, np.frombuffer(x.as_py(), "<u4").tolist())).encode()) for x in batch.column("ids")]
+        decoded = [sha(x.as_buffer()) for x in batch.column("decoded")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                                         ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def tasks(batches):
-        ranks = _ranks(ranks_path)
-        for batch in batches:
-            decoded = []
-            for ids in batch.column("ids"):
-                picks = np.frombuffer(ids.as_py(), "<u4")
-                decoded.append(gather(ranks.piece_bytes, ranks.piece_at, ranks.piece_len, picks).tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(decoded, pa.binary())],
-                                             ["doc_id", "n_tokens", "ids", "decoded"])
 
-    return encoded.mapInArrow(tasks, DECODED)
+def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every row; ids are little-endian unsigned
+    32-bit integers in one binary value."""
+    return with_words(docs, pattern).mapInArrow(lambda batches: _encoded(batches, ranks_path), ENCODED)
 
 
-def decimal_digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the decimal ids joined by one space, and
-    SHA-256 of the decoded bytes."""
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` with the bytes that its ids stand for."""
+    return encoded.mapInArrow(lambda batches: _decoded(batches, ranks_path), DECODED)
 
-    def tasks(batches):
-        for batch in batches:
-            digests = [hashlib.sha256(" ".join(map(str, np.frombuffer(x.as_py(), "<u4").tolist())).encode()).hexdigest() for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(digests, pa.string()), batch.column("decoded_sha256")],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return (encoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-            .mapInArrow(tasks, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the decimal ids joined by one space, and
+    SHA-256 of the bytes they decode to: ``encode`` and ``decode`` slice by
+    slice in one Python worker a task, so neither ids nor decoded texts
+    travel between workers."""
+    return with_words(docs, pattern).mapInArrow(lambda batches: _digested(_decoded(_encoded(batches, ranks_path), ranks_path)), DIGESTS)

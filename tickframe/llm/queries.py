@@ -35,9 +35,7 @@ def op5_rule_ensemble(spark, sf_dir) -> DataFrame:
 
 
 def op6_byte_bpe(spark, sf_dir) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decimal_digest(bpe.decode(encoded, path))
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 def op7_line_join(spark, sf_dir) -> DataFrame:

@@ -54,7 +54,3 @@ def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     width = values.dtype.itemsize
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1,
                                  [None, pa.py_buffer((offsets * width).astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
-
-
-def concat(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
