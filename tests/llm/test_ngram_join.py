@@ -2,12 +2,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickframe.llm import ngram_join
 from tickframe.llm.components import components
 from tickframe.llm.ngram_join import CountTree
 from tickframe.llm.queries import QUERIES
+from tickframe.llm.shingles import SLICE_BYTES, shingle_hashes
 
 
 def shingles(t):
@@ -73,3 +75,22 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 139)]
     got = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 140)}, 200: 100}
+
+
+@pytest.mark.parametrize("n", range(7))
+def test_slices_of_few_words(n):
+    text = " ".join(f"w{i}" for i in range(n))
+    alone, at = shingle_hashes(pa.array([text]), ngram_join.SHINGLE)
+    beside, ends = shingle_hashes(pa.array([text, "one two three four five six seven"]), ngram_join.SHINGLE)
+    assert len(at) == 2 and len(alone) == (max(1, n - 4) if n else 0)
+    assert alone.tolist() == beside[:ends[1]].tolist()
+
+
+def test_short_documents_alone(spark):
+    schema = "doc_id long, text string"
+    one = ngram_join.near_duplicates(spark.createDataFrame([(1, "two words")], schema)).collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in one] == [(1, 1, 1)]
+    long = " ".join(f"word{i}" for i in range(300_000))
+    d = spark.createDataFrame([(1, "two words"), (2, long), (3, "just three words"), (4, long)], schema).coalesce(1)
+    assert len(long) > SLICE_BYTES
+    assert sorted(r.doc_id for r in ngram_join.keep_one(d).collect()) == [1, 2, 3]

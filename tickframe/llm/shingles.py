@@ -105,7 +105,7 @@ def shingle_hashes(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     value = np.zeros(len(words), _U)
     for k in range(size):
         part = mix(words + _U((k + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
-        value[:len(words) - k] += part[k:] if k else part
+        value[:max(len(words) - k, 0)] += part[k:]
     value = mix(value)
     place = np.arange(len(words)) - offsets[rows] if len(words) else np.zeros(0, np.int64)
     keep = place + size <= counts[rows] if len(words) else np.zeros(0, bool)
