@@ -101,3 +101,12 @@ def test_line_cases(spark, threshold):
     assert got == brute_lines(docs, threshold)
     assert len(rows) == len(docs) + 1 and out.columns[:4] == d.columns
     assert lines.remove_repeated(d.limit(0)).count() == 0
+
+
+def test_lines_of_few_words_with_one_replaced(spark, tmp_path):
+    base = [f"w{i}" for i in range(25)]
+    docs = [(1, " ".join(base[:10]) + "\n" + " ".join(base)), (2, " ".join([*base[:9], "x"])),  # 9 of 11
+            (3, " ".join([*base[:23], "x", "y"])), (4, " ".join([*base[:8], "p", "q"]))]  # 23 of 27; 8 of 12
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op7_line_join"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 1, 3: 1, 4: 0}

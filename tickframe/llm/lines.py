@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import small, stage
 from .spans import let
 
-THRESHOLD = 0.9
+THRESHOLD = 0.75
 COUNTERS = 1 << 12
 
 _SPACE, _UPPER, _LOWER = "\t\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
