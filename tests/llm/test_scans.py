@@ -130,3 +130,13 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.report(secrets.scan(none)).count() == 0
     assert pii.report(pii.extract(none)).count() == 0
+
+
+def test_identifiers_without_digits(spark):
+    names = "anna ben carl dora emil fritz gerd hans ida jan".split()
+    rows = [(i, f"please write user {n}@example.com today") for i, n in enumerate(names)]
+    rows += [(100, "please write user " + " " * 60 + "dark_horse today - thanks"), (101, "no digits at all here"), (102, "user @blue.rider, today"), (103, None)]
+    out = {r.doc_id: r for r in pii.report(pii.extract(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert all(r.n_email == (i < 10) for i, r in out.items())
+    assert out[100].spans == "context:78:88" and out[101].spans == "" and out[102].spans == "context:5:17"
+    assert all("context" not in out[i].spans for i in range(10))

@@ -23,7 +23,7 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _places(lens: Column, body) -> Column:
+def places(lens: Column, body) -> Column:
     """``body(at)``, where ``at(i)`` is the sum of the first i of ``lens``: whole
     blocks by their own prefix sums, the rest of a block one by one."""
     add = lambda a, x: a + x
@@ -46,7 +46,7 @@ def matches(text: str, pattern: str, kind: str, make, inner: int = 0) -> Column:
 
     def of_gaps(found, groups, gaps):
         lens = F.zip_with(gaps, found, lambda g, m: F.length(g) + F.coalesce(F.length(m), F.lit(0)))
-        return let(lens, lambda lens: _places(lens, lambda at: F.transform(found, lambda m, i: make(
+        return let(lens, lambda lens: places(lens, lambda at: F.transform(found, lambda m, i: make(
             at(i) + F.length(F.element_at(gaps, i + 1)), i, m, F.element_at(groups, i + 1), gaps))))
 
     def of_found(found):
