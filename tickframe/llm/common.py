@@ -36,6 +36,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the folder of a staged table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (staged, narrow) with a broadcast hint if it has at most
     ``rows`` rows, else as it is, for a shuffle join."""

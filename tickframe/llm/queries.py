@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from . import bpe, decontaminate, graph_search, lines, ngram_join, packing, pii, quality, secrets, suffixes
+from . import bpe, collocations, decontaminate, graph_search, lexical, lines, ngram_join, oracles, packing, pii, quality, secrets, suffixes, warc
 from .common import table
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -57,6 +57,22 @@ def op10_packed_tokens(spark, sf_dir) -> DataFrame:
     return packing.crc_of(packing.read_documents(spark, path))
 
 
+def op11_quotient_collocations(spark, sf_dir) -> DataFrame:
+    return collocations.report(collocations.collocations(table(spark, sf_dir, "documents")))
+
+
+def op12_warc_archive(spark, sf_dir) -> DataFrame:
+    warc.register(spark)
+    folder = warc.new_folder(spark)
+    warc.as_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(folder)
+    return warc.report(spark.read.format("warc").option("payload", "false").load(folder))
+
+
+def op13_interval_search(spark, sf_dir) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_benchmark_index, op2_secret_scan, op3_pii_bootstrap, op4_count_vector_join, op5_rule_ensemble,
-                                   op6_byte_bpe, op7_line_join, op8_suffix_array, op9_pruned_graph, op10_packed_tokens)}
-ORACLES: dict[str, str] = {}
+                                   op6_byte_bpe, op7_line_join, op8_suffix_array, op9_pruned_graph, op10_packed_tokens,
+                                   op11_quotient_collocations, op12_warc_archive, op13_interval_search)}
+ORACLES = {"op11_quotient_collocations": oracles.COLLOCATIONS, "op12_warc_archive": oracles.WARC, "op13_interval_search": oracles.LEXICAL}
