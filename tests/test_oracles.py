@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tickframe.plans import registry
 from tools.check_oracles import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -37,7 +38,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
-    models = set(E.queries()) - set(E.oracle_sql())
+    models = set(registry.QUERIES) - set(registry.ORACLES)
     assert models <= {"kmeans_segments", "pca_features", "clusters_with_returns", "kmeans_sweep", "kmeans_silhouette",
                       "lasso_fit_summary", "lasso_predictions", "lasso_entity_scores", "dense_entity_scores",
                       "dense_training_history",
