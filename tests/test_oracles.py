@@ -34,7 +34,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["Instrument", "Year", "Quarter", "avg_price_close", "prev_year_price", "yearly_return"]
-    assert df.count() == 279
+    assert df.count() == 280
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
@@ -42,4 +42,4 @@ def test_every_query_has_an_oracle_or_is_a_model():
     assert models <= {"kmeans_segments", "pca_features", "clusters_with_returns", "kmeans_sweep", "kmeans_silhouette",
                       "lasso_fit_summary", "lasso_predictions", "lasso_entity_scores", "dense_entity_scores",
                       "dense_training_history",
-                      "entity_forecast", "forecast_vs_actual"}
+                      "entity_forecast", "entity_forecast_window", "forecast_vs_actual"}

@@ -15,7 +15,7 @@ def test_all_jobs_end_to_end(spark, scratch):
                    SECTOR, FORECAST, dense_epochs=1)
     read = spark.read.parquet
     assert read(p["combined"]).count() == 3637
-    assert read(p["technicals"]).count() == 3903 and read(p["fundamentals"]).count() == 260
+    assert read(p["technicals"]).count() == 3911 and read(p["fundamentals"]).count() == 260
     assert any(d.startswith("Year=") for d in os.listdir(p["combined"]))
     assert read(p["screen"]).count() == 10
     assert read(p["k_means"]).count() == 235

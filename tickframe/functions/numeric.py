@@ -29,21 +29,22 @@ def exact_sum(c, scale: int | None = 2) -> Column:
     double: nothing is rounded away, and a column of ``scale`` decimals has
     an exact sum that doesn't depend on row order. NaN, infinities and values
     beyond the decimal range go through the double sum, as in a plain one.
-    At ``STAT_SCALE`` and above (error statistics) the rest is left out, so
-    that those sums don't depend on order either. ``scale=None`` is the plain
-    double sum."""
+    ``scale=None`` is the plain double sum."""
     x = _col(c)
     if scale is None:
         return F.sum(x)
-    x = x.cast("double")
-    near = F.abs(x) < _DECIMAL_LIMIT
-    part = F.when(near, x).cast(f"decimal(38,{scale})")
-    rest = x - F.coalesce(part.cast("double"), F.lit(0.0))
-    if scale >= STAT_SCALE:
-        rest = F.when(near, 0.0).otherwise(x)
+    part, rest = exact_parts(x, scale)
     return F.coalesce(F.sum(part).cast("double"), F.lit(0.0)) + F.sum(rest)
 
 
+def exact_parts(c, scale: int = 2) -> tuple[Column, Column]:
+    """The first ``scale`` decimals of a value as a decimal (null beyond the
+    decimal range) and the rest as a double."""
+    x = _col(c).cast("double")
+    part = F.when(F.abs(x) < _DECIMAL_LIMIT, x).cast(f"decimal(38,{scale})")
+    return part, x - F.coalesce(part.cast("double"), F.lit(0.0))
+
+
 def exact_avg(c, scale: int | None = 2) -> Column:
     """Mean as ``exact_sum / count`` (null for an empty or all-null group)."""
     x = _col(c)
@@ -53,9 +54,7 @@ def exact_avg(c, scale: int | None = 2) -> Column:
 
 
 def exact_moments(c, scale: int = STAT_SCALE):
-    """(n, sum, sum of squares) of a double column, accumulated in decimal so
-    the result is independent of row order. Each value is first rounded to
-    ``scale`` decimals (the decimal form of its shortest representation)."""
+    """(n, sum, sum of squares) of a double column, by ``exact_sum``."""
     x = _col(c)
     return F.count(x), exact_sum(x, scale), exact_sum(x * x, scale)
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import STAT_SCALE, exact_avg, exact_sum, minmax, pct_error, relative_upside
+from ..sources.staging import staged
 from ..specs import ForecastParams, SplitParams
 from .baseline import growth_baseline, growth_baseline_error
+from .lagstats import LagLayout
 from .sequence import sequence_index
+from .windows import BLOCK, matrices, row_blocks
 
 
 def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str = "Price_Close",
@@ -37,17 +40,21 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
 # from the reference's per-company LSTM.
 #
 # Features of an anchor day t: the entity's min-max scaled closes of days
-# t-n_in+1..t, its scaled volume on day t, and a bias; targets: scaled
-# closes of days t+1..t+n_out. The fit needs only X'X and X'Y, which are
-# sums over samples: each (entity, chunk of rows) group -- its rows plus a
-# halo of n_in-1 earlier and n_out later rows -- emits partial sums per
-# scope (train / +test / +val), and one small per-entity step adds them up
-# and solves. Walk-forward evaluation uses the model of the scope before
-# each block, fed with the observed history, as the reference does.
+# t-n_in+1..t, its other scaled channels on day t or (channels="window") on
+# all of these days, and a bias; targets: scaled closes of days
+# t+1..t+n_out. The fit needs only X'X and X'Y, which follow from lagged
+# products (``lagstats``): each block of rows emits its sums per scope
+# (train / +test / +val), Spark adds the vectors per entity, and one small
+# step per entity solves. Walk-forward evaluation uses the model of the
+# scope before each block, fed with the observed history, as the reference
+# does; a timeline of the evaluated days, made without any model, is what
+# predictions are joined to, so a day without a prediction shows as a null.
 # ---------------------------------------------------------------------------
 
 
-def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFrame:
+def block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFrame:
+    """E6 as row numbers: where each entity's training, test and validation
+    blocks end."""
     c = F.col
     nb = F.floor(c("n_rows") / block)
     nt = F.floor(nb * split.train_frac)
@@ -56,133 +63,89 @@ def _block_bounds(seq_df: DataFrame, block: int, split: SplitParams) -> DataFram
                          (nb * block).alias("all_end"))
 
 
-_PASS_SCHEMA = ("kind string, Instrument string, scope int, chunk long, n long, gram array<double>, "
-                "xty array<double>, split string, block_start long, feat array<double>, "
-                "actual array<double>, dates array<date>, lo double, hi double")
-
-
-def _chunk_pass_fn(n_in: int, n_out: int, chunk: int, block: int, n_exog: int = 0):
-    """One NumPy pass per (entity, chunk) group. Emits ``stat`` rows (X'X,
-    X'Y and the sample count per scope, for samples anchored in the chunk)
-    and ``anchor`` rows (the feature vector of each walk-forward or future
-    anchor in the chunk, with the observed prices and dates it will be
-    scored against)."""
-    import pandas as pd
-
-    d = n_in + 2 + n_exog
-
-    def fn(key, pdf):
-        inst, ch = key
-        pdf = pdf.sort_values("seq")
-        seq = pdf["seq"].to_numpy(np.int64)
-        x = pdf["x"].to_numpy(np.float64)
-        v = pdf["v"].to_numpy(np.float64)
-        ex = pdf[[f"e{k}" for k in range(n_exog)]].to_numpy(np.float64) if n_exog else np.zeros((len(pdf), 0))
-        price = pdf["Price_Close"].to_numpy(np.float64)
-        dates = list(pdf["Date"])
-        lo = int(seq[0])
-        tr_end, te_end, all_end = (int(pdf[k].iloc[0]) for k in ("train_end", "test_end", "all_end"))
-        plo, phi = float(pdf["Price_Close_min"].iloc[0]), float(pdf["Price_Close_max"].iloc[0])
-        rows = []
-        if len(seq) != seq[-1] - lo + 1:  # not a contiguous slice: nothing to emit
-            return pd.DataFrame([], columns=_COLS)
-        first, last_t = ch * chunk, ch * chunk + chunk - 1
-
-        def feat(t):
-            return np.concatenate([x[t - n_in + 1 - lo:t + 1 - lo], [v[t - lo]], ex[t - lo], [1.0]])
-
-        # sufficient statistics of complete samples anchored in this chunk
-        t0, t1 = max(first, n_in - 1), min(last_t, all_end - 1 - n_out)
-        if t1 >= t0:
-            win = np.lib.stride_tricks.sliding_window_view(x, n_in + n_out)
-            anchors = np.arange(t0, t1 + 1)
-            starts = anchors - (n_in - 1) - lo
-            ok = (starts >= 0) & (starts < len(win))
-            starts, anchors = starts[ok], anchors[ok]
-            if len(starts):
-                w = win[starts]
-                X = np.hstack([w[:, :n_in], v[anchors - lo][:, None], ex[anchors - lo],
-                               np.ones((len(starts), 1))])
-                Y = w[:, n_in:]
-                fin = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)  # unscalable rows
-                X, Y, anchors = X[fin], Y[fin], anchors[fin]
-                tag = np.where(anchors + n_out < tr_end, 0, np.where(anchors + n_out < te_end, 1, 2))
-                for s in (0, 1, 2):
-                    m = tag == s
-                    if m.any():
-                        Xs, Ys = X[m], Y[m]
-                        rows.append(("stat", inst, s, ch, int(m.sum()), (Xs.T @ Xs).ravel().tolist(),
-                                     (Xs.T @ Ys).ravel().tolist(), None, None, None, None, None, None, None))
-        # walk-forward anchors (day before each test / validation block) and
-        # the final anchor (last day of the last whole block)
-        wanted = [(b, 0, "test") for b in range(tr_end, te_end, block)]
-        wanted += [(b, 1, "val") for b in range(te_end, all_end, block)]
-        if all_end > 0:
-            wanted.append((all_end, 2, "future"))
+def walk_forward_timeline(bounded: DataFrame, n_out: int, block: int, value: str = "Price_Close", entity: str = "Instrument",
+                          date: str = "Date") -> DataFrame:
+    """The days that a walk-forward evaluation predicts, from
+    ``block_bounds`` output alone: the first ``n_out`` rows from each test or
+    validation block's start on (they may reach into later rows). One row per
+    (entity, block_start, step ``h``) with the row's date, value and number."""
+    c = F.col
+    first, last = F.floor((c("seq") - n_out) / block) + 1, F.floor(c("seq") / block)
+    rows = bounded.where((c("seq") >= c("train_end")) & (last >= first))
+    rows = rows.select(entity, date, "seq", c(value).alias("actual"), "train_end", "test_end", "all_end",
+                       F.explode(F.sequence(first, last)).alias("block_start"))
+    rows = rows.withColumn("block_start", c("block_start") * block).where((c("block_start") >= c("train_end")) & (c("block_start") < c("all_end")))
+    split = F.when(c("block_start") < c("test_end"), "test").otherwise("val")
+    return rows.select(entity, split.alias("split"), "block_start", (c("seq") - c("block_start")).alias("h"), date, "actual",
+                       c("seq").alias("row_number"))
+
+
+_PASS = ("kind string, Instrument string, scope int, n long, sums array<double>, split string, block_start long, "
+         "feat array<double>, lo double, hi double")
+
+
+def _block_pass(layout: LagLayout, n_cols: int, rows_per_block: int, block: int):
+    """One NumPy pass per block of rows: ``stat`` rows (lag sums and sample
+    count per scope) and ``anchor`` rows (features of each walk-forward or
+    future anchor in the block)."""
+    n_in, n_out = layout.n_in, layout.n_out
+    schema = pa.schema([("kind", pa.string()), ("Instrument", pa.string()), ("scope", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.float64())),
+                        ("split", pa.string()), ("block_start", pa.int64()), ("feat", pa.list_(pa.float64())), ("lo", pa.float64()), ("hi", pa.float64())])
+
+    def one(name, number, base, ends, lo, hi, rows):
+        first, last = number * rows_per_block, (number + 1) * rows_per_block - 1  # anchors of this block
+        at = n_in - 1
+        for scope, end in enumerate(ends):
+            start, stop = max(first, at), min(last, end - 1 - n_out) + 1
+            if start < stop:
+                sums = layout.sums(rows, start - n_in + 1 - base, stop - n_in + 1 - base)
+                yield {"kind": "stat", "Instrument": name, "scope": scope, "n": stop - start, "sums": sums}
+            at = max(at, end - n_out)
+        wanted = [(b, 0, "test") for b in range(ends[0], ends[1], block)] + [(b, 1, "val") for b in range(ends[1], ends[2], block)]
+        wanted += [(ends[2], 2, "future")] if ends[2] > 0 else []
         for b, scope, split in wanted:
-            t = b - 1
-            if first <= t <= last_t and t - n_in + 1 >= lo and t >= n_in - 1:
-                f = feat(t)
-                if not np.isfinite(f).all():
-                    continue
-                hi_t = min(t + n_out, int(seq[-1])) if split != "future" else t
-                act = price[t + 1 - lo:hi_t + 1 - lo].tolist()
-                dts = dates[t + 1 - lo:hi_t + 1 - lo]
-                rows.append(("anchor", inst, scope, ch, None, None, None, split, b, f.tolist(), act, dts, plo, phi))
-        return pd.DataFrame(rows, columns=_COLS)
-
-    return fn, d
-
-
-_COLS = ["kind", "Instrument", "scope", "chunk", "n", "gram", "xty", "split", "block_start", "feat", "actual",
-         "dates", "lo", "hi"]
-
-
-def _tree_sum(partial: DataFrame, fanin: int, levels: int) -> DataFrame:
-    """Sum partial (gram, xty, n) rows of the same (entity, scope) in rounds,
-    each over groups of ``fanin`` consecutive chunk ids."""
-    import pandas as pd
-
-    def add(key, pdf):
-        inst, scope, grp = key
-        g = np.sum(np.stack([np.asarray(a) for a in pdf["gram"]]), axis=0)
-        b = np.sum(np.stack([np.asarray(a) for a in pdf["xty"]]), axis=0)
-        return pd.DataFrame({"Instrument": [inst], "scope": [scope], "chunk": [grp], "n": [int(pdf["n"].sum())],
-                             "gram": [g.tolist()], "xty": [b.tolist()]})
-
-    out = partial
-    for _ in range(levels):
-        out = (out.withColumn("_grp", F.floor(F.col("chunk") / fanin))
-                  .groupBy("Instrument", "scope", "_grp")
-                  .applyInPandas(add, "Instrument string, scope int, chunk long, n long, "
-                                      "gram array<double>, xty array<double>"))
-    return out
-
-
-def _solve_fn(d: int, n_out: int, ridge: float):
-    import pandas as pd
-
-    def fn(key, pdf):
-        inst = key[0]
-        out = []
-        g = np.zeros((d, d))
-        b = np.zeros((d, n_out))
-        n = 0
-        for s in (0, 1, 2):
-            part = pdf[pdf["scope"] == s]
-            for gr, xy, k in zip(part["gram"], part["xty"], part["n"]):
-                g += np.asarray(gr).reshape(d, d)
-                b += np.asarray(xy).reshape(d, n_out)
-                n += int(k)
-            if n > 0:
-                lam = ridge * max(np.trace(g) / d, 1e-12)
-                w = np.linalg.solve(g + lam * np.eye(d), b)
-                out.append((inst, s, n, w.ravel().tolist()))
-            else:
-                out.append((inst, s, 0, None))
-        return pd.DataFrame(out, columns=["Instrument", "scope", "n_samples", "coef"])
-
-    return fn, "Instrument string, scope int, n_samples long, coef array<double>"
+            if first <= b - 1 <= last and b >= n_in:
+                yield {"kind": "anchor", "Instrument": name, "scope": scope, "split": split, "block_start": b,
+                       "feat": layout.features(rows, b - 1 - base), "lo": lo, "hi": hi}
+
+    def tasks(batches):
+        for batch in batches:
+            names = ("Instrument", "block", "first_seq", "train_end", "test_end", "all_end", "Price_Close_min", "Price_Close_max")
+            for (name, number, base, *ends, lo, hi), rows in zip(zip(*(batch.column(x).to_pylist() for x in names), strict=True),
+                                                                  matrices(batch, n_cols), strict=True):
+                out = list(one(name, number, base, ends, lo, hi, rows))
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+
+    return tasks
+
+
+def _solve(layout: LagLayout, ridge: float, channels: int):
+    """Per entity: the models of the three scopes, each over all samples up
+    to its end. Input rows hold the summed lag sums by scope, the first rows
+    and the rows around each scope's end."""
+    span = layout.span
+    schema = pa.schema([("Instrument", pa.string()), ("scope", pa.int32()), ("n_samples", pa.int64()), ("coef", pa.list_(pa.float64()))])
+
+    def tasks(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                edge = {r["seq"]: r["v"] for r in row["edge"]}
+                take = lambda first: np.array([edge[first + i] for i in range(span - 1)]).reshape(span - 1, channels)
+                by_scope = {r["scope"]: r for r in row["stats"] or []}
+                total, n, out = np.zeros(layout.size), 0, []
+                for scope, end in enumerate((row["train_end"], row["test_end"], row["all_end"])):
+                    if scope in by_scope:
+                        total, n = total + np.array(by_scope[scope]["sums"]), n + by_scope[scope]["n"]
+                    coef = None
+                    if n:
+                        gram, cross = layout.equations(total, take(0), take(end - span + 1))
+                        lam = ridge * max(np.trace(gram) / layout.width, 1e-12)
+                        coef = np.linalg.solve(gram + lam * np.eye(layout.width), cross).ravel()
+                    out.append({"Instrument": row["Instrument"], "scope": scope, "n_samples": n, "coef": coef})
+                yield pa.RecordBatch.from_pylist(out, schema)
+
+    return tasks
 
 
 def _predict_expr(d: int, n_out: int, feat, coef):
@@ -195,88 +158,88 @@ def _predict_expr(d: int, n_out: int, feat, coef):
 
 
 def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
-                      split: SplitParams | None = None, chunk: int = 2048, entity: str = "Instrument",
-                      fanin: int = 64, levels: int | None = None, fit_on: str = "all",
-                      pct_denominator: str = "actual", exog=()):
-    """Fit, walk forward and forecast every entity. Partial statistics are
-    summed in ``levels`` rounds of ``fanin`` chunks before the per-entity
-    solve (by default as many rounds as the longest history needs), so no
-    group ever holds more than about ``3 * fanin`` matrices. Returns
-    ``(results, details)``: one row per entity (metrics, forecast, upside;
-    entities too short to model keep null metrics) and one row per
-    predicted test/validation day (``forecast_vs_actual``). ``exog`` adds
-    other columns' scaled values on the anchor day as features (the
-    reference fed its model ten statement measures); rows with a null in
-    any used column are dropped first. ``pct_denominator='prediction'``
-    reproduces the reference's swapped percent-error arguments (S17)."""
+                      split: SplitParams | None = None, chunk: int = BLOCK, entity: str = "Instrument",
+                      fit_on: str = "all", pct_denominator: str = "actual", exog=()):
+    """Fit, walk forward and forecast every entity. Returns ``(results,
+    details)``: one row per entity (metrics, forecast, upside; entities too
+    short to model keep null metrics) and one row per evaluated day of the
+    timeline, ``predicted`` null where there is no model or not enough
+    history. ``n_eval_days`` and ``n_predicted_days`` count them.
+
+    ``exog`` adds other columns' scaled values (the reference fed its model
+    ten statement measures): on the anchor day, or with
+    ``p.channels = "window"`` volume and exog on all ``n_in`` days. Rows with
+    a null or a number that isn't finite in any used column are left out and
+    counted (``rows_left_out``). ``chunk`` is the number of rows that a task
+    handles at once. ``pct_denominator='prediction'`` reproduces the
+    reference's swapped percent-error arguments (S17)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     c = F.col
     if entity != "Instrument":  # the grouped NumPy steps use the column name
         res, det = forecast_entities(series.withColumnRenamed(entity, "Instrument"), p, split, chunk,
-                                     "Instrument", fanin, levels, fit_on, pct_denominator, exog)
+                                     "Instrument", fit_on, pct_denominator, exog)
         return res.withColumnRenamed("Instrument", entity), det.withColumnRenamed("Instrument", entity)
     split = split or SplitParams(window=p.block)
-    chunk = max(chunk, p.n_in + p.n_out)  # each row then lands in at most two chunks
     exog = list(exog)
     used = ["Price_Close", "Volume", *exog]
-    rows_in = series.select(entity, "Date", *used).na.drop()
-    base = _block_bounds(sequence_index(rows_in, entity=entity, order=("Date", *used)), p.block, split)
+    numbers = [c(x).cast("double") for x in used]
+    whole = c("Date").isNotNull()
+    for x in numbers:
+        whole = whole & x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    rows_in = series.select(entity, "Date", *[x.alias(n) for x, n in zip(numbers, used, strict=True)], F.coalesce(whole, F.lit(False)).alias("_whole"))
+    left_out = rows_in.groupBy(entity).agg(F.count_if(~c("_whole")).alias("rows_left_out"))
     # min-max bounds per entity (S18: the reference fitted them on all rows,
     # test and validation included; ``fit_on='train'`` uses training rows)
-    fit_rows = base if fit_on == "all" else base.where(c("seq") < c("train_end"))
-    bounds = fit_rows.groupBy(entity).agg(*[a for col in used for a in
-                                            (F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))])
-    seq = base.join(bounds, entity, "left").select(
-        entity, "Date", "seq", "n_rows", "train_end", "test_end", "all_end", "Price_Close",
-        minmax("Price_Close", "Price_Close_min", "Price_Close_max").alias("x"),
-        minmax("Volume", "Volume_min", "Volume_max").alias("v"),
-        *[minmax(e, f"{e}_min", f"{e}_max").alias(f"e{k}") for k, e in enumerate(exog)],
-        "Price_Close_min", "Price_Close_max")
-    # read by six branches below: computed once, spilled to disk if needed,
-    # and recomputed from lineage if an executor holding it is lost
-    seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
-
-    # one NumPy pass per (entity, chunk) group with halo rows: partial
-    # statistics and anchor features (bounded groups whatever the entity size)
-    first = F.greatest(F.floor((c("seq") - p.n_out) / chunk), F.lit(0))
-    last = F.floor((c("seq") + p.n_in - 1) / chunk)
-    halo = seq.select(entity, "Date", "seq", "x", "v", *[f"e{k}" for k in range(len(exog))], "Price_Close",
-                      "train_end", "test_end", "all_end", "Price_Close_min", "Price_Close_max",
-                      F.explode(F.sequence(first, last)).alias("chunk"))
-    pfn, d = _chunk_pass_fn(p.n_in, p.n_out, chunk, p.block, len(exog))
-    passed = halo.groupBy(entity, "chunk").applyInPandas(pfn, _PASS_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-    partial = passed.where(c("kind") == "stat").select(entity, "scope", "chunk", "n", "gram", "xty")
-    if levels is None:
-        # rounds needed for the longest history: one small aggregate over the
-        # persisted sequence table (planning metadata, like a model fit)
-        longest = seq.agg(F.max("n_rows")).first()[0] or 0
-        chunks, levels = -(-int(longest) // chunk), 0
-        while chunks > fanin:
-            chunks, levels = -(-chunks // fanin), levels + 1
-    partial = _tree_sum(partial, fanin, levels)
-    solve, solve_schema = _solve_fn(d, p.n_out, p.ridge)
-    # three rows per entity, read twice below: keep, so the grouped NumPy
-    # steps run once
-    models = partial.groupBy(entity).applyInPandas(solve, solve_schema).persist(StorageLevel.MEMORY_AND_DISK)
-
-    anchors = passed.where(c("kind") == "anchor").select(entity, "scope", "split", "block_start", "feat",
-                                                         "actual", "dates", "lo", "hi")
-    pred = anchors.join(models.select(entity, "scope", "coef"), [entity, "scope"])
-    pred = pred.withColumn("yhat", _predict_expr(d, p.n_out, c("feat"), c("coef")))
-    lo, hi = c("lo"), c("hi")
-    steps = pred.select(entity, "split", "block_start", "actual", "dates", F.posexplode("yhat").alias("h", "ps"),
-                        lo, hi)
-    steps = steps.select(entity, "split", "block_start", "h", (c("ps") * (hi - lo) + lo).alias("predicted"),
-                         F.try_element_at("actual", c("h") + 1).alias("actual"),
-                         F.try_element_at("dates", c("h") + 1).alias("Date"))
-    steps = steps.persist(StorageLevel.MEMORY_AND_DISK)  # feeds the evaluation and the future forecast
+    base = sequence_index(rows_in.where("_whole").drop("_whole"), entity=entity, order=("Date", *used), bounds=used if fit_on == "all" else ())
+    base = block_bounds(base, p.block, split)
+    if fit_on != "all":
+        bounds = base.where(c("seq") < c("train_end")).groupBy(entity).agg(
+            *[a for col in used for a in (F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))])
+        base = base.join(bounds, entity, "left")
+    # an entity without training rows has no bounds to scale by, and no model
+    cells = [F.coalesce(minmax(x, f"{x}_min", f"{x}_max"), F.lit(0.0)).alias(f"x{k}") for k, x in enumerate(used)]
+    seq = staged(base.select(entity, "Date", "seq", "n_rows", "train_end", "test_end", "all_end", "Price_Close", *cells,
+                             "Price_Close_min", "Price_Close_max"), "forecast-rows")
+
+    wide = p.channels == "window"
+    layout = LagLayout(p.n_in, p.n_out, len(used) if wide else 1, 0 if wide else len(used) - 1)
+    ends = ("train_end", "test_end", "all_end")
+    blocks = row_blocks(seq, [f"x{k}" for k in range(len(used))], p.n_in - 1, p.n_out, chunk, entity,
+                        keep=(*ends, "Price_Close_min", "Price_Close_max"))
+    passed = staged(blocks.mapInArrow(_block_pass(layout, len(used), chunk, p.block), _PASS), "forecast-pass")
+
+    # lag sums: vectors added per entity and scope, combined in each task first
+    stats = (passed.where(c("kind") == "stat").select(entity, "scope", "n", array_to_vector("sums").alias("sums"))
+             .groupBy(entity, "scope").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(c("sums"))).alias("sums"))
+             .groupBy(entity).agg(F.collect_list(F.struct("scope", "n", "sums")).alias("stats")))
+    # the rows at the start and before each scope's end
+    near = c("seq") < layout.span - 1
+    for end in ends:
+        near = near | ((c("seq") >= c(end) - layout.span + 1) & (c("seq") < c(end)))
+    window_cells = F.array(*[c(f"x{k}") for k in range(layout.n_window)])
+    edges = seq.where(near).groupBy(entity).agg(F.collect_list(F.struct("seq", window_cells.alias("v"))).alias("edge"),
+                                                *[F.max(e).alias(e) for e in ends])
+    models = staged(stats.join(edges, entity).mapInArrow(_solve(layout, p.ridge, layout.n_window),
+                                                         "Instrument string, scope int, n_samples long, coef array<double>"), "forecast-models")
+
+    anchors = passed.where(c("kind") == "anchor").select(entity, "scope", "split", "block_start", "feat", "lo", "hi")
+    pred = anchors.join(models.where(c("coef").isNotNull()).select(entity, "scope", "coef"), [entity, "scope"])
+    pred = pred.withColumn("yhat", _predict_expr(layout.width, p.n_out, c("feat"), c("coef")))
+    steps = staged(pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), "lo", "hi")
+                   .select(entity, "split", "block_start", c("h").cast("long").alias("h"),
+                           (c("ps") * (c("hi") - c("lo")) + c("lo")).alias("predicted")), "forecast-steps")
     ent = seq.where(c("seq") == 0).select(entity, "n_rows")  # one row per entity, no shuffle
 
-    # evaluated days: the first n_out days of each test / validation block
-    details = (steps.where((c("split") != "future") & c("actual").isNotNull())
-               .select(entity, "split", "block_start", "h", "Date", "actual", "predicted"))
+    # every evaluated day, with its prediction if there is one
+    timeline = walk_forward_timeline(seq, p.n_out, p.block, entity=entity)
+    details = timeline.join(steps.where(c("split") != "future").drop("split"), [entity, "block_start", "h"], "left").select(
+        entity, "split", "block_start", "h", "Date", "row_number", "actual", "predicted")
     err = F.abs(c("predicted") - c("actual"))
     pct = F.try_divide(err * 100.0, c("predicted") if pct_denominator == "prediction" else c("actual"))
     metrics = details.groupBy(entity).agg(
+        F.count("*").alias("n_eval_days"), F.count("predicted").alias("n_predicted_days"),
         F.avg(F.when(c("split") == "test", pct)).alias("test_pct_err"),
         F.avg(F.when(c("split") == "val", pct)).alias("val_pct_err"),
         F.sum(F.when(c("split") == "test", err)).alias("test_sum_abs_error"),
@@ -286,8 +249,8 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     recent = (seq.where(c("seq") >= c("n_rows") - p.tail_price)
               .groupBy(entity).agg(exact_avg("Price_Close").alias("recent_price")))
     nsamp = models.where(c("scope") == 2).select(entity, "n_samples")
-    res = (ent.join(nsamp, entity, "left").join(metrics, entity, "left")
-           .join(future, entity, "left").join(recent, entity, "left"))
+    res = (ent.join(left_out, entity, "left").join(nsamp, entity, "left").join(metrics, entity, "left")
+           .join(future, entity, "left").join(recent, entity, "left").fillna(0, ["n_eval_days", "n_predicted_days", "n_samples"]))
     res = res.withColumn("potential_upside", relative_upside("future_predicted_price", "recent_price"))
     # the simple model on the same rows the forecaster used (the reference
     # scored its growth baseline on the model's own cleaned data)
@@ -306,7 +269,7 @@ def entity_forecast_result(res: DataFrame, baseline_err: DataFrame | None = None
         res = res.drop("simple_model_pct_err").join(
             baseline_err.select(entity, c("mean_pct_error").alias("simple_model_pct_err")), entity, "left")
     return res.select(
-        entity, "n_rows", "n_samples", "test_pct_err", "val_pct_err", "test_sum_abs_error", "val_sum_abs_error",
+        entity, "n_rows", "rows_left_out", "n_samples", "n_eval_days", "n_predicted_days", "test_pct_err", "val_pct_err", "test_sum_abs_error", "val_sum_abs_error",
         c("test_pct_err").cast("float").alias("training_pct_err"),
         c("val_pct_err").cast("float").alias("val_pct_err_f"),
         c("simple_model_pct_err").cast("float").alias("simple_model_pct_err"),

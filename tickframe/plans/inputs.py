@@ -4,8 +4,11 @@ cleaned and joined forms, plus the fixture's parameter values."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_sum
 from ..operators.cleaning import clean_fundamentals, clean_technicals, coerce
+from ..operators.features import PER_SHARE_MEASURES
 from ..operators.joins import join_tech_fund
 from ..sources.fixtures import fundamentals_raw, technicals_raw
 from ..specs import TECHNICALS, ForecastParams, ScreenParams, SplitParams
@@ -16,10 +19,9 @@ SCREEN = ScreenParams(current_year=2000, base_year=1996, since_year=1996)
 SPLIT_YEAR = 2000
 SECTOR = "AMERICA"
 ENTITIES = ("S0", "S1", "S2", "S3", "S4", "S5", "S6", "S7", "S8", "S9", "S999999")
-# Histories here are about 530 trading days per entity, so the forecaster's
-# windows are scaled down from the reference's 180-row blocks, 360 in, 90 out.
-BLOCKS = SplitParams(window=60)
-FORECAST = ForecastParams(n_in=40, n_out=10, block=60, tail_forecast=5, tail_price=10)
+# The reference's own windows: 180-row blocks, 360 rows in, 90 out.
+BLOCKS = SplitParams()
+FORECAST = ForecastParams()
 
 
 class Inputs:
@@ -57,3 +59,11 @@ class Inputs:
     @property
     def joined(self) -> DataFrame:
         return self._get("j", lambda: join_tech_fund(self.technicals, self.fundamentals))
+
+    @property
+    def countries(self) -> DataFrame:
+        """Daily series by country: the joined rows of its companies, highest
+        close, summed volume and statement measures."""
+        total = [exact_sum(c).alias(c) for c in ("Volume", *PER_SHARE_MEASURES)]
+        return self._get("c", lambda: self.joined.groupBy(F.col("Country_of_Headquarters").alias("Instrument"), "Date")
+                         .agg(F.max("Price_Close").alias("Price_Close"), *total))

@@ -70,6 +70,10 @@ CTES = {
         WHERE YEAR(Date) = {SCREEN.current_year} GROUP BY Instrument""",
     "seqd": """SELECT *, ROW_NUMBER() OVER (PARTITION BY Instrument ORDER BY Date) - 1 AS seq,
         COUNT(*) OVER (PARTITION BY Instrument) AS n_rows FROM technicals""",
+    "countries": f"""SELECT Country_of_Headquarters AS Instrument, Date, MAX(Price_Close) AS Price_Close, SUM(Volume) AS Volume,
+        {", ".join(f"SUM({m}) AS {m}" for m in PER_SHARE_MEASURES)} FROM joined GROUP BY Country_of_Headquarters, Date""",
+    "country_seq": """SELECT *, ROW_NUMBER() OVER (PARTITION BY Instrument ORDER BY Date) - 1 AS seq,
+        COUNT(*) OVER (PARTITION BY Instrument) AS n_rows FROM countries""",
     "yearly": f"""SELECT Instrument, CAST(YEAR(Date) AS INTEGER) AS year, {AVG2('Price_Close')} AS avg_price
         FROM technicals GROUP BY Instrument, YEAR(Date)""",
     "growth": """SELECT *, (avg_price - LAG(avg_price) OVER (PARTITION BY Instrument ORDER BY year))
@@ -93,6 +97,8 @@ DEPS = {
     "annual": ["fundamentals"],
     "latest": ["technicals"],
     "seqd": ["technicals"],
+    "countries": ["joined"],
+    "country_seq": ["countries"],
     "yearly": ["technicals"],
     "growth": ["yearly"],
     "baseline": ["growth", "technicals"],

@@ -5,6 +5,8 @@ definitions, so its work grows with the data."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions.calendar import price_quarter, statement_quarter, statement_year
@@ -237,19 +239,25 @@ def _baseline(i):
     return bl.growth_baseline(i.technicals)
 
 
-@register("growth_baseline_error", W(["baseline"], f"""SELECT Instrument, COUNT(*) AS n_days,
-    {O.DAVG('(Price_Close - next_year_price) * (Price_Close - next_year_price)')} AS mse,
-    {O.DAVG('ABS(Price_Close - next_year_price) * 100 / NULLIF(Price_Close, 0)')} AS mean_pct_error
+def _rounded(df, **digits):
+    """Statistics of doubles depend on the order of sums in their last bits:
+    registered queries round them in the output, as their SQL does."""
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@register("growth_baseline_error", W(["baseline"], """SELECT Instrument, COUNT(*) AS n_days,
+    ROUND(FAVG((Price_Close - next_year_price) * (Price_Close - next_year_price)), 3) AS mse,
+    ROUND(FAVG(ABS(Price_Close - next_year_price) * 100 / NULLIF(Price_Close, 0)), 6) AS mean_pct_error
     FROM baseline GROUP BY Instrument"""))
 def _baseline_err(i):
-    return bl.growth_baseline_error(bl.growth_baseline(i.technicals))
+    return _rounded(bl.growth_baseline_error(bl.growth_baseline(i.technicals)), mse=3, mean_pct_error=6)
 
 
 _LISTED = ", ".join(f"'{e}'" for e in ENTITIES)
 
 
 @register("growth_baseline_test_rows", W(["joined"], f"""SELECT Instrument, COUNT(*) AS n_days,
-    {O.DAVG('(p - m) * (p - m)')} AS mse, {O.DAVG('ABS(p - m) * 100 / NULLIF(p, 0)')} AS mean_pct_error FROM (
+    ROUND(FAVG((p - m) * (p - m)), 3) AS mse, ROUND(FAVG(ABS(p - m) * 100 / NULLIF(p, 0)), 6) AS mean_pct_error FROM (
       WITH r AS (SELECT Instrument, YEAR(Date) AS y, COALESCE(Price_Close, 0) AS p FROM joined
                  WHERE Year >= {SPLIT_YEAR} AND Instrument IN ({_LISTED})),
       a AS (SELECT Instrument, y, {O.AVG2('p')} AS mean FROM r GROUP BY Instrument, y),
@@ -260,7 +268,7 @@ _LISTED = ", ".join(f"'{e}'" for e in ENTITIES)
     WHERE m IS NOT NULL GROUP BY Instrument"""))
 def _baseline_test_rows(i):
     rows = bl.test_rows(i.joined, SPLIT_YEAR, ENTITIES)
-    return bl.growth_baseline_error(bl.growth_baseline(rows))
+    return _rounded(bl.growth_baseline_error(bl.growth_baseline(rows)), mse=3, mean_pct_error=6)
 
 
 @register("pct_error", W(["baseline"], """SELECT Instrument, Date, Price_Close, next_year_price,
@@ -271,15 +279,15 @@ def _pct_error(i):
                     pct_error("Price_Close", "next_year_price").alias("Error_Pct"))
 
 
-@register("regression_metrics", W(["baseline"], f"""SELECT Instrument, n, sse, sse / n AS mse, SQRT(sse / n) AS rmse,
-    sum_abs_error, 1 - sse / NULLIF(saa - sa * sa / n, 0) AS r2 FROM (
-    SELECT Instrument, COUNT(*) AS n, {O.DSUM('e * e')} AS sse, {O.DSUM('ABS(e)')} AS sum_abs_error,
-      {O.DSUM('a')} AS sa, {O.DSUM('a * a')} AS saa
+@register("regression_metrics", W(["baseline"], """SELECT Instrument, n, ROUND(sse, 0) AS sse, ROUND(sse / n, 3) AS mse,
+    ROUND(SQRT(sse / n), 6) AS rmse, ROUND(sum_abs_error, 4) AS sum_abs_error, ROUND(1 - sse / NULLIF(saa - sa * sa / n, 0), 9) AS r2 FROM (
+    SELECT Instrument, COUNT(*) AS n, FSUM(e * e) AS sse, FSUM(ABS(e)) AS sum_abs_error, FSUM(a) AS sa, FSUM(a * a) AS saa
     FROM (SELECT Instrument, Price_Close AS a, Price_Close - next_year_price AS e FROM baseline) x
     GROUP BY Instrument) g"""))
 def _reg_metrics(i):
     from ..operators.regress import regression_metrics
-    return regression_metrics(bl.growth_baseline(i.technicals), "Price_Close", "next_year_price")
+    return _rounded(regression_metrics(bl.growth_baseline(i.technicals), "Price_Close", "next_year_price"),
+                    sse=0, mse=3, rmse=6, sum_abs_error=4, r2=9)
 
 
 # ---------------------------------------------------------------- sequences and scaling
@@ -324,14 +332,33 @@ def _blocks(i):
 _NI, _NO = FORECAST.n_in, FORECAST.n_out
 
 
-@register("sliding_windows", W(["technicals"], f"""SELECT * FROM (
+@register("sliding_windows", W(["countries"], f"""SELECT * FROM (
     SELECT Instrument, ROW_NUMBER() OVER w - 1 AS sample_start, Date AS input_start_date,
       LEAD(Date, {_NI - 1}) OVER w AS input_end_date, LEAD(Date, {_NI + _NO - 1}) OVER w AS label_end_date,
-      CAST(SUM(CAST(Price_Close AS DECIMAL(38,2))) OVER (w ROWS BETWEEN CURRENT ROW AND {_NI - 1} FOLLOWING) AS DOUBLE) / {_NI}.0 AS input_mean,
-      CAST(SUM(CAST(Price_Close AS DECIMAL(38,2))) OVER (w ROWS BETWEEN {_NI} FOLLOWING AND {_NI + _NO - 1} FOLLOWING) AS DOUBLE) / {_NO}.0 AS label_mean
-    FROM technicals WINDOW w AS (PARTITION BY Instrument ORDER BY Date)) s WHERE label_end_date IS NOT NULL"""))
+      ROUND(AVG(Price_Close) OVER (w ROWS BETWEEN CURRENT ROW AND {_NI - 1} FOLLOWING), 6) AS input_mean,
+      ROUND(AVG(Price_Close) OVER (w ROWS BETWEEN {_NI} FOLLOWING AND {_NI + _NO - 1} FOLLOWING), 6) AS label_mean
+    FROM countries WINDOW w AS (PARTITION BY Instrument ORDER BY Date)) s WHERE label_end_date IS NOT NULL"""))
 def _sliding(i):
-    return sq.sliding_window_stats(_seq(i, {"cum_price": "Price_Close"}), _NI, _NO)
+    seq = sq.sequence_index(i.countries, running={"cum_price": "Price_Close"})
+    return _rounded(sq.sliding_window_stats(seq, _NI, _NO), input_mean=6, label_mean=6)
+
+
+_CHANNELS = ["Price_Close", "Volume", *fe.PER_SHARE_MEASURES]
+_SPAN = _NI + _NO
+
+
+@register("window_checksums", W(["country_seq"], f"""SELECT Instrument, channel, n_windows, ROUND(a / n_windows, 2) AS input_mean,
+    ROUND(b / n_windows, 2) AS input_weighted_mean, CASE WHEN channel = 'Price_Close' THEN ROUND(y / n_windows, 2) END AS label_mean FROM (
+      SELECT Instrument, channel, MAX(n_rows) - {_SPAN} + 1 AS n_windows,
+        FSUM(CASE WHEN i < {_NI} THEN value END) / {_NI} AS a, FSUM(CASE WHEN i < {_NI} THEN value * (i + 1) END) / ({_NI} * ({_NI} + 1) / 2) AS b,
+        FSUM(CASE WHEN i >= {_NI} THEN value END) / {_NO} AS y
+      FROM (SELECT s.Instrument, s.seq, s.n_rows, c.channel, c.value, steps.i FROM country_seq s,
+              LATERAL (VALUES {", ".join(f"('{c}', s.{c})" for c in _CHANNELS)}) c(channel, value), range({_SPAN}) steps(i)
+            WHERE s.n_rows >= {_SPAN} AND s.seq - steps.i BETWEEN 0 AND s.n_rows - {_SPAN}) r
+      GROUP BY Instrument, channel) g"""))
+def _window_checksums(i):
+    from ..operators.windows import window_summary
+    return _rounded(window_summary(sq.sequence_index(i.countries), _CHANNELS, _NI, _NO), input_mean=2, input_weighted_mean=2, label_mean=2)
 
 
 @register("tail_mean", W(["seqd"], f"""SELECT Instrument, {O.AVG2('Price_Close')} AS tail_mean, COUNT(*) AS tail_rows
@@ -356,23 +383,23 @@ def _upside(i):
         "Instrument", "forecast", "recent", relative_upside("forecast", "recent").alias("upside"))
 
 
-@register("walk_forward_naive", W(["seqd"], f"""SELECT Instrument, split, COUNT(*) AS n_pred,
-    ROUND(SUM(ABS(Price_Close - last_seen)), 6) AS sum_abs_error,
-    {O.DAVG('ABS(Price_Close - last_seen) * 100 / NULLIF(Price_Close, 0)')} AS mean_pct_error FROM (
+@register("walk_forward_naive", W(["country_seq"], f"""SELECT Instrument, split, COUNT(*) AS n_pred,
+    ROUND(FSUM(ABS(Price_Close - last_seen)), 4) AS sum_abs_error,
+    ROUND(FAVG(ABS(Price_Close - last_seen) * 100 / NULLIF(Price_Close, 0)), 6) AS mean_pct_error FROM (
       SELECT b.*, h.Price_Close AS last_seen FROM (
         SELECT *, CASE WHEN block_id < nt THEN 'train' WHEN block_id < nt + ns THEN 'test' ELSE 'val' END AS split,
                block_id * {BLOCKS.window} AS block_start FROM (
           SELECT *, CAST(CEIL((nb - nt) * 0.5) AS BIGINT) AS ns FROM (
             SELECT *, CAST(FLOOR(seq / {BLOCKS.window}) AS BIGINT) AS block_id, CAST(FLOOR(n_rows / {BLOCKS.window}) AS BIGINT) AS nb,
-                   CAST(FLOOR(FLOOR(n_rows / {BLOCKS.window}) * {BLOCKS.train_frac}) AS BIGINT) AS nt FROM seqd) a) c
+                   CAST(FLOOR(FLOOR(n_rows / {BLOCKS.window}) * {BLOCKS.train_frac}) AS BIGINT) AS nt FROM country_seq) a) c
         WHERE block_id < nb) b
-      JOIN seqd h ON h.Instrument = b.Instrument AND h.seq = b.block_start - 1
+      JOIN country_seq h ON h.Instrument = b.Instrument AND h.seq = b.block_start - 1
       WHERE b.split <> 'train' AND b.seq < b.block_start + {FORECAST.n_out}) x
     GROUP BY Instrument, split"""))
 def _walk_naive(i):
     from ..operators.forecast import walk_forward_naive
-    errors = walk_forward_naive(sq.chrono_block_split(_seq(i), BLOCKS), FORECAST.n_out, BLOCKS.window)
-    return errors.withColumn("sum_abs_error", F.round("sum_abs_error", 6))
+    errors = walk_forward_naive(sq.chrono_block_split(sq.sequence_index(i.countries), BLOCKS), FORECAST.n_out, BLOCKS.window)
+    return _rounded(errors, sum_abs_error=4, mean_pct_error=6)
 
 
 # ---------------------------------------------------------------- P2 features
@@ -392,14 +419,12 @@ _STD_COLS = ["Revenue_Per_Share", "Book_Value_Per_Share", "EBIT_per_share"]
 
 
 @register("standardize", W(["fundamentals"], "SELECT p.*, " + ", ".join(
-    f"({c} - m{k}) / NULLIF(s{k}, 0) AS {c}_z" for k, c in enumerate(_STD_COLS)) + f" FROM ({O.per_share_select()}) p, ("
-    "SELECT " + ", ".join(f"{O.DSUM(c)} / CAST(COUNT({c}) AS DOUBLE) AS m{k}, SQRT(({O.DSUM(f'{c} * {c}')} - "
-                          f"{O.DSUM(c)} * {O.DSUM(c)} / CAST(COUNT({c}) AS DOUBLE)) / (CAST(COUNT({c}) AS DOUBLE) - 1)) AS s{k}"
-                          for k, c in enumerate(_STD_COLS))
+    f"ROUND(({c} - m{k}) / NULLIF(s{k}, 0), 6) AS {c}_z" for k, c in enumerate(_STD_COLS)) + f" FROM ({O.per_share_select()}) p, ("
+    "SELECT " + ", ".join(f"FAVG({c}) AS m{k}, STDDEV_SAMP({c}) AS s{k}" for k, c in enumerate(_STD_COLS))
     + f" FROM ({O.per_share_select()}) t WHERE Year < {SPLIT_YEAR}) st"))
 def _standardize(i):
     ps = fe.per_share_features(i.fundamentals)
-    return fe.standardize(ps, _STD_COLS, fit=ps.where(F.col("Year") < SPLIT_YEAR))
+    return _rounded(fe.standardize(ps, _STD_COLS, fit=ps.where(F.col("Year") < SPLIT_YEAR)), **{f"{c}_z": 6 for c in _STD_COLS})
 
 
 # ---------------------------------------------------------------- P6 splits and filters
@@ -547,11 +572,11 @@ def _dense_history(i):
 # ---------------------------------------------------------------- P8 forecaster (rows check)
 
 
-def _forecast(i):
-    # as the reference: each entity's joined daily rows, with the ten
-    # statement measures as further inputs
+def _forecast(i, **changed):
+    # as the reference: daily rows with the ten statement measures as further
+    # inputs, at its windows; the series that are long enough are countries'
     from ..operators.forecast import forecast_entities
-    return forecast_entities(i.joined, FORECAST, BLOCKS, exog=fe.PER_SHARE_MEASURES)
+    return forecast_entities(i.countries, replace(FORECAST, **changed), BLOCKS, exog=fe.PER_SHARE_MEASURES)
 
 
 @register("entity_forecast")
@@ -564,3 +589,35 @@ def _entity_forecast(i):
 @register("forecast_vs_actual")
 def _forecast_vs_actual(i):
     return _forecast(i)[1]
+
+
+@register("forecast_actuals", W(["country_seq"], f"""SELECT Instrument, CASE WHEN block_id < nt + ns THEN 'test' ELSE 'val' END AS split,
+    block_id * {BLOCKS.window} AS block_start, seq - block_id * {BLOCKS.window} AS h, Date, Price_Close AS actual, seq AS row_number FROM (
+      SELECT *, CAST(CEIL((nb - nt) * {BLOCKS.test_frac_of_rest}) AS BIGINT) AS ns FROM (
+        SELECT *, seq // {BLOCKS.window} AS block_id, n_rows // {BLOCKS.window} AS nb,
+               CAST(FLOOR(n_rows // {BLOCKS.window} * {BLOCKS.train_frac}) AS BIGINT) AS nt FROM country_seq) a) b
+    WHERE block_id >= nt AND block_id < nb AND seq - block_id * {BLOCKS.window} < {FORECAST.n_out}"""))
+def _forecast_actuals(i):
+    from ..operators.forecast import block_bounds, walk_forward_timeline
+    return walk_forward_timeline(block_bounds(sq.sequence_index(i.countries), BLOCKS.window, BLOCKS), FORECAST.n_out, BLOCKS.window)
+
+
+@register("forecast_coverage", W(["country_seq"], f"""SELECT Instrument, n_rows, 0 AS rows_left_out,
+    GREATEST(nb * {BLOCKS.window} - {_SPAN} + 1, 0) AS n_samples, COUNT_IF(evaluated) AS n_eval_days,
+    COUNT_IF(evaluated AND block_id * {BLOCKS.window} >= {_NI}
+      AND (CASE WHEN block_id < nt + ns THEN nt ELSE nt + ns END) * {BLOCKS.window} >= {_SPAN}) AS n_predicted_days FROM (
+      SELECT *, block_id >= nt AND block_id < nb AND seq - block_id * {BLOCKS.window} < {_NO} AS evaluated FROM (
+        SELECT *, CAST(CEIL((nb - nt) * {BLOCKS.test_frac_of_rest}) AS BIGINT) AS ns FROM (
+          SELECT *, seq // {BLOCKS.window} AS block_id, n_rows // {BLOCKS.window} AS nb,
+                 CAST(FLOOR(n_rows // {BLOCKS.window} * {BLOCKS.train_frac}) AS BIGINT) AS nt FROM country_seq) a) b) d
+    GROUP BY Instrument, n_rows, nb"""))
+def _forecast_coverage(i):
+    return _forecast(i)[0].select("Instrument", "n_rows", "rows_left_out", "n_samples", "n_eval_days", "n_predicted_days")
+
+
+@register("entity_forecast_window")
+def _entity_forecast_window(i):
+    """All twelve channels on all 360 days."""
+    from ..operators.forecast import entity_forecast_result
+    res, _ = _forecast(i, channels="window")
+    return entity_forecast_result(res)

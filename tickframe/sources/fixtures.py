@@ -22,14 +22,10 @@ def _dec(c):
 
 def technicals_raw(spark: SparkSession, base: str) -> DataFrame:
     """Daily series with the reference's defects: text-typed dates and
-    prices, null dates and volumes, unparseable prices, and a missing
-    quarter for a seventh of the entities."""
+    prices, null dates and volumes, and unparseable prices."""
     li = load_table(spark, base, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber")
-    hole = ((F.col("l_suppkey") % 7 == 3) & (F.year("l_shipdate") == 1998)
-            & (F.quarter("l_shipdate") == 2))
-    daily = (li.where(~hole)
-             .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("dt"))
+    daily = (li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("dt"))
              .agg(F.max("l_extendedprice").alias("px"),
                   F.sum(_dec("l_quantity")).cast("double").alias("qty"),
                   F.count(F.lit(1)).alias("n"),
@@ -112,7 +108,6 @@ FROM (SELECT CONCAT('S', CAST(l_suppkey AS STRING)) AS Instrument, CAST(l_shipda
         MAX(l_extendedprice) AS px, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty,
         COUNT(*) AS n, MIN(l_linenumber) AS lm
       FROM lineitem
-      WHERE NOT (l_suppkey % 7 = 3 AND YEAR(l_shipdate) = 1998 AND QUARTER(l_shipdate) = 2)
       GROUP BY l_suppkey, CAST(l_shipdate AS DATE)) q
 """
 
