@@ -48,6 +48,43 @@ def test_dense_fits_planted_relation(spark):
     assert [e for e, _ in hist] == [1, 2, 3, 4, 5, 6] and hist[-1][1] < 0.1 * np.var(y)
 
 
+def test_dense_results_do_not_depend_on_partitions_or_batches(spark):
+    """As on another number of cores: other input and shuffle partitions and
+    other Arrow batches give the same weights, bit for bit."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 3))
+    y = x @ np.array([1.0, -2.0, 0.5])
+    df = spark.createDataFrame([([float(v) for v in xi], float(yi)) for xi, yi in zip(x, y)], "x array<double>, y double")
+    got = []
+    for parts, shuffle, batch in ((4, "4", "10000"), (8, "13", "37")):
+        old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        got.append(dense.fit_dense(df.repartition(parts), 3, hidden=(8, 8), epochs=3, batch=32, shard_rows=200))
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert (got[0] == got[1]).all()
+
+
+def test_dense_state_survives_epochs_and_batches(spark):
+    """One shard: the epochs are one plain run of Adam over the same order."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(100, 2))
+    y = x[:, 0] - x[:, 1]
+    df = spark.createDataFrame([([float(v) for v in xi], float(yi)) for xi, yi in zip(x, y)], "x array<double>, y double")
+    got = dense.fit_dense(df.repartition(3), 2, hidden=(4,), epochs=2, batch=30, dropout=0.0)
+    flat = dense.init_weights(2, (4,))
+    one = dense.Adam(np.concatenate([flat, np.zeros(2 * len(flat) + 1)]), 2, (4,), 0.01, 0.0, None)
+    key = F.xxhash64("x", "y")
+    for epoch in range(2):
+        rows = df.orderBy(F.xxhash64(key, F.lit(epoch)), key).collect()
+        for k in range(0, 100, 30):
+            part = rows[k:k + 30]
+            one.step(np.array([r.x for r in part], np.float32), np.array([r.y for r in part], np.float32))
+    assert one.t == 8 and np.allclose(got, one.state()[:len(flat)], atol=1e-6)
+    assert len(dense.fit_dense(df.limit(0), 2, hidden=(4,), epochs=2)) == len(flat)
+
+
 def test_forecaster_tracks_a_smooth_series(spark):
     start = dt.date(2010, 1, 1)
     rows = []
