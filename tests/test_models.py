@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tickframe.operators import dense, regress, segments
 from tickframe.operators.forecast import forecast_entities
+from tickframe.operators.gram import correlations, moments
 from tickframe.specs import ForecastParams, SplitParams
 
 
@@ -25,14 +26,94 @@ def test_lasso_recovers_planted_relation(spark):
     assert m.r2 > 0.999 and m.rmse < 0.01
 
 
-def test_kmeans_sweep_silhouette_bounds(spark):
-    rows = [("E%d" % i, *[int(b) for b in format(i % 16, "08b")]) for i in range(60)]
+def test_lasso_predictions_and_optimality(spark):
+    """Predictions from the published coefficients equal the fitted model's,
+    residuals vanish at the optimum and grow away from it, constant features
+    and features that the penalty removes included."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(600):
+        a, b, c = (float(v) for v in rng.normal(size=3))
+        rows.append(("S%d" % i, dt.date(2015 + i % 5, 1 + i % 12, 1 + i % 28), 2015 + i % 5, a, 5 * b, 0.01 * c, 7.0,
+                     30.0 * a - 4.0 * b + 100.0 + float(rng.normal()), "X" if i % 3 else "Y"))
+    df = spark.createDataFrame(rows, "Instrument string, Date date, Year int, f1 double, f2 double, f3 double, f4 double, "
+                                     "Price_Close double, TRBC_Economic_Sector_Name string")
+    summary, coefficients, pred = regress.lasso_scopes(df, 2018, "X")
+    coef = {(r.Tech_Only_Pred, r.feature): r for r in coefficients.collect()}
+    assert set(f for _, f in coef) == {"f1", "f2", "f3", "f4"} and len(coef) == 8
+    assert all(r.residual < 1e-5 for r in coef.values()) and coef[False, "f4"].coefficient == 0 and coef[False, "f1"].coefficient > 25
+    feats = regress.feature_columns(df)
+    train, test = regress.split_by_year(df, 2018)
+    model = regress.fit_lasso(regress.prepare(train, feats), feats)
+    want = {(r.Instrument, r.Date): r.prediction for r in model.transform(regress.prepare(test, feats)).collect()}
+    got = {(r.Instrument, r.Date): r.prediction for r in pred.where("not Tech_Only_Pred").collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 0.05 for k in got)
+    spark_rows = regress.lasso_scopes(df, 2018, "X", solver="spark")[1].collect()
+    assert all(abs(r.coefficient - coef[r.Tech_Only_Pred, r.feature].coefficient) < 0.05 and r.residual < 0.05 for r in spark_rows)
+    # moved coefficients are not optimal
+    m = moments(regress.prepare(train, feats), [*feats, "Price_Close"])
+    scaler, lr = model.stages[1], model.stages[-1]
+    shifted = regress.optimality(m, scaler.mean.toArray(), scaler.std.toArray(), lr.coefficients.toArray() + [1, 0, 0, 0], lr.intercept, 1.0)
+    assert shifted[0][1] > 0.9
+
+
+def test_gram_and_correlations(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 3))
+    x[:, 2] = 4.0
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, `b b` double, c double").repartition(5)
+    m = moments(df, ["a", "b b", "c"])
+    assert m.n == 500 and np.allclose(m.products, x.T @ x) and np.allclose(m.covariance, np.cov(x.T), atol=1e-12)
+    got = {(r.feature, r.other): r.correlation for r in correlations(df, ["a", "b b", "c"]).collect()}
+    assert abs(got["a", "b b"] - np.corrcoef(x.T)[0, 1]) < 1e-12 and got["a", "c"] is None
+    assert moments(df.limit(0), ["a"]).n == 0
+
+
+def test_kmeans_sweep_silhouette(spark):
+    """The summed form equals the mean over all pairs; a single cluster has none."""
+    rows = [("E%d" % i, *[int(b) for b in format(i * 7 % 16, "08b")]) for i in range(60)]
     cols = ["metric%d" % k for k in range(1, 9)]
     df = spark.createDataFrame(rows, "Instrument string, " + ", ".join(f"{c} int" for c in cols))
-    assign, scores = segments.kmeans_sweep(df, cols, ks=(2, 4))
-    s = {r.k: r.silhouette for r in scores.collect()}
-    assert set(s) == {2, 4} and all(-1.0 <= v <= 1.0 for v in s.values())
-    assert assign.count() == 120 and assign.where("prediction < 0 or prediction >= k").count() == 0
+    assign = segments.kmeans_sweep(df, cols, ks=(2, 4, 45))
+    s = {r.k: r.silhouette for r in segments.sweep_scores(assign, cols).collect()}
+    assert set(s) == {2, 4, 45}
+    assert assign.count() == 180 and assign.where("prediction < 0 or prediction >= k").count() == 0
+    for k in s:
+        part = assign.where(F.col("k") == k).toPandas()
+        x, c = part[cols].to_numpy(float), part["prediction"].to_numpy()
+        d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+        want = []
+        for i in range(len(x)):
+            own = (c == c[i]) & (np.arange(len(x)) != i)
+            a = d[i, own].mean() if own.any() else None
+            b = min(d[i, c == o].mean() for o in set(c) if o != c[i])
+            want.append(0.0 if a is None or max(a, b) == 0 else (b - a) / max(a, b))
+        assert abs(s[k] - np.mean(want)) < 1e-9
+    one = spark.createDataFrame([("A", 1), ("B", 1)], "Instrument string, m int")
+    assert [r.silhouette for r in segments.sweep_scores(segments.kmeans_sweep(one, ["m"], ks=(2,)), ["m"]).collect()] == [None]
+
+
+def test_nearest_centre_ties(spark):
+    df = spark.createDataFrame([([0.0, 0.0],), ([2.0, 0.0],), ([1.0, 0.0],)], "x array<double>")
+    got = [r.c for r in df.select(segments.nearest(F.col("x"), [[0.0, 0.0], [2.0, 0.0], [2.0, 0.0]]).alias("c")).collect()]
+    assert got == [0, 1, 0]
+
+
+def test_components_equal_a_plain_decomposition(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4))
+    rows = [("E", 2000, i, *map(float, r), 3.0) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "Instrument string, Year int, Quarter int, a double, b double, c double, d double, e double")
+    cols = ["a", "b", "c", "d", "e"]
+    z = np.column_stack([(x - x.min(axis=0)) / (x.max(axis=0) - x.min(axis=0)), np.full(300, 0.5)])
+    values, vectors = np.linalg.eigh(np.cov(z.T))
+    fitted = segments.fit_components(df, cols, 3)
+    for k in range(3):
+        v = vectors[:, -1 - k]
+        v = v * np.sign(v[np.argmax(np.abs(v))])
+        assert np.allclose(fitted.loadings[k], v, atol=1e-9) and abs(fitted.variance[k] - values[-1 - k]) < 1e-12
+    scores = {r.Quarter: (r.pc1, r.pc2, r.pc3) for r in segments.pca_features(df, 3, cols=cols).collect()}
+    assert np.allclose([scores[i] for i in range(300)], z @ fitted.loadings.T)
 
 
 def test_dense_fits_planted_relation(spark):

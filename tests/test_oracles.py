@@ -40,6 +40,6 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_a_model():
     models = set(registry.QUERIES) - set(registry.ORACLES)
     assert models <= {"kmeans_segments", "pca_features", "clusters_with_returns", "kmeans_sweep", "kmeans_silhouette",
-                      "lasso_fit_summary", "lasso_predictions", "lasso_entity_scores", "dense_entity_scores",
+                      "kmeans_centres", "pca_components", "lasso_coefficients", "lasso_fit_summary", "lasso_predictions", "lasso_entity_scores", "dense_entity_scores",
                       "dense_training_history",
                       "entity_forecast", "entity_forecast_window", "forecast_vs_actual"}

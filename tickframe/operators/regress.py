@@ -8,11 +8,13 @@ driver loop over companies.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import STAT_SCALE, exact_sum, pct_error
+from ..sources.staging import staged
+from .gram import Moments, moments
 from .sequence import sequence_index
 
 # Columns the reference excludes from the regression features.
@@ -91,46 +93,125 @@ def fit_lasso(train: DataFrame, features, target: str = TARGET, max_iter: int =
     return Pipeline(stages=stages).fit(train)
 
 
+def lasso_from_moments(m: Moments, reg: float = 1.0, elastic_net: float = 1.0, sweeps: int = 50_000, tolerance: float = 1e-8):
+    """I8 from product sums of (features, target): the same penalised
+    problem as ``fit_lasso`` in one pass over the rows, whatever the number
+    of iterations, which go over the columns' product matrix. Coordinate
+    descent runs until no coefficient's gradient is off by more than
+    ``tolerance`` of the target's scale. Returns (coefficients on the
+    standardised features, feature means, standard deviations, intercept,
+    training R^2, RMSE); a constant feature has coefficient 0."""
+    cov, std = m.covariance * ((m.n - 1) / m.n), m.std
+    scale = np.where(std > 0, std, 1.0)[:-1]
+    live = std[:-1] > 1e-12 * np.maximum(np.abs(m.mean[:-1]), 1e-300)
+    q = np.where(live, cov[:-1, -1] / scale, 0.0)
+    gram = np.where(np.outer(live, live), cov[:-1, :-1] / np.outer(scale, scale), 0.0)
+    l1, l2 = reg * elastic_net, reg * (1.0 - elastic_net)
+    coef, off = np.zeros(len(q)), tolerance * max(std[-1], 1e-300)
+    gradient = q.copy()  # q - gram @ coef
+    for _ in range(sweeps):
+        worst = 0.0
+        for j in np.flatnonzero(live):
+            pull = gradient[j] + gram[j, j] * coef[j]
+            new = np.sign(pull) * max(abs(pull) - l1, 0.0) / (gram[j, j] + l2)
+            move = new - coef[j]
+            if move:
+                gradient -= gram[:, j] * move
+                coef[j] = new
+                worst = max(worst, abs(move) * (gram[j, j] + l2))
+        if worst <= off:
+            break
+    mean = m.mean[:-1]
+    coef = coef + 0.0  # no negative zeros
+    explained = 2 * coef @ q - coef @ gram @ coef
+    mse = max(cov[-1, -1] - explained, 0.0)
+    return coef, mean, np.where(live, scale, 0.0), float(m.mean[-1]), float(1.0 - mse / cov[-1, -1]) if cov[-1, -1] > 0 else float("nan"), float(np.sqrt(mse))
+
+
+def optimality(m: Moments, mean, std, coefficients, intercept: float, reg: float) -> list[tuple[float, float]]:
+    """Gradient and residual of each coefficient of a lasso over standardised
+    features, from product sums of (features, target) alone. At the optimum
+    the gradient, mean(z * error), is ``reg`` with the coefficient's sign, or
+    at most ``reg`` in size where the coefficient is 0; the residual is how
+    far it is from that. Constant features have gradient and residual 0."""
+    mean, std, coef = (np.asarray(v, float) for v in (mean, std, coefficients))
+    d, safe = len(coef), np.where(std > 0, std, 1.0)
+    raw = coef / safe * (std > 0)
+    offset = intercept - raw @ mean
+    # sum over rows of feature * error, and of error
+    cross = m.products[:d, d] - m.products[:d, :d] @ raw - m.n * m.mean[:d] * offset
+    error = m.n * (m.mean[d] - raw @ m.mean[:d] - offset)
+    gradient = np.where(std > 0, (cross - mean * error) / safe / m.n, 0.0)
+    residual = np.where(coef != 0, np.abs(gradient - reg * np.sign(coef)), np.maximum(np.abs(gradient) - reg, 0.0))
+    return list(zip(gradient.tolist(), residual.tolist(), strict=True))
+
+
 def lasso_scopes(joined: DataFrame, split_year: int, sector: str, target: str = TARGET, entities=None,
-                 max_iter: int = 300):
-    """Fit and score both scopes. Returns ``(summary, predictions)``:
-    ``summary`` has one row per scope (coefficients, intercept, training R^2
-    and RMSE); ``predictions`` has per-row results for every test entity."""
+                 max_iter: int = 300, reg: float = 1.0, solver: str = "moments"):
+    """Fit and score both scopes, from product sums
+    (``lasso_from_moments``) or by Spark ML (``solver="spark"``, as the
+    reference: at most ``max_iter`` passes, which need not reach the optimum
+    where features are collinear; ``residual`` shows it). Returns ``(summary, coefficients,
+    predictions)``: ``summary`` has one row per scope (coefficients,
+    intercept, training R^2 and RMSE); ``coefficients`` one per scope and
+    feature (coefficient on the standardised feature, its training mean and
+    standard deviation, gradient and optimality residual, see
+    ``optimality``); ``predictions`` per-row results for every test entity,
+    computed from those coefficients."""
     from concurrent.futures import ThreadPoolExecutor
 
     spark = joined.sparkSession
     features = feature_columns(joined, target=target)
     # both scopes read train and test rows: keep one column-pruned copy
     keep = [c for c in ("Instrument", "Date", "Year", SECTOR_COL) if c in joined.columns]
-    joined = joined.select(*keep, *features, target).persist(StorageLevel.MEMORY_AND_DISK)
-    joined.count()  # materialise once, before the concurrent fits read it
+    joined = staged(joined.select(*keep, *features, target), "lasso-input")
 
     def run(item):
         flag, (train, test) = item
         if entities is not None:
             test = entity_filter(test, entities)
-        tr = prepare(train, features, target).persist()
-        model = fit_lasso(tr, features, target, max_iter=max_iter)
-        lr = model.stages[-1]
-        s = lr.summary
-        summary = (bool(flag), float(lr.intercept), [float(x) for x in lr.coefficients],
-                   len(features), float(s.r2), float(s.rootMeanSquaredError))
-        tr.unpersist()
-        scored = model.transform(prepare(test, features, target)).select(
-            "Instrument", "Date", F.col(target).alias(target), F.col("prediction").cast("float").alias("prediction"))
-        return summary, scored.withColumn("Tech_Only_Pred", F.lit(bool(flag)))
+        tr = prepare(train, features, target)
+        m = moments(tr, [*features, target])
+        if m.n < 2:
+            raise ValueError("fewer than two training rows")
+        if solver == "moments":
+            coef, mean, std, intercept, r2, rmse = lasso_from_moments(m, reg)
+        else:
+            tr = tr.persist()
+            model = fit_lasso(tr, features, target, max_iter=max_iter, reg=reg)
+            lr, scaler, fit = model.stages[-1], model.stages[1], model.stages[-1].summary
+            coef, mean, std = lr.coefficients.toArray(), scaler.mean.toArray(), scaler.std.toArray()
+            intercept, r2, rmse = float(lr.intercept), float(fit.r2), float(fit.rootMeanSquaredError)
+            tr.unpersist()
+        residuals = optimality(m, mean, std, coef, intercept, reg)
+        summary = (bool(flag), intercept, [float(c) for c in coef], len(features), r2, rmse)
+        rows = [(bool(flag), f, float(b), float(mu), float(v), g, r) for f, b, mu, v, (g, r) in zip(features, coef, mean, std, residuals, strict=True)]
+        return summary, rows, scored(prepare(test, features, target), rows, intercept, target).withColumn("Tech_Only_Pred", F.lit(bool(flag)))
 
     # the two scopes are independent fits: submit their jobs concurrently
     items = list(scope_frames(joined, split_year, sector).items())
     with ThreadPoolExecutor(max_workers=len(items)) as pool:
         done = list(pool.map(run, items))
-    summaries, preds = [d[0] for d in done], [d[1] for d in done]
     summary = spark.createDataFrame(
-        summaries, "Tech_Only_Pred boolean, intercept double, coefficients array<double>, n_features int, "
-                   "train_r2 double, train_rmse double")
-    allp = preds[0].unionByName(preds[1])
+        [d[0] for d in done], "Tech_Only_Pred boolean, intercept double, coefficients array<double>, n_features int, "
+                              "train_r2 double, train_rmse double")
+    coefficients = spark.createDataFrame(
+        [r for d in done for r in d[1]], "Tech_Only_Pred boolean, feature string, coefficient double, feature_mean double, "
+                                         "feature_std double, gradient double, residual double")
+    allp = done[0][2].unionByName(done[1][2])
     allp = allp.withColumn("Error_Pct", pct_error(F.col(target), F.col("prediction")).cast("float"))
-    return summary, allp
+    return summary, coefficients, allp
+
+
+def scored(rows: DataFrame, coefficients, intercept: float, target: str = TARGET) -> DataFrame:
+    """Ids, label and prediction from coefficient rows (scope, feature,
+    coefficient, mean, std, ...): one native expression of the features whose
+    coefficient isn't 0."""
+    prediction = F.lit(float(intercept))
+    for _, feature, coef, mean, std, *_ in coefficients:
+        if coef != 0.0 and std > 0.0:
+            prediction = prediction + (F.col(feature).cast("double") - mean) * (coef / std)
+    return rows.select("Instrument", "Date", F.col(target).alias(target), prediction.cast("float").alias("prediction"))
 
 
 def number_rows(pred: DataFrame) -> DataFrame:

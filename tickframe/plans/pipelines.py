@@ -50,11 +50,14 @@ def profile_clean_join(spark: SparkSession, technicals_raw: DataFrame, fundament
 
 
 def segment_statements(fund: DataFrame, out: str, k: int = 5, seed: int = 1) -> str:
-    """Per-share features, pairwise ratios, min-max, PCA, k-means."""
-    from ..operators.segments import kmeans_segments
+    """Per-share features, pairwise ratios, min-max, PCA, k-means; the
+    centres are written too."""
+    from ..operators.segments import centre_rows, fit_segments
 
     path = f"{out}/k_means_data"
-    write_table(kmeans_segments(pairwise_ratios(per_share_features(fund)), k=k, seed=seed), path)
+    centres, scored = fit_segments(pairwise_ratios(per_share_features(fund)), k=k, seed=seed)
+    write_table(scored.drop("x"), path)
+    write_table(centre_rows(fund.sparkSession, centres), f"{out}/k_means_centres")
     return path
 
 
@@ -75,12 +78,11 @@ def screen(fund: DataFrame, tech: DataFrame, out: str, params: ScreenParams = Sc
 def screen_clusters(metrics: DataFrame, out: str, ks=(2, 8, 15, 25, 45), seed: int = 1) -> dict:
     """P5: k-means for each k over the flags; assignments partitioned by k,
     silhouette per k as a table."""
-    from ..operators.segments import kmeans_sweep
+    from ..operators.segments import kmeans_sweep, sweep_scores
 
-    assign, scores = kmeans_sweep(metrics, list(METRICS), ks=ks, seed=seed)
     paths = {"assignments": f"{out}/graham_metrics_clustering", "silhouette": f"{out}/graham_metrics_silhouette"}
-    write_by_key(assign, paths["assignments"], key="k")
-    write_table(scores, paths["silhouette"])
+    write_by_key(kmeans_sweep(metrics, list(METRICS), ks=ks, seed=seed), paths["assignments"], key="k")
+    write_table(sweep_scores(metrics.sparkSession.read.parquet(paths["assignments"]), list(METRICS)), paths["silhouette"])
     return paths
 
 
@@ -90,13 +92,14 @@ def linear_model(combined: DataFrame, out: str, split_year: int = 2018, sector:
     per-entity scores and the fit summaries."""
     from ..operators.regress import lasso_scopes, number_rows, regression_metrics
 
-    summary, pred = lasso_scopes(combined, split_year, sector, entities=entities)
+    summary, coefficients, pred = lasso_scopes(combined, split_year, sector, entities=entities)
     paths = {"results": f"{out}/Lin_Reg_Results", "scores": f"{out}/Lin_Reg_Scores",
-             "summary": f"{out}/Lin_Reg_Summary"}
+             "summary": f"{out}/Lin_Reg_Summary", "coefficients": f"{out}/Lin_Reg_Coefficients"}
     write_table(number_rows(pred), paths["results"])
     write_table(regression_metrics(pred, "Price_Close", "prediction", by=("Tech_Only_Pred", "Instrument")),
                 paths["scores"])
     write_table(summary, paths["summary"])
+    write_table(coefficients, paths["coefficients"])
     return paths
 
 

@@ -17,6 +17,7 @@ from ..operators import profile as pr
 from ..operators import rollup as ru
 from ..operators import screen as sc
 from ..operators import sequence as sq
+from ..operators.regress import NON_FEATURES, TARGET
 from ..operators.cleaning import clean_table, dedup, fill_zero, with_statement_calendar
 from ..operators.returns import yoy_return
 from ..specs import FUNDAMENTALS, TECHNICALS
@@ -497,12 +498,63 @@ def _kmeans(i):
     return kmeans_segments(_ratios(i))
 
 
+@register("kmeans_centres")
+def _kmeans_centres(i):
+    from ..operators.segments import centre_rows, fit_segments
+    return centre_rows(i.spark, fit_segments(_ratios(i))[0])
+
+
+@register("kmeans_at_nearest", W(["fundamentals"], f"SELECT Instrument, Year, Quarter, TRUE AS at_nearest FROM ({O.ratios_select()}) r"))
+def _kmeans_at_nearest(i):
+    """Is each row's published centre one of the nearest? From the tables of
+    centres and of assignments alone."""
+    from ..operators.segments import centre_rows, fit_segments, squared_distance
+    centres, scored = fit_segments(_ratios(i))
+    rows = centre_rows(i.spark, centres).groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("dimension", "value"))),
+                                                                            lambda c: c["value"]).alias("centre"))
+    table = rows.agg(F.collect_list(F.struct("cluster", "centre")).alias("centres"))  # one row
+    far = F.transform("centres", lambda c: F.struct(squared_distance(F.col("x"), c["centre"]).alias("d"), c["cluster"].alias("c")))
+    own = F.filter(far, lambda f: f["c"] == F.col("cluster"))[0]["d"]
+    return scored.crossJoin(F.broadcast(table)).select("Instrument", "Year", "Quarter", (own == F.array_min(F.transform(far, lambda f: f["d"]))).alias("at_nearest"))
+
+
 @register("pca_features")
 def _pca(i):
     from ..operators.segments import pca_features
     return pca_features(_ratios(i))
 
 
+@register("pca_components")
+def _pca_components(i):
+    from ..operators.segments import pca_components
+    return pca_components(_ratios(i))
+
+
+@register("pca_orthonormal", """SELECT CAST(a AS INTEGER) AS component, CAST(b AS INTEGER) AS other, CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0 END AS product
+    FROM range(1, 6) x(a), range(1, 6) y(b)""")
+def _pca_orthonormal(i):
+    """Products of the published components with one another."""
+    rows = _pca_components(i)
+    other = rows.select(F.col("component").alias("other"), "feature", F.col("loading").alias("l2"))
+    return rows.join(other, "feature").groupBy("component", "other").agg((F.round(F.abs(F.sum(F.col("loading") * F.col("l2"))), 9)).alias("product"))
+
+
+@register("pca_variance", W(["fundamentals"], f"""SELECT CAST(c AS INTEGER) AS component, COUNT(*) AS n, TRUE AS variance_matches
+    FROM ({O.ratios_select()}) r, range(1, 6) x(c) GROUP BY c"""))
+def _pca_variance(i):
+    """Does the variance of the scores equal the published variance of each
+    component?"""
+    from ..operators.features import KEYS, ratio_names
+    from ..operators.segments import fit_components
+    from ..sources.staging import staged
+    ratios = staged(_ratios(i), "pca-variance")
+    fitted = fit_components(ratios, ratio_names())
+    scores = ratios.select(*KEYS, F.posexplode(fitted.scores()).alias("p", "score"))
+    got = scores.groupBy((F.col("p") + 1).alias("component")).agg(F.count("*").alias("n"), F.var_samp("score").alias("v"))
+    stated = fitted.rows(i.spark).select("component", "variance").distinct()
+    return got.join(stated, "component").select("component", "n", (F.abs(F.col("v") - F.col("variance")) <= 1e-9 * F.col("variance")).alias("variance_matches"))
+
+
 @register("clusters_with_returns")
 def _clusters_returns(i):
     from ..operators.joins import join_on_period
@@ -510,22 +562,38 @@ def _clusters_returns(i):
     return join_on_period(kmeans_segments(_ratios(i)), yoy_return(ru.quarterly_avg_price(i.technicals)))
 
 
-def _sweep(i):
-    from ..operators.segments import kmeans_sweep
-    return kmeans_sweep(sc.value_screen(i.fundamentals, i.technicals, SCREEN), list(sc.METRICS))
-
-
 @register("kmeans_sweep")
 def _kmeans_sweep(i):
-    return _sweep(i)[0]
+    from ..operators.segments import kmeans_sweep
+    return kmeans_sweep(sc.value_screen(i.fundamentals, i.technicals, SCREEN), list(sc.METRICS))
 
 
 @register("kmeans_silhouette")
 def _kmeans_sil(i):
-    return _sweep(i)[1]
+    from ..operators.segments import sweep_scores
+    return sweep_scores(_kmeans_sweep(i), list(sc.METRICS))
 
 
-# ---------------------------------------------------------------- P6 linear model (rows check)
+_SIL = ["Revenue_Per_Share", "Book_Value_Per_Share", "EBIT_per_share"]
+
+
+@register("segment_silhouette", W(["fundamentals"], f"""SELECT * FROM (WITH p AS (SELECT *, CAST(FLOOR(Revenue_Per_Share / 400) AS INTEGER) AS segment,
+      ROW_NUMBER() OVER () AS id FROM ({O.per_share_select()}) f),
+    d AS (SELECT a.id, a.segment, b.segment AS other, COUNT(*) AS n, SUM({' + '.join(f'(a.{c} - b.{c}) * (a.{c} - b.{c})' for c in _SIL)}) AS total
+          FROM p a, p b WHERE a.id <> b.id GROUP BY a.id, a.segment, b.segment),
+    m AS (SELECT id, segment, MAX(CASE WHEN other = segment THEN total / n END) AS a, MIN(CASE WHEN other <> segment THEN total / n END) AS b
+          FROM d GROUP BY id, segment)
+    SELECT segment, COUNT(*) AS n, ROUND(AVG(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / GREATEST(a, b) END), 6) AS silhouette FROM m GROUP BY segment) z"""))
+def _segment_silhouette(i):
+    """Silhouette of plain value bands; its SQL goes through all pairs."""
+    from ..operators.segments import silhouette_rows
+    rows = fe.per_share_features(i.fundamentals).select(F.floor(F.col("Revenue_Per_Share") / 400).cast("int").alias("segment"),
+                                                        F.array(*_SIL).alias("x"))
+    scored = silhouette_rows(rows, "x", "segment")
+    return scored.groupBy("segment").agg(F.count("*").alias("n"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+# ---------------------------------------------------------------- P6 linear model
 
 
 def _lasso(i):
@@ -533,21 +601,56 @@ def _lasso(i):
     return lasso_scopes(i.joined, SPLIT_YEAR, SECTOR)
 
 
+_FEATURES = [c for c in JOINED_COLS if c not in NON_FEATURES and c != TARGET]
+_SCOPE_SQL = f"SELECT * FROM (VALUES (FALSE), (TRUE)) s(Tech_Only_Pred), (VALUES {', '.join(f'({c!r})' for c in _FEATURES)}) f(feature)"
+
+
 @register("lasso_fit_summary")
 def _lasso_summary(i):
     return _lasso(i)[0]
 
 
+@register("lasso_coefficients")
+def _lasso_coefficients(i):
+    return _lasso(i)[1]
+
+
+#: How far a coefficient's gradient may be from the optimum, as a share of the penalty.
+OPTIMAL_WITHIN = 0.01
+
+
+@register("lasso_optimality", f"SELECT Tech_Only_Pred, feature, TRUE AS optimal FROM ({_SCOPE_SQL}) t")
+def _lasso_optimality(i):
+    """Does each published coefficient satisfy the optimality condition of
+    the penalised problem on the training rows?"""
+    return _lasso(i)[1].select("Tech_Only_Pred", "feature", (F.col("residual") <= OPTIMAL_WITHIN).alias("optimal"))
+
+
+_CORR = [c for c in _FEATURES if c not in ("Quarter",)] + [TARGET]
+
+
+@register("feature_correlations", W(["joined"], f"""SELECT split_part(pair, '|', 1) AS feature, split_part(pair, '|', 2) AS other, n,
+    ROUND(correlation, 6) AS correlation FROM (UNPIVOT (SELECT COUNT(*) AS n, """ + ", ".join(
+        f'CORR({a}, {b}) AS "{a}|{b}"' for k, a in enumerate(_CORR) for b in _CORR[k + 1:]) + f""" FROM (SELECT {", ".join(
+        f"COALESCE({c}, 0)::FLOAT::DOUBLE AS {c}" for c in _CORR)} FROM joined WHERE Year < {SPLIT_YEAR}) j) ON COLUMNS(* EXCLUDE (n))
+    INTO NAME pair VALUE correlation) u"""))
+def _feature_correlations(i):
+    from ..operators.gram import correlations
+    from ..operators.regress import prepare
+    rows = prepare(i.joined.where(F.col("Year") < SPLIT_YEAR), _CORR[:-1])
+    return _rounded(correlations(rows, _CORR), correlation=6)
+
+
 @register("lasso_predictions")
 def _lasso_pred(i):
     from ..operators.regress import number_rows
-    return number_rows(_lasso(i)[1])
+    return number_rows(_lasso(i)[2])
 
 
 @register("lasso_entity_scores")
 def _lasso_scores(i):
     from ..operators.regress import regression_metrics
-    return regression_metrics(_lasso(i)[1], "Price_Close", "prediction", by=("Tech_Only_Pred", "Instrument"))
+    return regression_metrics(_lasso(i)[2], "Price_Close", "prediction", by=("Tech_Only_Pred", "Instrument"))
 
 
 # ---------------------------------------------------------------- P7 dense model (rows check)
