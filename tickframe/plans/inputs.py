@@ -10,7 +10,7 @@ from ..functions.numeric import exact_sum
 from ..operators.cleaning import clean_fundamentals, clean_technicals, coerce
 from ..operators.features import PER_SHARE_MEASURES
 from ..operators.joins import join_tech_fund
-from ..sources.fixtures import fundamentals_raw, technicals_raw
+from ..sources.fixtures import fundamentals_raw, technicals_full, technicals_raw
 from ..specs import TECHNICALS, ForecastParams, ScreenParams, SplitParams
 
 # The fixture's stand-ins for the reference's parameters
@@ -40,6 +40,10 @@ class Inputs:
     def technicals_raw(self) -> DataFrame:
         return self._get("tr", lambda: technicals_raw(self.spark, self.base))
 
+    @property
+    def technicals_full(self) -> DataFrame:
+        return self._get("tf", lambda: technicals_full(self.spark, self.base))
+
     @property
     def fundamentals_raw(self) -> DataFrame:
         return self._get("fr", lambda: fundamentals_raw(self.spark, self.base))

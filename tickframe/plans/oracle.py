@@ -6,7 +6,7 @@ the rewritten Spark plans, so agreement checks the rewrites."""
 from __future__ import annotations
 
 from ..operators.features import PER_SHARE_MEASURES, EXISTING_PER_SHARE, SHARES, per_share_names
-from ..sources.fixtures import FUNDAMENTALS_RAW_SQL, TECHNICALS_RAW_SQL
+from ..sources.fixtures import FUNDAMENTALS_RAW_SQL, RATIOS, TECHNICALS_FULL_SQL, TECHNICALS_RAW_SQL
 from .inputs import SCREEN
 
 
@@ -33,6 +33,9 @@ def DAVG(x, scale=12):
 
 CTES = {
     "technicals_raw": TECHNICALS_RAW_SQL,
+    "technicals_full": TECHNICALS_FULL_SQL,
+    "technicals_full_typed": "SELECT int64_field_0, Instrument, TRY_CAST(Date AS DATE) AS Date, TRY_CAST(Price_Close AS DOUBLE) AS Price_Close, Volume, "
+        + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in RATIOS) + " FROM technicals_full",
     "fundamentals_raw": FUNDAMENTALS_RAW_SQL,
     "technicals_typed": """SELECT Instrument, TRY_CAST(Date AS DATE) AS Date,
         TRY_CAST(Price_Close AS DOUBLE) AS Price_Close, Volume FROM technicals_raw""",
@@ -88,6 +91,7 @@ CTES = {
 }
 
 DEPS = {
+    "technicals_full_typed": ["technicals_full"],
     "technicals_typed": ["technicals_raw"],
     "technicals": ["technicals_typed"],
     "fund_clean": ["fundamentals_raw"],

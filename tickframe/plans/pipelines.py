@@ -21,12 +21,15 @@ from ..operators.rollup import quarterly_avg_price
 from ..operators.returns import yoy_return
 from ..operators.screen import METRICS, value_screen
 from ..sources.sinks import write_by_key, write_csv, write_table
+from ..sources.staging import staged
 from ..specs import FUNDAMENTALS, TECHNICALS, ForecastParams, ScreenParams, SplitParams
 
 
 def _profiles(name: str, df: DataFrame, or_cols, out: str, stage: str) -> None:
-    write_table(pr.null_profile(df), f"{out}/profile/{stage}_{name}_columns")
-    write_table(pr.null_profile_any(df, or_cols), f"{out}/profile/{stage}_{name}_any")
+    """Both profiles from one pass over the table."""
+    patterns = staged(pr.null_patterns(df), "null-patterns")
+    write_table(pr.column_profile(patterns, df.columns), f"{out}/profile/{stage}_{name}_columns")
+    write_table(pr.row_profile(patterns, df.columns, or_cols), f"{out}/profile/{stage}_{name}_any")
 
 
 def profile_clean_join(spark: SparkSession, technicals_raw: DataFrame, fundamentals_raw: DataFrame, out: str,

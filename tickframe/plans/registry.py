@@ -5,6 +5,7 @@ definitions, so its work grows with the data."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -18,8 +19,10 @@ from ..operators import rollup as ru
 from ..operators import screen as sc
 from ..operators import sequence as sq
 from ..operators.regress import NON_FEATURES, TARGET
-from ..operators.cleaning import clean_table, dedup, fill_zero, with_statement_calendar
+from ..operators.cleaning import clean_table, clean_technicals, coerce, dedup, fill_zero, with_statement_calendar
 from ..operators.returns import yoy_return
+from ..sources.staging import shared_folder, staged
+from ..sources.tables import read_csv_checked, write_by_year
 from ..specs import FUNDAMENTALS, TECHNICALS
 from . import oracle as O
 from .inputs import BLOCKS, ENTITIES, FORECAST, SCREEN, SECTOR, SPLIT_YEAR, Inputs
@@ -102,6 +105,42 @@ def _coerce(i):
     return i.technicals_typed
 
 
+@register("coerce_types_full", W(["technicals_full_typed"], "SELECT * FROM technicals_full_typed"))
+def _coerce_full(i):
+    """All nine mis-typed columns of the raw daily table."""
+    return coerce(i.technicals_full, TECHNICALS.types)
+
+
+@register("clean_technicals_full", W(["technicals_full_typed"], """SELECT * EXCLUDE (int64_field_0), CAST(YEAR(Date) AS INTEGER) AS Year,
+    CAST(CASE WHEN MONTH(Date) = 1 THEN 4 ELSE QUARTER(Date) END AS INTEGER) AS Quarter FROM technicals_full_typed
+    WHERE Date IS NOT NULL AND Instrument IS NOT NULL AND Price_Close IS NOT NULL AND Volume IS NOT NULL"""))
+def _clean_full(i):
+    return clean_technicals(i.technicals_full)
+
+
+def _checked_csv(i):
+    """The raw daily table as text files, read against its declared types."""
+    path = f"{shared_folder(i.spark)}/raw-daily-{uuid.uuid4().hex}"
+    i.technicals_full.write.option("header", True).csv(path)
+    declared = ", ".join(f"{c} {TECHNICALS.types.get(c, t)}" for c, t in i.technicals_full.dtypes)
+    return read_csv_checked(i.spark, path, declared)
+
+
+@register("typed_csv_rows", W(["technicals_full", "technicals_full_typed"], """SELECT * FROM technicals_full_typed
+    WHERE int64_field_0 NOT IN (SELECT int64_field_0 FROM technicals_full WHERE Price_Close = 'n/a')"""))
+def _typed_csv(i):
+    return _checked_csv(i)[0]
+
+
+@register("rejected_rows", W(["technicals_full"], """SELECT CAST(int64_field_0 AS STRING) AS int64_field_0, Instrument, Date, Price_Close,
+    NULL::DOUBLE AS read_price FROM technicals_full WHERE Price_Close = 'n/a'"""))
+def _rejected(i):
+    """Rows whose price isn't a number, by their text."""
+    field = lambda k: F.nullif(F.split("_line", ",", -1)[k], F.lit(""))
+    return _checked_csv(i)[1].select(field(0).alias("int64_field_0"), field(1).alias("Instrument"), field(2).alias("Date"),
+                                     field(3).alias("Price_Close"), F.col("Price_Close").alias("read_price"))
+
+
 @register("clean_technicals", W(["technicals"], "SELECT * FROM technicals"))
 def _clean_t(i):
     return i.technicals
@@ -227,7 +266,8 @@ for _m, _key in _METRIC_KEYS.items():
 
 @register("combine_flags", W(["annual", "latest"], O.screen_body()))
 def _combine(i):
-    flags = sc.screen_flags(sc.screen_inputs(i.fundamentals, i.technicals, SCREEN), SCREEN)
+    # eight branches read the flags: computed once
+    flags = staged(sc.screen_flags(sc.screen_inputs(i.fundamentals, i.technicals, SCREEN), SCREEN), "screen-flags")
     frames = [flags.where(F.col(m) == 1).select("Instrument", m) for m in sc.METRICS]
     return sc.combine_flags(frames)
 
@@ -468,6 +508,36 @@ def _scan_filter(i):
         "Instrument", "Date", "Price_Close")
 
 
+def _by_year(i):
+    return write_by_year(i.technicals, f"{shared_folder(i.spark)}/technicals-by-year-{uuid.uuid4().hex}")
+
+
+@register("pruned_scan", W(["technicals"], f"""SELECT Instrument, Date, Price_Close FROM technicals
+    WHERE Year >= {SPLIT_YEAR} AND Price_Close > 1000"""))
+def _pruned_scan(i):
+    """``scan_filter`` over a table with a folder per year: the year filter
+    selects folders, the price filter reaches the files."""
+    return _by_year(i).where((F.col("Year") >= SPLIT_YEAR) & (F.col("Price_Close") > 1000)).select("Instrument", "Date", "Price_Close")
+
+
+@register("pruned_join", W(["joined"], f"""SELECT Instrument, Date, Year, Quarter, Price_Close, Total_Revenue FROM joined
+    WHERE TRBC_Economic_Sector_Name = '{SECTOR}' AND Total_Revenue > 1000000"""))
+def _pruned_join(i):
+    """Daily rows of the quarters that selected statements name: the join
+    tells the scan at run time which years to read."""
+    from ..operators.joins import join_tech_fund
+    from ..operators.regress import sector_filter
+    chosen = sector_filter(i.fundamentals, SECTOR).where(F.col("Total_Revenue") > 1000000)
+    return join_tech_fund(_by_year(i), chosen).select("Instrument", "Date", "Year", "Quarter", "Price_Close", "Total_Revenue")
+
+
+@register("global_sort", W(["technicals_typed"], """SELECT *, ROW_NUMBER() OVER (ORDER BY Price_Close DESC NULLS LAST, Date ASC NULLS FIRST,
+    Instrument, Volume ASC NULLS FIRST) - 1 AS position FROM technicals_typed"""))
+def _global_sort(i):
+    from ..operators.order import global_sort
+    return global_sort(i.technicals_typed, F.col("Price_Close").desc_nulls_last(), F.col("Date").asc_nulls_first(), "Instrument")
+
+
 @register("union_scopes", W(["joined"], f"""SELECT Instrument, Date, Price_Close, FALSE AS Tech_Only_Pred FROM joined
     WHERE Year >= {SPLIT_YEAR} UNION ALL SELECT Instrument, Date, Price_Close, TRUE AS Tech_Only_Pred FROM joined
     WHERE Year >= {SPLIT_YEAR} AND TRBC_Economic_Sector_Name = '{SECTOR}'"""))
@@ -546,7 +616,6 @@ def _pca_variance(i):
     component?"""
     from ..operators.features import KEYS, ratio_names
     from ..operators.segments import fit_components
-    from ..sources.staging import staged
     ratios = staged(_ratios(i), "pca-variance")
     fitted = fit_components(ratios, ratio_names())
     scores = ratios.select(*KEYS, F.posexplode(fitted.scores()).alias("p", "score"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..specs import TECHNICALS
 from .tables import load_table
 
 # Sums of values cast to 2 decimals are exact in any decimal width; 38
@@ -20,23 +21,43 @@ def _dec(c):
     return F.col(c).cast(_DEC)
 
 
-def technicals_raw(spark: SparkSession, base: str) -> DataFrame:
-    """Daily series with the reference's defects: text-typed dates and
-    prices, null dates and volumes, and unparseable prices."""
+def _daily(spark: SparkSession, base: str) -> DataFrame:
     li = load_table(spark, base, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber")
-    daily = (li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("dt"))
-             .agg(F.max("l_extendedprice").alias("px"),
-                  F.sum(_dec("l_quantity")).cast("double").alias("qty"),
-                  F.count(F.lit(1)).alias("n"),
-                  F.min("l_linenumber").alias("lm")))
-    return daily.select(
+    return (li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("dt"))
+            .agg(F.max("l_extendedprice").alias("px"),
+                 F.sum(_dec("l_quantity")).cast("double").alias("qty"),
+                 F.count(F.lit(1)).alias("n"),
+                 F.min("l_linenumber").alias("lm")))
+
+
+def _daily_columns() -> list:
+    return [
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("Instrument"),
         F.when(F.col("lm") == 7, F.lit(None)).otherwise(F.col("dt").cast("string")).alias("Date"),
         F.when(F.col("n") >= 3, F.lit("n/a")).otherwise(F.col("px").cast("string")).alias("Price_Close"),
         F.when((F.col("lm") == 6) & (F.col("n") == 1), F.lit(None).cast("double"))
-         .otherwise(F.col("qty")).alias("Volume"),
-    )
+         .otherwise(F.col("qty")).alias("Volume")]
+
+
+def technicals_raw(spark: SparkSession, base: str) -> DataFrame:
+    """Daily series with the reference's defects: text-typed dates and
+    prices, null dates and volumes, and unparseable prices."""
+    return _daily(spark, base).select(*_daily_columns())
+
+
+#: The seven daily ratios of the raw table.
+RATIOS = tuple(c for c in TECHNICALS.types if c not in ("Date", "Price_Close"))
+
+
+def technicals_full(spark: SparkSession, base: str) -> DataFrame:
+    """The raw daily table with all twelve columns: the row index of its
+    origin and seven ratios, as text and with nulls, come with the four of
+    ``technicals_raw``."""
+    index = F.col("l_suppkey") * 10000 + F.datediff("dt", F.lit("1992-01-01").cast("date"))
+    ratios = [F.when(F.col("lm") == k, F.lit(None)).otherwise((F.col("n") * 37 + F.col("lm") * 11 + k).cast("decimal(18,2)").cast("string")).alias(c)
+              for k, c in enumerate(RATIOS, 1)]
+    return _daily(spark, base).select(index.cast("long").alias("int64_field_0"), *_daily_columns(), *ratios)
 
 
 def fundamentals_raw(spark: SparkSession, base: str) -> DataFrame:
@@ -99,17 +120,19 @@ def fundamentals_raw(spark: SparkSession, base: str) -> DataFrame:
 
 # The fixture definitions of FIXTURES.md as SQL text, run by
 # the DuckDB oracle over the same parquet tables.
-TECHNICALS_RAW_SQL = """
-SELECT Instrument,
-  CASE WHEN lm = 7 THEN NULL ELSE CAST(dt AS STRING) END AS Date,
-  CASE WHEN n >= 3 THEN 'n/a' ELSE CAST(px AS STRING) END AS Price_Close,
-  CASE WHEN lm = 6 AND n = 1 THEN NULL ELSE qty END AS Volume
-FROM (SELECT CONCAT('S', CAST(l_suppkey AS STRING)) AS Instrument, CAST(l_shipdate AS DATE) AS dt,
+_DAILY_SQL = """(SELECT l_suppkey, CONCAT('S', CAST(l_suppkey AS STRING)) AS Instrument, CAST(l_shipdate AS DATE) AS dt,
         MAX(l_extendedprice) AS px, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty,
         COUNT(*) AS n, MIN(l_linenumber) AS lm
       FROM lineitem
-      GROUP BY l_suppkey, CAST(l_shipdate AS DATE)) q
-"""
+      GROUP BY l_suppkey, CAST(l_shipdate AS DATE)) q"""
+_DAILY_COLUMNS = """Instrument,
+  CASE WHEN lm = 7 THEN NULL ELSE CAST(dt AS STRING) END AS Date,
+  CASE WHEN n >= 3 THEN 'n/a' ELSE CAST(px AS STRING) END AS Price_Close,
+  CASE WHEN lm = 6 AND n = 1 THEN NULL ELSE qty END AS Volume"""
+TECHNICALS_RAW_SQL = f"SELECT {_DAILY_COLUMNS} FROM {_DAILY_SQL}"
+TECHNICALS_FULL_SQL = f"SELECT l_suppkey * 10000 + DATE_DIFF('day', DATE '1992-01-01', dt) AS int64_field_0, {_DAILY_COLUMNS}, " + ", ".join(
+    f"CASE WHEN lm = {k} THEN NULL ELSE CAST(CAST(n * 37 + lm * 11 + {k} AS DECIMAL(18,2)) AS STRING) END AS {c}"
+    for k, c in enumerate(RATIOS, 1)) + f" FROM {_DAILY_SQL}"
 
 FUNDAMENTALS_RAW_SQL = """
 WITH m AS (SELECT l_suppkey AS k, CAST(MAX(l_shipdate) AS DATE) AS Date,
