@@ -14,7 +14,8 @@ index is written. Only tables of a counted size are broadcast.
 
 Cases: null texts have no words and match nothing; rows without a doc_id
 can't be named and give none; rows that share a doc_id are one document, with
-the words of each; items without words or item_id are left out; empty tables
+the words of each different text, and no passage runs from one into another;
+items without words or item_id are left out; empty tables
 give no matches; other columns play no part.
 """
 
@@ -50,14 +51,26 @@ def windows_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFr
     return ids, stage(cut.join(ids, "terms").select("window", "item_id"), "window-items")
 
 
+def versions(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, text) of the rows with a doc_id; the version of a
+    text that shares its doc_id with different ones is its hash, else 0."""
+    rows = whole_texts(docs).where(F.col("doc_id").isNotNull())
+    hashed = F.xxhash64("text")
+    shared = rows.groupBy("doc_id").agg(F.min(hashed).alias("a"), F.max(hashed).alias("b")).where("a != b").select(F.col("doc_id").alias("shared_id"))
+    shared = small(stage(shared, "shared-ids"))
+    return rows.join(shared, F.col("doc_id") == F.col("shared_id"), "left").select(
+        "doc_id", F.when(F.col("shared_id").isNull(), F.lit(0).cast("long")).otherwise(hashed).alias("version"), "text")
+
+
 def build_index(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Terms (term, term_id), and postings (doc_id, pos, term_id) of all
-    documents; term_id -1 is the end posting."""
+    documents; term_id -1 is the end posting. ``doc_id`` names a text: it is
+    the pair of id and version, 0 but for texts that share their id with
+    others, whose words must not be laid over each other."""
     vocabulary = windows.select(F.explode("terms").alias("term")).distinct().select(F.monotonically_increasing_id().alias("term_id"), "term")
     end = windows.sparkSession.createDataFrame([(-1, _END)], "term_id long, term string")
     terms = stage(vocabulary.unionByName(end), "terms")
-    tokens = (whole_texts(docs).where(F.col("doc_id").isNotNull())
-              .select("doc_id", F.posexplode(F.concat(words("text"), F.array(F.lit(_END)))).alias("pos", "term")))
+    tokens = (versions(docs).select(F.struct(F.col("doc_id").alias("id"), "version").alias("doc_id"), F.posexplode(F.concat(words("text"), F.array(F.lit(_END)))).alias("pos", "term")))
     return terms, stage(tokens.join(small(terms), "term").select("doc_id", "pos", "term_id"), "postings")
 
 
@@ -104,11 +117,13 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     windows, of_items = windows_of(items, width)
     terms, postings = build_index(docs, windows)
     exact, near = search(postings, rank_terms(windows, terms, postings))
-    lengths = postings.where("term_id = -1").groupBy("doc_id").agg(F.max("pos").cast("long").alias("n_words"))
+    own = F.col("doc_id.id").alias("doc_id")
+    # a text that a document holds twice has its postings twice: counted once
+    lengths = postings.where("term_id = -1").distinct().groupBy(own).agg(F.sum("pos").cast("long").alias("n_words"))
     hit = (exact.select("doc_id", "start", "n").distinct().select("doc_id", F.explode(F.expr("sequence(start, start + n - 1)")).alias("pos")).distinct()
-           .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_hit")))
-    found = exact.select("doc_id", "window").distinct().join(of_items, "window").groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    close = near.join(of_items, "window").select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_near_items"))
+           .groupBy(own).agg(F.count(F.lit(1)).alias("n_hit")))
+    found = exact.select(own, "window").distinct().join(of_items, "window").groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    close = near.join(of_items, "window").select(own, "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_near_items"))
     zero = F.lit(0).cast("long")
     return (lengths.join(hit, "doc_id", "left").join(found, "doc_id", "left").join(close, "doc_id", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
