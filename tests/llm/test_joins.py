@@ -110,3 +110,31 @@ def test_lines_of_few_words_with_one_replaced(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = QUERIES["op7_line_join"](spark, str(tmp_path)).collect()
     assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 1, 3: 1, 4: 0}
+
+
+def test_texts_that_share_a_doc_id(spark):
+    """Lines and postings of one text are never taken for another's."""
+    docs = [(1, "hello world foo bar baz"), (2, "hello world foo bar baz\nx"), (2, "entirely unique sentence nobody repeats\ny"),
+            (2, "entirely unique sentence nobody repeats\ny"), (3, "y\nlast of all\nentirely unique sentence nobody repeats")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.remove_repeated(d).collect())
+    assert got == [(1, "hello world foo bar baz", 1, 0), (2, "entirely unique sentence nobody repeats\ny", 2, 0), (2, "entirely unique sentence nobody repeats\ny", 2, 0),
+                   (2, "x", 2, 1), (3, "last of all", 3, 2)]
+    items = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    split = [(1, "a X c X e X g X i X"), (1, "X b X d X f X h X j"), (2, "z a b c d e f g h i j"), (2, "z a b c d e f g h i j"), (2, "a b c d e f g h i j k l")]
+    rows = decontaminate.report(decontaminate.contamination(spark.createDataFrame(split, "doc_id long, text string"), items)).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in rows} == {1: (20, 0, 0, False), 2: (23, 20, 1, True)}
+
+
+def test_emptied_documents(spark):
+    docs = [(1, "one two three\n\nfour five"), (2, "one two three\n\nfour five"), (3, ""), (4, None), (5, "  "), (6, "four five\nnew words"), (None, "one two three")]
+    left = lines.drop_emptied(lines.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string"))).collect()
+    assert {r.doc_id: r.text for r in left} == {1: docs[0][1], 3: "", 4: None, 5: "  ", 6: "new words", None: "one two three"}
+
+
+def test_very_long_texts(spark):
+    text = "\n".join(f"line {i} of {i * 7} words {i * 13}" for i in range(30_000))
+    d = spark.createDataFrame([(1, text), (2, "line 5 of 35 words 65\nother things here")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in lines.remove_repeated(d, 0.99).collect()} == {1: 0, 2: 1}
+    items = spark.createDataFrame([(1, "line 29999 of 209993 words 389987")], "item_id long, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.contamination(d, items).collect()} == {1: 6, 2: 0}

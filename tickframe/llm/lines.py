@@ -21,7 +21,8 @@ All of it is DataFrame operations; only the counters, a fixed number, pass
 through the driver.
 
 Cases: null texts have no lines and stay null; rows without a doc_id keep
-their text; rows that share a doc_id count as one document; an empty table
+their text; different texts that share a doc_id are parts of one document, in
+the order of their hashes, equal ones are one part and are treated alike; an empty table
 gives an empty result; other columns are kept as they are (``n_chars``, if
 there, follows the text).
 """
@@ -69,8 +70,27 @@ def rarity_levels(docs: DataFrame) -> list[int]:
 
 def _lines(docs: DataFrame, text: Column | None = None) -> DataFrame:
     text = F.col("text") if text is None else text
-    return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-            .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")))
+    lines = (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_FIRST), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")))
+    return lines.select("doc_id", (F.col("line_no") + F.col(_FIRST)).alias("line_no"), "line")
+
+
+#: Number of a text's first line in its document.
+_FIRST = "first line of the text"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number of each text's first line in its document: 0
+    but for texts that share their doc_id with different ones."""
+    hashed = F.xxhash64("text")
+    named = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("shared_id"), hashed.alias("h"), F.size(F.split("text", "\n", -1)).cast("long").alias("n"))
+    shared = named.groupBy("shared_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("shared_id")
+    parts = named.join(small(stage(shared, "lines-shared-ids")), "shared_id").distinct()
+    before = Window.partitionBy("shared_id").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    first = stage(parts.select("shared_id", F.col("h").alias("shared_h"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shared_first")), "lines-shared")
+    out = docs.join(small(first), (F.col("doc_id").cast("long") == F.col("shared_id")) & (hashed == F.col("shared_h")), "left")
+    return out.select(*[docs[c] for c in docs.columns], F.coalesce("shared_first", F.lit(0)).cast("long").alias(_FIRST))
 
 
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
@@ -143,19 +163,30 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the lines removed, and ``n_lines`` and ``n_removed``."""
+    columns = docs.columns
+    docs = _numbered(docs)
     every, places = similar_lines(docs, threshold)
     # lines that occur once and are like no other need no join
     places = places.where(F.col("again") | F.col("similar"))
     gone = every.join(small(stage(places, "lines-places")), "h").where(F.col("similar") | (F.col("line_at") != F.col("first_at")))
-    gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("line_no"))
-    gone = stage(gone.groupBy("removed_id").agg(F.collect_set(F.col("line_no") + 1).alias("removed_lines")), "lines-removed")
+    gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1)).alias("line_no"))
+    gone = stage(gone.groupBy("removed_id").agg(F.collect_set("line_no").alias("removed_lines")), "lines-removed")
     joined = docs.join(gone, F.col("doc_id") == F.col("removed_id"), "left")
-    lines = F.split("text", "\n", -1)
-    rest = let(lines, lambda one: F.transform(F.array_except(F.sequence(F.lit(1), F.size(one)), F.col("removed_lines")), lambda i: F.element_at(one, i)))
+    lines, first = F.split("text", "\n", -1), F.col(_FIRST)
+    own = F.sequence(first, first + F.size(lines) - 1)
+    rest = let(lines, lambda one: F.transform(F.array_except(own, F.col("removed_lines")), lambda i: F.element_at(one, (i - first + 1).cast("int"))))
     text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    out = joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"))
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    n_removed = F.coalesce(F.size(F.array_intersect(own, F.col("removed_lines"))), F.lit(0))
+    out = joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns],
+                        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
+
+
+def drop_emptied(cleaned: DataFrame) -> DataFrame:
+    """``remove_repeated`` output without the documents that lost lines and
+    have nothing but white space left: copies of earlier ones. Documents that
+    were empty before stay."""
+    return cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
 
 
 def report(cleaned: DataFrame) -> DataFrame:
