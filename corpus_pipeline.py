@@ -14,7 +14,6 @@ pass through the filtering stages.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tickframe.llm import bpe, decontaminate, lines, ngram_join, quality
@@ -28,8 +27,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line repeats."""
-    return lines.remove_repeated(docs).select(*docs.columns)
+    """Documents without the lines that an earlier line repeats; documents
+    that consist of such lines alone, copies of earlier ones, go."""
+    return lines.drop_emptied(lines.remove_repeated(docs)).select(*docs.columns)
 
 
 def document_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document's whole text, and digests of the ids and of what they decode to."""
+    import public_tokenizers
+
     return bpe.round_trip_digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
