@@ -27,13 +27,20 @@ def test_pipeline_against_brute_force(spark):
     steps = dict(corpus_pipeline.STAGES)
     after = {r.doc_id: r.text for r in steps["lines"](spark, kept, SF).collect()}
     want = brute_lines(list(texts.items()), lines.THRESHOLD)
-    assert {d: hashlib.sha256(t.encode()).hexdigest() for d, t in after.items()} == {d: h for d, (_, h) in want.items()}
+    nothing = {hashlib.sha256(("\n" * n).encode()).hexdigest() for n in range(1000)}
+    emptied = {d for d, (n, h) in want.items() if n and h in nothing}
+    assert emptied and {d: hashlib.sha256(t.encode()).hexdigest() for d, t in after.items()} == {d: h for d, (_, h) in want.items() if d not in emptied}
     one = {d for d, (_, c) in brute(list(after.items())).items() if c == d}
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {d for d, x in brute_contamination([(d, after[d]) for d in one], items).items() if not x[1]}
     rows = corpus_pipeline.run(spark, SF).collect()
     own = library()
-    assert {r.doc_id for r in rows} == clean
+    assert {r.doc_id for r in rows} == clean and all(r.n_tokens for r in rows)
+    first: dict[str, int] = {}
+    for d, t in sorted(texts.items()):
+        first.setdefault(t, d)
+    copies = {d for d, t in texts.items() if first[t] != d}
+    assert copies and not copies & {r.doc_id for r in rows}
     for r in rows:
         ids = own.encode_ordinary(after[r.doc_id])
         assert r.n_tokens == len(ids) and r.decoded_sha256 == hashlib.sha256(after[r.doc_id].encode()).hexdigest()
