@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import release, stage
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -31,11 +31,10 @@ def components(links: DataFrame) -> DataFrame:
     smallest id that links reach."""
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     now = stage(ordered, "links")
-    state = None
     while True:
-        now = stage(_star(_star(now, True), False), "links")
-        row = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_000_007), F.lit(0))).first()
-        if tuple(row) == state:
+        before, now = now, stage(_star(_star(now, True), False), "links")
+        changed = now.count() != before.count() or not now.join(before, ["a", "b"], "left_anti").isEmpty()
+        release(before)
+        if not changed:
             break
-        state = tuple(row)
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

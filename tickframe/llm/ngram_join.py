@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stage, whole_texts
+from .common import release, small, stage, whole_texts
 from .components import components
 from .shingles import shingle_hashes, slices
 
@@ -64,6 +64,24 @@ def _per_text(batch: pa.RecordBatch):
             yield a + r, hashes[at[r]:at[r + 1]]
 
 
+def _point_bytes(counts: np.ndarray) -> bytes:
+    """Counts by group in 1, 2 or 4 bytes each, as the largest needs."""
+    top = int(counts.max())
+    return counts.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<i4").tobytes()
+
+
+def _points(column) -> np.ndarray:
+    """The points of a column as a matrix; a point's length tells its form."""
+    raw = column.to_pylist()
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // GROUPS
+    out = np.zeros((len(raw), GROUPS), np.int32)
+    for size, kind in ((1, "u1"), (2, "<u2"), (4, "<i4")):
+        rows = np.flatnonzero(sizes == size)
+        if len(rows):
+            out[rows] = np.frombuffer(b"".join(raw if len(rows) == len(raw) else [raw[r] for r in rows]), kind).reshape(-1, GROUPS)
+    return out
+
+
 def sets_and_counters(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: for each document its set's size, class and point;
     for each task and chunk of counters the counts (``chunk`` is not null)."""
@@ -74,8 +92,8 @@ def sets_and_counters(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for r, hashes in _per_text(batch):
-                point = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<i4")
-                rows.append({"doc_id": batch.column("doc_id")[r].as_py(), "n": len(hashes), "class": _class_of(hashes), "point": point.tobytes()})
+                point = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+                rows.append({"doc_id": batch.column("doc_id")[r].as_py(), "n": len(hashes), "class": _class_of(hashes), "point": _point_bytes(point)})
                 np.add.at(counters, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
             yield pa.RecordBatch.from_pylist(rows, schema)
         if counters.any():
@@ -163,7 +181,7 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
     def of(part: pa.Table, cuts: np.ndarray) -> np.ndarray:
         """Pairs of the groups of rows between ``cuts``. A group that fits in
         one leaf has no boxes above its points, so all leaves go together."""
-        points = np.frombuffer(b"".join(part["point"].to_pylist()), "<i4").reshape(-1, GROUPS)
+        points = _points(part["point"])
         c, comp, n, side, place = (part[k].to_numpy() for k in ("class", "component", "n", "side", "place"))
 
         def may_link(x, y):
@@ -225,7 +243,7 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     def bound(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("pa", "pb"))
+            p, q = _points(batch.column("pa")), _points(batch.column("pb"))
             ok = np.flatnonzero(_enough(na, nb, np.minimum(p, q).sum(1)))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
@@ -276,6 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = components(links)
     labelled = entries.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     labelled = stage(labelled.select("token", "class", "place", "component"), "jaccard-labelled")
+    release(entries)
     # groups with several components
     groups = (labelled.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1"))
     groups = stage(groups.select("token", F.col("c0").alias("family"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-groups")
@@ -287,6 +306,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                              "class", "component")
     points = classes.select("class", F.col("n"), "point")
     more = stage(_tree_pairs(members.join(points, "class")).distinct(), "jaccard-pairs")
+    release(labelled)
     links = links.unionByName(_links(docs, classes, more))
 
     reps = classes.select("class", "rep")
