@@ -34,11 +34,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import release, small, stage
 from .spans import let
 
 THRESHOLD = 0.75
-COUNTERS = 1 << 12
+COUNTERS = 1 << 16
 
 _SPACE, _UPPER, _LOWER = "\t\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -61,10 +61,10 @@ def _counter(hashed: Column) -> Column:
 def rarity_levels(docs: DataFrame) -> list[int]:
     """log2 level of each counter's word count."""
     words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("token")).where("token != ''")
-    counts = words.groupBy(_counter(F.xxhash64("token")).alias("c")).count().collect()  # COUNTERS rows
+    counts = words.groupBy(_counter(F.xxhash64("token")).alias("c")).count().collect()  # COUNTERS rows at most
     levels = [0] * COUNTERS
     for r in counts:
-        levels[r["c"]] = int(2 * math.log2(r["count"]))
+        levels[r["c"]] = min(int(2 * math.log2(r["count"])), 126) + 1
     return levels
 
 
@@ -96,11 +96,12 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
     """(line_at, h, n, bits, prefix) of every line that isn't blank; ``line_at`` is its
     place in the corpus as one number."""
-    levels = F.array(*(F.lit((level << 56) + (255 << 48)).cast("long") for level in rarity_levels(docs)))
+    levels = F.lit(bytes(rarity_levels(docs)))  # one byte a counter, below 128
     low = F.lit((1 << 48) - 1)
 
     def key(h, t):
-        return F.element_at(levels, _counter(h) + 1) - F.shiftleft(F.least(F.length(t), F.lit(255)).cast("long"), 48) + h.bitwiseAND(low)
+        level = F.ascii(F.substring(levels, _counter(h) + 1, F.lit(1)).cast("string")).cast("long")
+        return F.call_function("shiftleft", level, F.lit(56)) + F.lit(255 << 48) - F.shiftleft(F.least(F.length(t), F.lit(255)).cast("long"), 48) + h.bitwiseAND(low)
 
     def of(words):
         return let(F.transform(words, lambda t: F.xxhash64(t)), lambda hashes: of_hashes(words, hashes))
@@ -125,12 +126,13 @@ def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     """Every line that isn't blank (line_at, h), and for each distinct line h
     its first place, whether it occurs again, and whether an earlier line is
     similar to it."""
-    every = stage(_prefixes(docs, threshold), "lines")
-    first = stage(every.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
+    wide = stage(_prefixes(docs, threshold), "lines-wide")
+    first = stage(wide.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
+    every = stage(wide.select("line_at", "h"), "lines")
+    release(wide)
     entry = first.select(F.posexplode("prefix").alias("p", "token"), "line_at", "n", "bits")
     group = Window.partitionBy("token")  # spills
     entry = entry.withColumn("lead", F.min(F.struct("line_at", "n", "p", "bits")).over(group)).withColumn("last", F.max("line_at").over(group)).where("lead.line_at != last").drop("last")
-    entry = stage(entry.where(F.col("line_at") != F.col("lead.line_at")), "lines-entries")
 
     def may_match(x: str, y: str) -> Column:
         nx, ny, px, py, bx, by = (F.col(f"{s}{c}") for c in ("n", "p", "bits") for s in (x, y))
@@ -138,27 +140,37 @@ def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
         need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
         return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (1 + F.least(nx - px - 1, ny - py - 1) >= need) & (F.bit_count(bx.bitwiseXOR(by)) <= differ)
 
-    with_lead = entry.where(may_match("", "lead.")).select("line_at", F.col("lead.line_at").alias("other")).distinct()
-    done = stage(_verified(docs, with_lead, threshold), "lines-done")
-    left = entry.join(done, "line_at", "left_anti").drop("lead")
+    entry = entry.where(F.col("line_at") != F.col("lead.line_at")).withColumn("other", F.when(may_match("", "lead."), F.col("lead.line_at")))
+    entry = stage(entry.drop("lead"), "lines-entries")
+    distinct_lines = stage(first.select("h", "line_at", "again"), "lines-distinct")
+    release(first)
+    with_lead = entry.where("other IS NOT NULL").select("line_at", "other").distinct()
+    staged_entry, entry = entry, entry.drop("other")
+    done = _verified(docs, stage(with_lead, "lines-pairs"), threshold)
+    left = entry.join(done, "line_at", "left_anti")
     x = left.select("token", *(F.col(c).alias(f"x_{c}") for c in ("line_at", "n", "p", "bits")))
     y = entry.select("token", *(F.col(c).alias(f"y_{c}") for c in ("line_at", "n", "p", "bits")))
     pairs = x.join(y, "token").where(F.col("y_line_at") < F.col("x_line_at")).where(may_match("x_", "y_"))
-    rest = _verified(docs, pairs.select(F.col("x_line_at").alias("line_at"), F.col("y_line_at").alias("other")).distinct(), threshold)
+    pairs = stage(pairs.select(F.col("x_line_at").alias("line_at"), F.col("y_line_at").alias("other")).distinct(), "lines-pairs")
+    release(staged_entry)
+    rest = _verified(docs, pairs, threshold)
     similar = done.unionByName(rest).distinct().withColumn("similar", F.lit(True))
-    places = first.select("h", "line_at", "again").join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
+    places = distinct_lines.join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
     return every.select("line_at", "h"), places.withColumn("similar", F.coalesce("similar", F.lit(False)))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The line_at of ``pairs`` (line_at, other) whose lines are similar."""
-    pairs = stage(pairs, "lines-pairs")
+    """The line_at of ``pairs`` (line_at, other; staged, read once) whose
+    lines are similar, on their distinct tokens' 64-bit hashes."""
     used = stage(pairs.select("line_at").union(pairs.select("other")).distinct(), "lines-used")
-    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(tokens(F.col("line"))).alias("words"))
+    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(F.transform(tokens(F.col("line")), lambda t: F.xxhash64(t))).alias("words"))
     sets = stage(texts.dropDuplicates(["line_at"]), "lines-sets")
     both = (pairs.join(sets, "line_at").withColumnRenamed("words", "mine").join(sets.select(F.col("line_at").alias("other"), F.col("words").alias("theirs")), "other"))
     common = F.size(F.array_intersect("mine", "theirs"))
-    return both.where(common >= (F.size("mine") + F.size("theirs")) * (threshold / (1 + threshold)) - 1e-9).select("line_at").distinct()
+    found = stage(both.where(common >= (F.size("mine") + F.size("theirs")) * (threshold / (1 + threshold)) - 1e-9).select("line_at").distinct(), "lines-similar")
+    for read in (pairs, used, sets):
+        release(read)
+    return found
 
 
 def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
