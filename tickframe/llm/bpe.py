@@ -32,6 +32,8 @@ DECODED = "doc_id long, n_tokens long, ids binary, decoded binary"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words of more bytes are merged one by one with a heap.
 LONG_WORD = 256
+#: Bytes of words merged at once: the merge's tables take some 30 times as much.
+SLICE_BYTES = 2 << 20
 NONE = np.int64(1 << 40)
 
 
@@ -151,7 +153,7 @@ def _encoded(batches, path: str):
     """Batches (doc_id, n_tokens, ids) of batches (doc_id, words), a slice of rows each."""
     ranks = _ranks(path)
     for batch in batches:
-        for first, last, offsets, distinct, index in word_slices(batch.column("words")):
+        for first, last, offsets, distinct, index in word_slices(batch.column("words"), SLICE_BYTES):
             values, n = ranks.fold([w.encode() for w in distinct.to_pylist()])
             own = np.concatenate([[0], np.cumsum(n[index])])[offsets]
             ids = binaries(gather(values.astype("<u4"), np.cumsum(n) - n, n, index), own)

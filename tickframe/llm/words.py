@@ -20,7 +20,7 @@ def with_words(docs: DataFrame, pattern: str) -> DataFrame:
     return whole_texts(docs).select("doc_id", F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)).alias("words"))
 
 
-def word_slices(words: pa.Array):
+def word_slices(words: pa.Array, limit: int = SLICE_BYTES):
     """Slices of a list<string> array: (first row, last row, offsets of the
     rows' words, distinct words, index of each word among them)."""
     offsets = words.offsets.to_numpy().astype(np.int64)
@@ -30,7 +30,7 @@ def word_slices(words: pa.Array):
     bytes_at = at[offsets]
     first = 0
     while first < len(words):
-        last = int(np.searchsorted(bytes_at, bytes_at[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(bytes_at, bytes_at[first] + limit, "right")) - 1
         last = min(max(last, first + 1), len(words))
         part = flat.slice(offsets[first], offsets[last] - offsets[first]).dictionary_encode()
         yield first, last, offsets[first:last + 1] - offsets[first], part.dictionary, part.indices.to_numpy()
