@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from tickframe.llm import bpe, packing
 
@@ -76,3 +76,41 @@ def test_empty(spark):
     path = packing.new_file(spark)
     packing.write_tokens(none, P.path("byte_bpe_50k.json"), P.PATTERN, 2, path)
     assert packing.read_documents(spark, path).count() == 0
+
+
+def test_registered_token_file_of_corpus(spark):
+    from tickframe.llm.queries import QUERIES
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    text = dict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect())
+    rows = {r.doc_id: r for r in QUERIES["op10_packed_tokens"](spark, "/root/testdata/sf0.001").collect()}
+    assert sorted(rows) == sorted(text)
+    start = 0
+    for doc_id in sorted(text):
+        ids = np.array([*t.encode(text[doc_id] or "", add_special_tokens=False).ids, 2], "<u4")
+        r = rows[doc_id]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_words_by_merges_alone_equal_the_whole_chain(tmp_path):
+    path = P.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    words = ["", "é€🙂", "\x00\x7f", "퟿\U0010ffffÿÀ", "a" * 5000, " the", "\n\n", "漢字"]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(words, add_special_tokens=False)]
+    assert packing._byte_signs(path) is not None and packing._encoded(path, words) == expected
+    t.normalizer = normalizers.Lowercase()
+    t.save(str(tmp_path / "lower.json"))
+    lower = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(["The", "ABC"], add_special_tokens=False)]
+    assert packing._byte_signs(str(tmp_path / "lower.json")) is None
+    assert packing._encoded(str(tmp_path / "lower.json"), ["The", "ABC"]) == lower
+
+
+def test_kept_words_stay_bounded(monkeypatch):
+    path = P.path("byte_bpe_50k.json")
+    monkeypatch.setattr(packing, "KEPT_WORDS", 5)
+    packing._tokenizer(path)[2].clear()
+    expected = {w: packing._encoded(path, [w])[0] for w in "abcdefghijkl"}
+    for words in ("abc", "cdefg", "chijkl", "abcdefghijkl"):
+        assert packing._word_ids(path, list(words)) == [expected[w] for w in words]
+        assert len(packing._tokenizer(path)[2]) <= 5

@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import uuid
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -71,18 +72,57 @@ def vocabulary_bits(path: str) -> int:
     return max(1, int(_tokenizer(path)[0].get_vocab_size() - 1).bit_length())
 
 
+@lru_cache(maxsize=1)
+def _byte_signs(path: str) -> np.ndarray | None:
+    """The character by which the vocabulary spells each byte, as the
+    library's own byte-level step gives it; None where that step isn't all
+    that happens to a word before the merges."""
+    from tokenizers import pre_tokenizers
+
+    tokenizer, _, _ = _tokenizer(path)
+    step = tokenizer.pre_tokenizer
+    if tokenizer.normalizer is not None or not isinstance(step, pre_tokenizers.ByteLevel) or step.add_prefix_space:
+        return None
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    signs = np.zeros(256, "<u4")
+    # every byte that UTF-8 uses: all characters of one and two bytes, one for each first byte of longer ones
+    for code in [*range(0x801), *range(0x1000, 0x10000, 0x1000), *range(0x10000, 0x110000, 0x10000)]:
+        for byte, sign in zip(chr(code).encode(), spell.pre_tokenize_str(chr(code))[0][0], strict=True):
+            signs[byte] = ord(sign)
+    return signs
+
+
+def _encoded(path: str, words: list[str]) -> list[bytes]:
+    """Little-endian ids of each word by the library: its merges alone where
+    the words are spelled here, 65,536 words at a time, else its whole chain."""
+    tokenizer, _, _ = _tokenizer(path)
+    signs = _byte_signs(path)
+    if signs is None:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    model, out = tokenizer.model, []
+    for first in range(0, len(words), 1 << 16):
+        raw = [w.encode() for w in words[first:first + (1 << 16)]]
+        ends = np.cumsum([len(x) for x in raw]).tolist()
+        spelled = signs[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-32-le")
+        coded = [[t.id for t in model.tokenize(spelled[a:b])] for a, b in zip([0, *ends], ends)]
+        flat = np.array([i for ids in coded for i in ids], "<u4").tobytes()
+        stops = (4 * np.cumsum([len(ids) for ids in coded])).tolist()
+        out += [flat[a:b] for a, b in zip([0, *stops], stops)]
+    return out
+
+
 def _word_ids(path: str, words: list[str]) -> list[bytes]:
-    """Little-endian ids of each word by the tokenizer, of which a bounded
-    number is kept from slice to slice."""
-    tokenizer, _, known = _tokenizer(path)
+    """Ids of each distinct word of a slice. A bounded number is kept from
+    slice to slice; when that is full, only words that this slice used again stay."""
+    known = _tokenizer(path)[2]
     fresh = [w for w in words if w not in known]
-    if len(known) + len(fresh) > KEPT_WORDS:
-        known.clear()
-        fresh = words
-    new = dict(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)), strict=True))
+    new = dict(zip(fresh, _encoded(path, fresh), strict=True))
     out = [new[w] if w in new else known[w] for w in words]
-    if len(known) + len(new) <= KEPT_WORDS:
-        known.update(new)
+    if len(known) + len(new) > KEPT_WORDS:
+        used = {w: known[w] for w in words if w in known}
+        known.clear()
+        known.update(used)
+    known.update(islice(new.items(), max(KEPT_WORDS - len(known), 0)))
     return out
 
 
