@@ -59,3 +59,23 @@ def test_order_and_minimizers():
     at, _ = suffixes.minimizers(data)
     for i in range(len(data) - 99):
         assert ((at >= i) & (at <= i + suffixes.SPAN)).any()
+
+
+def test_repeats_within_a_task_are_told_once():
+    told = np.array([2, 9])
+    known, news = suffixes._split_repeats(np.array([5, 2, 7, 5, -3, 7, 5]), told)
+    assert known.tolist() == [True, True, True, True, False, True, True] and news.tolist() == [5, 7]
+    known, news = suffixes._split_repeats(np.zeros(0, np.int64), told)
+    assert len(known) == 0 and len(news) == 0
+
+
+def test_a_passage_that_fills_the_corpus(spark):
+    r = random.Random(8)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passage, rare = text(240), text(160)
+    docs = [(i, text(30) + passage + text(r.randrange(20))) for i in range(200)]  # every task holds it several times
+    docs[3] = (3, docs[3][1] + rare)
+    docs[150] = (150, rare + docs[150][1])  # once in each of two tasks
+    docs += [(300, passage * 40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(4, "doc_id")
+    assert result(suffixes.report(suffixes.remove_repeats(d)).collect()) == brute(docs)

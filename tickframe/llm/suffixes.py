@@ -9,6 +9,7 @@ at the same offset wherever the window occurs, so no repeat is lost.
 
 1. Texts that are equal as a whole are found by digest; the later ones go.
 2. Minimizers (hash, document, position) that occur once are dropped.
+   What repeats within a task is told apart there, so none is a hot key.
 3. Each suffix left takes the bytes of all windows around its minimizer.
    Splitters sampled by Spark deal suffixes to ranges of (leading bytes,
    document, position), so a string that fills the corpus takes several
@@ -32,14 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stage, whole_texts
+from .common import release, small, stage, whole_texts
 from .shingles import _powers, mix, slices, utf8
 
 LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM  # bytes of a window on either side of its minimizer
-#: Positions or spans up to which a table grouped by document is broadcast.
-BROADCAST_ITEMS = 3_000_000
+#: Repeated minimizers that a task remembers; beyond, it tells of them again.
+TOLD_GRAMS = 1_000_000
+#: Suffixes of a bucket, on average; a bucket is sorted in one piece.
+BUCKET_ROWS = 200_000
 GROUP_ROWS = 20_000
 
 _U = np.uint64
@@ -79,30 +82,51 @@ def _firsts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     others = marked.where("copy").select("doc_id")
     # rows whose text isn't the one that counts for their doc_id
     wrong = stage(digests.join(marked, ["doc_id", "digest"], "left_anti").select("doc_id", "digest"), "suffix-wrong")
+    release(digests)
     texts = rows.join(small(stage(others, "suffix-copies")), "doc_id", "left_anti")
     texts = texts.join(small(wrong), (texts["doc_id"] == wrong["doc_id"]) & (F.unhex(F.sha1(texts["text"].cast("binary"))) == wrong["digest"]), "left_anti")
     return texts, marked.select("doc_id", "n_bytes", "copy")
 
 
+def _split_repeats(grams: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``grams`` are known to repeat, being several here or in the
+    sorted ``told``; and the several that aren't in ``told`` yet, sorted."""
+    values, first, times = np.unique(grams, return_inverse=True, return_counts=True)
+    old = np.isin(values, told, assume_unique=True)
+    return ((times > 1) | old)[first], values[(times > 1) & ~old]
+
+
 def _repeated_minimizers(texts: DataFrame) -> DataFrame:
-    """(doc_id, pos) of minimizers whose bytes occur more than once."""
+    """(doc_id, pos) of minimizers whose bytes occur more than once.
+
+    What repeats within a slice of a task is known at once: those rows go
+    each by a key of its own, and one row without a document tells the other
+    tasks. So of a string that is everywhere a window holds a few rows a
+    task, not all of its places."""
 
     def tasks(batches):
+        told = np.zeros(0, np.int64)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for a, b in slices(batch.column("text")):
                 data, at = utf8(batch.column("text").slice(a, b - a))
-                grams, docs, places = [], [], []
-                for r in range(b - a):
-                    pos, h = minimizers(data[at[r]:at[r + 1]])
-                    grams.append(h.view(np.int64))
-                    docs.append(np.full(len(pos), ids[a + r]))
-                    places.append(pos.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams)), pa.array(np.concatenate(docs)), pa.array(np.concatenate(places))], ["gram", "doc_id", "pos"])
+                found = [minimizers(data[at[r]:at[r + 1]]) for r in range(b - a)]
+                grams = np.concatenate([h for _, h in found]).view(np.int64)
+                places = np.concatenate([pos for pos, _ in found])
+                docs = np.repeat(ids[a:b], [len(pos) for pos, _ in found])
+                known, news = _split_repeats(grams, told)
+                if len(told) + len(news) <= TOLD_GRAMS:
+                    told = np.union1d(told, news)
+                own = docs * np.int64(1_000_003) + places
+                none = np.ones(len(news), bool)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([grams, news])), pa.array(np.concatenate([own, np.zeros(len(news), np.int64)]), mask=np.concatenate([~known, none])),
+                    pa.array(np.concatenate([docs, np.zeros(len(news), np.int64)]), mask=np.concatenate([np.zeros(len(docs), bool), none])),
+                    pa.array(np.concatenate([places, np.zeros(len(news), np.int64)]).astype(np.int32))], ["gram", "own", "doc_id", "pos"])
 
-    every = texts.mapInArrow(tasks, "gram long, doc_id long, pos int")
-    counted = every.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("gram")))  # spills
-    return counted.where("times > 1").select("doc_id", "pos")
+    every = texts.mapInArrow(tasks, "gram long, own long, doc_id long, pos int")
+    counted = every.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("gram", "own")))  # spills
+    return counted.where(F.col("doc_id").isNotNull() & (F.col("own").isNotNull() | (F.col("times") > 1))).select("doc_id", "pos")
 
 
 _SUFFIX = "lead binary, doc_id long, pos int, before int, bytes binary"
@@ -213,23 +237,26 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc_id, start, end) of repeats in ``texts`` (doc_id, text), which may overlap."""
     places = stage(_repeated_minimizers(texts), "suffix-places")
     per_doc = places.groupBy("doc_id").agg(F.collect_list("pos").alias("at"))
-    suffixes = stage(_suffixes(texts, F.broadcast(per_doc) if places.count() <= BROADCAST_ITEMS else per_doc), "suffixes")
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    suffixes = stage(_suffixes(texts, per_doc), "suffixes")
+    release(places)
+    n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // BUCKET_ROWS))
     marks = stage(_window_marks(suffixes.repartitionByRange(n, "lead", "doc_id", "pos")), "suffix-marks")
+    release(suffixes)
     across = marks.where("gram is not null")
     place = F.struct("doc_id", "start")
     earliest = Window.partitionBy("gram", "offset", "window")
     later = across.withColumn("first", F.min(place).over(earliest)).where(place != F.col("first"))
-    return marks.where("gram is null").select("doc_id", "start", "end").unionByName(later.select("doc_id", "start", "end"))
+    spans = stage(marks.where("gram is null").select("doc_id", "start", "end").unionByName(later.select("doc_id", "start", "end")), "suffix-spans")
+    release(marks)
+    return spans
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, removed, kept): the merged spans removed from each
     document, as (start, end), and the bytes that stay."""
     texts, every = _firsts(docs)
-    spans = stage(repeated_spans(texts), "suffix-spans")
-    per_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = texts.join(F.broadcast(per_doc) if spans.count() <= BROADCAST_ITEMS // 3 else per_doc, "doc_id", "left").select("doc_id", "text", "spans")
+    per_doc = repeated_spans(texts).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    joined = texts.join(per_doc, "doc_id", "left").select("doc_id", "text", "spans")
     kind = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
 
