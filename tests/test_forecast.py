@@ -148,3 +148,21 @@ def test_small_errors_are_kept(spark):
     df = spark.createDataFrame([("A", 1.0, 1.0 + 1e-7), ("A", 2.0, 2.0 + 2e-7)], "Instrument string, a double, p double")
     m = regression_metrics(df, "a", "p").first()
     assert abs(m.mse - 2.5e-14) < 1e-19 and F is not None
+
+
+def test_the_series_is_made_once(spark):
+    """Counting, numbering and fitting read one staged copy: what made the
+    series (scans, joins, sums) does not run again for each of them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for one in batches:
+            made.add(one.num_rows)
+            yield one
+
+    df = series(spark, {"A": 120, "B": 60})
+    counted = df.mapInArrow(count, df.schema)
+    p = ForecastParams(n_in=10, n_out=3, block=20, ridge=1e-3, tail_forecast=2, tail_price=2)
+    res, details = forecast_entities(counted, p, exog=["M"])
+    assert {r.Instrument: r.n_rows for r in res.collect()} == {"A": 120, "B": 60}
+    assert details.count() > 0 and made.value == 180

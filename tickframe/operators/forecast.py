@@ -188,7 +188,9 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     whole = c("Date").isNotNull()
     for x in numbers:
         whole = whole & x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    rows_in = series.select(entity, "Date", *[x.alias(n) for x, n in zip(numbers, used, strict=True)], F.coalesce(whole, F.lit(False)).alias("_whole"))
+    # counted, numbered in two passes: what made the series runs once
+    rows_in = staged(series.select(entity, "Date", *[x.alias(n) for x, n in zip(numbers, used, strict=True)],
+                                   F.coalesce(whole, F.lit(False)).alias("_whole")), "forecast-series")
     left_out = rows_in.groupBy(entity).agg(F.count_if(~c("_whole")).alias("rows_left_out"))
     # min-max bounds per entity (S18: the reference fitted them on all rows,
     # test and validation included; ``fit_on='train'`` uses training rows)
