@@ -147,6 +147,43 @@ def test_dense_results_do_not_depend_on_partitions_or_batches(spark):
     assert (got[0] == got[1]).all()
 
 
+def test_dense_shards_share_tasks_and_held_rows_are_made_once(spark, monkeypatch):
+    """Many small shards are trained by few tasks an epoch, with the weights
+    that a task for each shard gives; validation rows are not made anew in
+    each epoch."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 3))
+    y = x @ np.array([1.0, -2.0, 0.5])
+    df = spark.createDataFrame([([float(v) for v in xi], float(yi)) for xi, yi in zip(x, y)], "x array<double>, y double")
+    tasks, made, plain = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), dense._epoch
+
+    def counted(*args):
+        run = plain(*args)
+
+        def each(batches):
+            for state in run(batches):
+                tasks.add(1)
+                yield state
+
+        return each
+
+    def seen(batches):
+        for one in batches:
+            made.add(one.num_rows)
+            yield one
+
+    monkeypatch.setattr(dense, "_epoch", counted)
+    cores, got, used = spark.sparkContext.defaultParallelism, [], []
+    for per_core in (1, 1000):
+        monkeypatch.setattr(dense, "TASKS_PER_CORE", per_core, raising=False)
+        before, history = tasks.value, []
+        got.append(dense.fit_dense(df.repartition(4), 3, hidden=(8, 8), epochs=2, batch=8, shard_rows=20,
+                                   val=df.mapInArrow(seen, df.schema), history=history))
+        used.append(tasks.value - before)
+    assert used[0] <= 2 * cores < used[1] and (got[0] == got[1]).all()
+    assert len(history) == 2 and made.value == 2 * 1500
+
+
 def test_dense_state_survives_epochs_and_batches(spark):
     """One shard: the epochs are one plain run of Adam over the same order."""
     rng = np.random.default_rng(6)

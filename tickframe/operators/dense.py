@@ -28,6 +28,8 @@ from ..sources.staging import staged
 from .regress import SECTOR_COL, TARGET, feature_columns, prepare, scope_frames
 
 SHARD_ROWS, MAX_SHARDS = 8192, 1024
+#: Shards are dealt to so many tasks for each core, at most.
+TASKS_PER_CORE = 4
 #: States are averaged in multiples of this.
 STEP = 2.0 ** -36
 
@@ -67,7 +69,7 @@ def forward(flat: np.ndarray, x: np.ndarray, d: int, hidden=(256, 256)) -> np.nd
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
-    """An Arrow list column of ``d`` doubles a row as a matrix, uncopied."""
+    """An Arrow list column of ``d`` numbers a row as a matrix, uncopied."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(-1, d)
 
@@ -81,28 +83,32 @@ class Adam:
         self.flat, self.m, self.v = (state[k * size:(k + 1) * size].astype(np.float32) for k in range(3))
         self.grad, self.work = np.empty(size, np.float32), np.empty(size, np.float32)
         self.params, self.grads = _unflatten(self.flat, d, hidden), _unflatten(self.grad, d, hidden)  # views
+        self.wide, self.buffers = hidden, {}
         self.t, self.lr, self.dropout, self.rng = int(round(state[-1])), lr, dropout, rng
 
     def step(self, xb: np.ndarray, yb: np.ndarray, b1: float = 0.9, b2: float = 0.999, eps: float = 1e-7) -> None:
-        acts, masks, h = [xb], [], xb
-        for w, b in self.params[:-1]:
-            h = h @ w
+        acts, h, n = [xb], xb, len(yb)
+        if n not in self.buffers:  # two sizes a shard: a whole batch and its last
+            self.buffers[n] = [[np.empty((n, k), t) for t in (np.float32, np.float32, np.float32, bool, bool)] for k in self.wide]
+        for (w, b), (out, mask, _, on, kept) in zip(self.params[:-1], self.buffers[n], strict=True):
+            h = np.matmul(h, w, out=out)
             h += b
-            mask = (h > 0).astype(np.float32)
+            np.greater(h, 0, out=on)
             if self.dropout > 0:
-                mask *= (self.rng.random(h.shape, np.float32) >= self.dropout) * np.float32(1.0 / (1.0 - self.dropout))
-            h *= mask
-            masks.append(mask)
+                self.rng.random(out=mask, dtype=np.float32)
+                on &= np.greater_equal(mask, self.dropout, out=kept)
+            h *= np.multiply(on, np.float32(1.0 / (1.0 - self.dropout)), out=mask)
             acts.append(h)
         w, b = self.params[-1]
-        g = np.float32(2.0 / len(yb)) * ((h @ w + b)[:, 0] - yb)[:, None]
+        g = np.float32(2.0 / n) * ((h @ w + b)[:, 0] - yb)[:, None]
         for li in range(len(self.params) - 1, -1, -1):
             gw, gb = self.grads[li]
             np.matmul(acts[li].T, g, out=gw)
             np.sum(g, axis=0, out=gb)
             if li > 0:
-                g = g @ self.params[li][0].T
-                g *= masks[li - 1]
+                _, mask, back, _, _ = self.buffers[n][li - 1]
+                g = np.matmul(g, self.params[li][0].T, out=back)
+                g *= mask
         self.t += 1
         self.m *= b1
         self.m += np.multiply(self.grad, 1 - b1, out=self.work)
@@ -132,8 +138,8 @@ def _epoch(bw, epoch: int, rows: int, d: int, hidden: tuple, lr: float, batch: i
             return share if total is None else total + share
 
         for one in batches:
-            shards, x = one.column("shard").to_numpy(), _matrix(one.column("x"), d).astype(np.float32)
-            y = one.column("y").to_numpy(zero_copy_only=False).astype(np.float32)
+            shards, x = one.column("shard").to_numpy(), _matrix(one.column("x"), d)
+            y = one.column("y").to_numpy(zero_copy_only=False)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(shards)) + 1, [len(shards)]])
             for first, last in zip(cuts[:-1], cuts[1:], strict=True):
                 if first == last:
@@ -184,19 +190,28 @@ def fit_dense(train: DataFrame, d: int, hidden=(256, 256), epochs: int = 25, lr:
         return flat
     shards = min(-(-rows // shard_rows), MAX_SHARDS)
     key = F.xxhash64("x", "y")
-    # one shuffle; the dealt rows stay for all epochs
-    data = train.select("x", "y", key.alias("key"), F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(shards)).cast("int").alias("shard"))
-    data = data.repartitionById(shards, F.col("shard")).persist(StorageLevel.MEMORY_AND_DISK)
+    # one shuffle; the dealt rows stay for all epochs, in the precision that
+    # the steps use. A task takes several shards and hands on one sum of their
+    # states, as what a task costs by itself (worker, weights, state) would
+    # otherwise be paid by each shard in each epoch.
+    data = train.select(F.col("x").cast("array<float>").alias("x"), F.col("y").cast("float").alias("y"), key.alias("key"),
+                        F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(shards)).cast("int").alias("shard"))
+    parts = min(shards, TASKS_PER_CORE * sc.defaultParallelism)
+    data = data.repartitionById(parts, F.pmod(F.col("shard"), F.lit(parts))).persist(StorageLevel.MEMORY_AND_DISK)
+    if val is not None:
+        val = val.select("x", "y").persist(StorageLevel.MEMORY_AND_DISK)
     state = np.concatenate([flat, np.zeros(2 * len(flat) + 1)])
     for epoch in range(epochs):
         bw = sc.broadcast(state)
         ordered = data.sortWithinPartitions("shard", F.xxhash64("key", F.lit(epoch)), "key").select("shard", "x", "y")
-        parts = ordered.mapInArrow(_epoch(bw, epoch, rows, d, hidden, lr, batch, dropout, seed), "state binary")
-        state = parts.rdd.map(lambda r: np.frombuffer(r.state)).treeReduce(lambda a, b: a + b, depth=2)
+        states = ordered.mapInArrow(_epoch(bw, epoch, rows, d, hidden, lr, batch, dropout, seed), "state binary")
+        state = states.rdd.map(lambda r: np.frombuffer(r.state)).treeReduce(lambda a, b: a + b, depth=2)
         bw.unpersist()
         if val is not None and history is not None:
             history.append((epoch + 1, validation_mse(val, state[:len(flat)], d, hidden)))
     data.unpersist()
+    if val is not None:
+        val.unpersist()
     return state[:len(flat)]
 
 
@@ -228,7 +243,9 @@ def dense_scope(joined: DataFrame, split_year: int, sector: str, epochs: int = 2
 
     feats = feature_columns(joined)
     keep = [c for c in ("Instrument", "Date", "Year", SECTOR_COL) if c in joined.columns]
-    joined = staged(joined.select(*keep, *feats, TARGET), "dense-input")  # train and test read it
+    # train and test read it: the sector's rows before the split, all later ones
+    needed = (F.col("Year") >= split_year) | (F.col(SECTOR_COL) == sector)
+    joined = staged(joined.select(*keep, *feats, TARGET).where(needed), "dense-input")
     scopes = scope_frames(joined, split_year, sector, train_scope_sector=True, test_scope_sector=False)
     train, test = scopes[True]
     asm = VectorAssembler(inputCols=feats, outputCol="raw", handleInvalid="keep")
