@@ -116,6 +116,24 @@ def test_components_equal_a_plain_decomposition(spark):
     assert np.allclose([scores[i] for i in range(300)], z @ fitted.loadings.T)
 
 
+def test_component_scores_by_batch_equal_the_expression(spark):
+    """Bit for bit the column expression, with constant columns and nulls;
+    bounds are Spark's own, also for nulls, NaN and columns without values."""
+    rng = np.random.default_rng(11)
+    rows = [("E", i, *map(float, r), 3.0, None) for i, r in enumerate(rng.normal(size=(200, 4)))]
+    names = ["a", "b.c", "c", "d", "e", "f"]
+    df = spark.createDataFrame(rows, "Instrument string, Year int, a double, `b.c` double, c double, d double, e double, f double").repartition(3)
+    cols = names[:5]
+    fitted = segments.fit_components(df, cols, 3)
+    odd = df.union(spark.createDataFrame([("N", 900, None, 1.0, 2.0, 3.0, 3.0, None), ("N", 901, float("nan"), 1.0, 2.0, 3.0, 3.0, None)], df.schema))
+    want = {r.Year: r.x for r in odd.select("Year", fitted.scores().alias("x")).collect()}
+    got = {r.Year: r.x for r in fitted.scored(odd, ("Instrument", "Year")).collect()}
+    assert set(got) == set(want) and got[900] == want[900] == [None] * 3 and np.isnan(got[901]).all()
+    assert all(got[k] == want[k] for k in want if k != 901)
+    plain = odd.agg(*[x for c in names for x in (F.min(f"`{c}`"), F.max(f"`{c}`"))]).first()
+    assert repr([v for pair in segments.column_bounds(odd, names) for v in pair]) == repr(list(plain))
+
+
 def test_dense_fits_planted_relation(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(2000, 3))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,33 @@ class Components:
         return F.array(*[F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in row]), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
                          for row in self.loadings])
 
+    def scored(self, df: DataFrame, keys, name: str = "x") -> DataFrame:
+        """``keys`` and ``scores()`` as ``name``, by Arrow batch: the same sums
+        in the same order, over whole columns instead of row by row. A row
+        with a null has null scores."""
+        keys, cols, k = list(keys), [f"c{i}" for i in range(len(self.cols))], len(self.loadings)
+
+        def tasks(batches):
+            for one in batches:
+                n = one.num_rows
+                out, null = np.zeros((n, k)), np.zeros(n, bool)
+                for c, a, b, weights in zip(cols, self.lo, self.hi, self.loadings.T, strict=True):
+                    if b == a:
+                        out += 0.5 * weights
+                        continue
+                    x = one.column(c)
+                    if x.null_count:
+                        null |= x.is_null().to_numpy(zero_copy_only=False)
+                    scaled = (x.to_numpy(zero_copy_only=False) - a) / (b - a)
+                    for j in range(k):
+                        out[:, j] += scaled * weights[j]
+                values = pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(out.ravel(), mask=np.repeat(null, k)))
+                yield one.drop_columns(cols).append_column(name, values)
+
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+        picked = df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(self.cols, cols, strict=True)])
+        return picked.mapInArrow(tasks, f"{schema}, `{name}` array<double>")
+
     def rows(self, spark) -> DataFrame:
         """(component, feature, loading, variance, variance_ratio)."""
         out = [(k + 1, c, float(v), float(self.variance[k]), float(self.variance[k] / self.total_variance) if self.total_variance else None)
@@ -59,15 +88,39 @@ class Components:
         return spark.createDataFrame(out, "component int, feature string, loading double, variance double, variance_ratio double")
 
 
+def column_bounds(df: DataFrame, cols) -> list[tuple]:
+    """(smallest, largest) value of each column, (None, None) without values;
+    as in Spark's ``max``, NaN is above all numbers. Per Arrow batch, then one
+    small aggregate: two aggregates a column over all rows would be one
+    generated function too long to be compiled."""
+    names = [f"c{i}" for i in range(len(cols))]
+
+    def tasks(batches):
+        for one in batches:
+            lo, hi = [], []
+            for c in names:
+                x = one.column(c).drop_null()
+                numbers = x.filter(pc.invert(pc.is_nan(x)))
+                found = pc.min_max(numbers if len(numbers) else x)
+                lo.append(found["min"])
+                hi.append(found["max"] if len(numbers) == len(x) else pa.scalar(float("nan")))
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(names)), pa.int32()), *(pa.array([v.as_py() for v in side], pa.float64()) for side in (lo, hi))],
+                                             ["i", "lo", "hi"])
+
+    picked = df.select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(cols, names, strict=True)])
+    found = {r.i: (r.lo, r.hi) for r in picked.mapInArrow(tasks, "i int, lo double, hi double").groupBy("i").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
+    return [found.get(i, (None, None)) for i in range(len(names))]
+
+
 def fit_components(df: DataFrame, cols, n_components: int = 5) -> Components:
     """I3 + I4: bounds by one aggregate, the covariance of the scaled columns
     by another; its eigenvectors, largest variance first, each with its
     largest loading (the first of equal ones) positive."""
     cols = tuple(cols)
-    bounds = df.agg(F.array(*[F.min(f"`{c}`") for c in cols]).alias("lo"), F.array(*[F.max(f"`{c}`") for c in cols]).alias("hi")).first()
-    if bounds.lo[0] is None:
+    lo, hi = zip(*column_bounds(df, cols), strict=True)
+    if lo[0] is None:
         raise ValueError("no rows to fit components on")
-    one = Components(cols, np.array(bounds.lo, float), np.array(bounds.hi, float), np.zeros((0, len(cols))), np.zeros(0), 0.0)
+    one = Components(cols, np.array(lo, float), np.array(hi, float), np.zeros((0, len(cols))), np.zeros(0), 0.0)
     m = moments(df.select(*[x.alias(c) for x, c in zip(one.scaled(), cols, strict=True)]), cols)
     values, vectors = np.linalg.eigh(m.covariance if m.n > 1 else np.zeros((len(cols), len(cols))))
     order = np.argsort(values)[::-1][:n_components]
@@ -81,7 +134,7 @@ def pca_features(ratios: DataFrame, n_components: int = 5, keys=KEYS, cols=None)
     cols = list(cols or ratio_names())
     data = staged(ratios.select(*keys, *cols), "segments-input")
     fitted = fit_components(data, cols, n_components)
-    return data.select(*keys, fitted.scores().alias("s")).select(*keys, *[F.col("s")[k].alias(f"pc{k + 1}") for k in range(n_components)])
+    return fitted.scored(data, keys, "s").select(*keys, *[F.col("s")[k].alias(f"pc{k + 1}") for k in range(n_components)])
 
 
 def pca_components(ratios: DataFrame, n_components: int = 5, cols=None) -> DataFrame:
@@ -104,7 +157,7 @@ def fit_segments(ratios: DataFrame, k: int = 5, seed: int = 1, n_components: int
     ``x`` (array) and ``cluster``."""
     cols = list(cols or ratio_names())
     data = staged(ratios.select(*keys, *cols), "segments-input")
-    scores = staged(data.select(*keys, fit_components(data, cols, n_components).scores().alias("x")), "segments-scores")
+    scores = staged(fit_components(data, cols, n_components).scored(data, keys), "segments-scores")
     centres = fit_centres(scores, "x", k, seed)
     return centres, scores.withColumn("cluster", nearest(F.col("x"), centres))
 
