@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tickframe.llm import ngram_join
 from tickframe.llm.components import components
@@ -94,3 +95,27 @@ def test_short_documents_alone(spark):
     d = spark.createDataFrame([(1, "two words"), (2, long), (3, "just three words"), (4, long)], schema).coalesce(1)
     assert len(long) > SLICE_BYTES
     assert sorted(r.doc_id for r in ngram_join.keep_one(d).collect()) == [1, 2, 3]
+
+
+def test_texts_of_one_doc_id_are_compared_as_themselves(spark):
+    r = random.Random(8)
+    texts = {k: [f"{k}{r.randrange(10**6)}" for _ in range(60)] for k in "abcdefgh"}
+    near = {k: [*w[:57], "x", "y", "z"] for k, w in texts.items()}
+    docs = [(10 * i, " ".join(texts[k])) for i, pair in enumerate(("ab", "cd", "ef", "gh"), 1) for k in pair]
+    docs += [(100 + i, " ".join(near[k])) for i, k in enumerate("abcdefgh")]
+    rows = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.component_id for x in rows} == {**{10 * i: 10 * i for i in range(1, 5)}, **{100 + i: 10 * (i // 2 + 1) for i in range(8)}}
+
+
+def test_similar_sets_share_enough_of_their_first_shingles(spark):
+    r, rows = random.Random(5), []
+    for _ in range(3000):
+        base, other = r.sample(range(1000), r.randint(1, 90)), r.sample(range(1000, 2000), 40)
+        x = sorted({*base, *other[:r.randint(0, 12)]}, key=lambda t: t * 7919 % 2003)
+        y = sorted({*base, *other[20:20 + r.randint(0, 12)]}, key=lambda t: t * 7919 % 2003)
+        if 100 * len({*x} & {*y}) >= ngram_join.NEED * len({*x, *y}):
+            first = [set(s[:len(s) - -(-ngram_join.NEED * len(s) // 100) + 1]) for s in (x, y)]
+            rows.append((len(x), len(y), len(first[0] & first[1])))
+    least = ngram_join._least_shared(F.col("x"), F.col("y"))
+    found = spark.createDataFrame(rows, "x long, y long, shared long").select(F.min(F.col("shared") - least), F.max(least)).first()
+    assert found[0] >= 0 and found[1] > 5

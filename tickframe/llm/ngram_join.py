@@ -5,8 +5,9 @@ into ``GROUPS`` groups, and the counts of a document's shingles by group are
 its point. The overlap of two documents is at most the sum of the smaller
 coordinates of their points, and for two boxes of points at most that of
 their upper corners: an R-tree over the points drops whole boxes of pairs
-that can't reach the similarity. Pairs that survive are verified on the
-exact sets of 64-bit shingle hashes.
+that can't reach the similarity. Pairs that survive, and share as many of
+their first shingles as similar sets must, are verified on the exact sets of
+64-bit shingle hashes, made anew from the texts: a text compresses, hashes don't.
 
 An R-tree over all documents would have to compare most boxes of documents
 of similar length, so documents meet only where they share a shingle among
@@ -31,7 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import release, small, stage, whole_texts
@@ -47,6 +48,10 @@ LEAF = 16
 BLOCK = 2048
 SALTS = 4
 KEPT_PAIRS = 1_000_000
+#: Bytes of text hashed at once.
+SLICE_BYTES = 1 << 19
+#: Pairs of one class that a group of ``_links`` compares.
+HOME = 64
 
 _SETS = "doc_id long, n long, class long, point binary, chunk int, counts binary"
 
@@ -58,7 +63,7 @@ def _class_of(hashes: np.ndarray) -> int:
 def _per_text(batch: pa.RecordBatch):
     """(row in the batch, hashes) of each text."""
     texts = batch.column("text")
-    for a, b in slices(texts):
+    for a, b in slices(texts, SLICE_BYTES):
         hashes, at = shingle_hashes(texts.slice(a, b - a), SHINGLE)
         for r in range(b - a):
             yield a + r, hashes[at[r]:at[r + 1]]
@@ -90,11 +95,12 @@ def sets_and_counters(docs: DataFrame) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("point", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
         counters = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            rows = []
+            rows, seen = [], []
             for r, hashes in _per_text(batch):
                 point = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
                 rows.append({"doc_id": batch.column("doc_id")[r].as_py(), "n": len(hashes), "class": _class_of(hashes), "point": _point_bytes(point)})
-                np.add.at(counters, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+                seen.append((hashes & np.uint64(COUNTERS - 1)).astype(np.int64))
+            counters += np.bincount(np.concatenate(seen), minlength=COUNTERS) if seen else 0
             yield pa.RecordBatch.from_pylist(rows, schema)
         if counters.any():
             yield pa.RecordBatch.from_pylist([{"chunk": k, "counts": part.tobytes()} for k, part in enumerate(np.split(counters, CHUNKS))], schema)
@@ -121,29 +127,37 @@ def shingle_levels(parts: DataFrame) -> np.ndarray:
 
 
 def _prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(token, class, place) of the first shingles of each set."""
+    """(token, class) of the first shingles of each set."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # COUNTERS bytes
 
     def tasks(batches):
         for batch in batches:
-            tokens, classes, places = [], [], []
+            tokens, classes = [], []
             for r, hashes in _per_text(batch):
                 if len(hashes):
                     n = len(hashes) - -(-NEED * len(hashes) // 100) + 1
-                    order = np.lexsort((hashes, shared.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:n]
+                    order = np.argsort(shared.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")[:n]  # hashes are in order
                     tokens.append(hashes[order].view(np.int64))
                     classes.append(np.full(n, _class_of(hashes)))
-                    places.append(np.arange(n, dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, places)], ["token", "class", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes)], ["token", "class"])
 
-    return docs.mapInArrow(tasks, "token long, class long, place int")
+    return docs.mapInArrow(tasks, "token long, class long")
 
 
 def _enough(nx, ny, overlap) -> np.ndarray:
     return 100 * overlap >= NEED * (nx + ny - overlap)
 
 
+def _least_shared(nx: Column, ny: Column) -> Column:
+    """Of their first shingles, as ``_prefix_rows`` gives them, two similar
+    sets share so many at least. At most ``nx - overlap`` shingles of x are
+    not in y. Take as x the set whose first ones end earlier in the common
+    order: those of them that are in y are among y's first ones too."""
+    overlap = F.ceil((nx + ny) * NEED / (100 + NEED) - 1e-9)
+    return overlap + 1 - F.ceil(F.greatest(nx, ny) * NEED / 100 - 1e-9)
+
+
 class CountTree:
     """R-tree over points, packed in the order given: each level holds the
     upper corner and the smallest set size of ``LEAF`` nodes of the level below."""
@@ -174,18 +188,19 @@ class CountTree:
 
 
 def _tree_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of classes of one group (``token``, ``block``) and different
-    components, that the R-tree can't rule out. ``members`` has ``side``: 0
+    """(a, b, shared) of classes of one group (``token``, ``block``) and different
+    components, that the R-tree can't rule out; ``shared`` counts a task's
+    groups with the pair. ``members`` has ``side``: 0
     for blocks paired with themselves, else 1 or 2, and pairs are across."""
 
     def of(part: pa.Table, cuts: np.ndarray) -> np.ndarray:
         """Pairs of the groups of rows between ``cuts``. A group that fits in
         one leaf has no boxes above its points, so all leaves go together."""
         points = _points(part["point"])
-        c, comp, n, side, place = (part[k].to_numpy() for k in ("class", "component", "n", "side", "place"))
+        c, comp, n, side = (part[k].to_numpy() for k in ("class", "component", "n", "side"))
 
         def may_link(x, y):
-            return (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & _enough(n[x], n[y], np.minimum(n[x] - place[x], n[y] - place[y]))
+            return (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y]))
 
         found = [np.zeros((0, 2), np.int64)]
         sizes = np.diff(cuts)
@@ -193,7 +208,7 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
             i, j = np.triu_indices(size, 1)
             starts = cuts[:-1][sizes == size][:, None]
             x, y = (starts + i).ravel(), (starts + j).ravel()
-            ok = may_link(x, y)
+            ok = may_link(x, y) & _enough(n[x], n[y], np.minimum(n[x], n[y]))
             x, y = x[ok], y[ok]
             for s in range(0, len(x), 20_000):
                 v, w = x[s:s + 20_000], y[s:s + 20_000]
@@ -208,15 +223,24 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
         return np.sort(np.concatenate(found), axis=1)
 
     def tasks(batches):
-        pairs, held = np.zeros((0, 2), np.int64), None
+        counted, fresh, waiting, held = np.zeros((0, 3), np.int64), [], 0, None
+
+        def merged():
+            pairs = np.concatenate([counted[:, :2], *fresh])
+            times = np.concatenate([counted[:, 2], np.ones(len(pairs) - len(counted), np.int64)])
+            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs, times = pairs[order], times[order]
+            at = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])[:len(pairs)])
+            return np.column_stack([pairs[at], np.add.reduceat(times, at)]) if len(at) else counted
 
         def add(more, flush=False):
-            nonlocal pairs
-            pairs = np.concatenate([pairs, more])
-            if flush or len(pairs) > KEPT_PAIRS:
-                pairs = np.unique(pairs, axis=0)
-            if flush or len(pairs) > KEPT_PAIRS // 2:
-                out, pairs = pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"]), pairs[:0]
+            nonlocal counted, fresh, waiting
+            fresh.append(more)
+            waiting += len(more)
+            if flush or waiting > KEPT_PAIRS // 2:
+                counted, fresh, waiting = merged(), [], 0
+            if flush or len(counted) > KEPT_PAIRS // 2:
+                out, counted = pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(k)) for k in counted.T], ["a", "b", "shared"]), counted[:0]
                 return [out]
             return []
 
@@ -228,15 +252,16 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
             held = part.slice(cuts[-1])  # its group may go on
             if cuts[-1]:
                 yield from add(of(part.slice(0, cuts[-1]), cuts))
-        yield from add(of(held, np.array([0, len(held)])) if held is not None else pairs[:0], flush=True)
+        yield from add(of(held, np.array([0, len(held)])) if held is not None else counted[:0, :2], flush=True)
 
     ordered = members.repartition("family", F.pmod("token", F.lit(SALTS)), "block").sortWithinPartitions("token", "block", "class")
-    return ordered.mapInArrow(tasks, "a long, b long")
+    return ordered.mapInArrow(tasks, "a long, b long, shared long")
 
 
 def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are similar enough, verified on the
-    exact sets."""
+    exact sets. Where ``pairs`` has ``shared``, the number of first shingles
+    that the two have in common, those with too few aren't looked at."""
     x = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     y = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
 
@@ -247,33 +272,44 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
             ok = np.flatnonzero(_enough(na, nb, np.minimum(p, q).sum(1)))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
-    sized = pairs.join(x, "a").join(y, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * NEED)
-    close = stage(sized.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bound, "a long, b long"), "jaccard-close")
-    used = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "class")
-    wanted = stage(classes.join(used, "class", "left_semi").select("class", "rep"), "jaccard-used")
-
-    def sets(batches):
-        for batch in batches:
-            rows = [(batch.column("class")[r].as_py(), hashes.tobytes()) for r, hashes in _per_text(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()), pa.array([h for _, h in rows], pa.binary())], ["class", "hashes"])
-
-    texts = whole_texts(docs).join(small(wanted), F.col("doc_id") == F.col("rep")).select("class", "text").mapInArrow(sets, "class long, hashes binary")
-    texts = stage(texts.dropDuplicates(["class"]), "jaccard-sets")
+    size = classes.select("class", "n")
+    sized = pairs.join(size.withColumnsRenamed({"class": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"class": "b", "n": "nb"}), "b")
+    sized = sized.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * NEED)
+    if "shared" in pairs.columns:
+        sized = sized.where(F.col("shared") >= _least_shared(F.col("na"), F.col("nb")))
+    sized = stage(sized.select("a", "b"), "jaccard-sized")
+    close = stage(sized.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bound, "a long, b long"), "jaccard-close")
+    release(sized)
+
+    # each pair is compared where its a is, in one of a's parts
+    parts = close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOME).alias("parts"))
+    homes = close.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("class"))
+    needed = homes.unionByName(homes.select("a", "part", F.col("a").alias("class"))).distinct()
+    needed = stage(needed.join(classes.select("class", "rep"), "class"), "jaccard-needed")
 
     def verify(batches):
+        home, mine = None, None
         for batch in batches:
-            keep = []
-            for k, (p, q) in enumerate(zip(batch.column("ha"), batch.column("hb"), strict=True)):
-                p, q = np.frombuffer(p.as_py(), np.uint64), np.frombuffer(q.as_py(), np.uint64)
-                both = np.concatenate([p, q])
-                both.sort()
-                if _enough(len(p), len(q), int((both[1:] == both[:-1]).sum())):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
-
-    joined = (close.join(texts.select(F.col("class").alias("a"), F.col("hashes").alias("ha")), "a")
-              .join(texts.select(F.col("class").alias("b"), F.col("hashes").alias("hb")), "b").select("a", "b", "ha", "hb"))
-    return stage(joined.mapInArrow(verify, "a long, b long"), "jaccard-links")
+            a, part, own = (batch.column(c).to_numpy() for c in ("a", "part", "class"))
+            found = []
+            for r, hashes in _per_text(batch):
+                if _class_of(hashes) != own[r]:
+                    continue  # another text of the same doc_id
+                if own[r] == a[r]:
+                    home, mine = (a[r], part[r]), hashes.copy()
+                elif home == (a[r], part[r]):
+                    both = np.concatenate([mine, hashes])
+                    both.sort()
+                    if _enough(len(mine), len(hashes), int((both[1:] == both[:-1]).sum())):
+                        found.append(r)
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(found, pa.int64())) for c in ("a", "class")], ["a", "b"])
+
+    texts = whole_texts(docs).join(small(needed), F.col("doc_id") == F.col("rep")).select("a", "part", "class", "text")
+    texts = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
+    links = stage(texts.mapInArrow(verify, "a long, b long").distinct(), "jaccard-links")
+    release(close)
+    release(needed)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -287,13 +323,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = whole_texts(docs).where(F.col("doc_id").isNotNull()).join(small(copies), "doc_id", "left_anti")
     group = Window.partitionBy("token")  # spills, so a hot shingle's rows needn't fit in memory
     entries = _prefix_rows(firsts, levels).withColumn("lead", F.min("class").over(group)).withColumn("last", F.max("class").over(group))
-    entries = stage(entries.where("lead != last").select("token", "class", "place", "lead").distinct(), "jaccard-entries")
+    entries = stage(entries.where("lead != last").select("token", "class", "lead").distinct(), "jaccard-entries")
 
     star = entries.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
     links = _links(docs, classes, star)
     found = components(links)
     labelled = entries.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    labelled = stage(labelled.select("token", "class", "place", "component"), "jaccard-labelled")
+    labelled = stage(labelled.select("token", "class", "component"), "jaccard-labelled")
     release(entries)
     # groups with several components
     groups = (labelled.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1"))
@@ -302,10 +338,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # block pair (i, j), i <= j, as one number; a class goes to each pair with its block
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "with"), F.greatest("mine", "with")
-    members = members.select("token", "family", "place", (low.cast("long") * F.col("blocks") + high).alias("block"), F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2).alias("side"),
+    members = members.select("token", "family", (low.cast("long") * F.col("blocks") + high).alias("block"), F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2).alias("side"),
                              "class", "component")
     points = classes.select("class", F.col("n"), "point")
-    more = stage(_tree_pairs(members.join(points, "class")).distinct(), "jaccard-pairs")
+    more = stage(_tree_pairs(members.join(points, "class")).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-pairs")
     release(labelled)
     links = links.unionByName(_links(docs, classes, more))
 
