@@ -62,3 +62,19 @@ def test_tree_paths():
     dump = "Forest\n  Tree 0 (weight 1.0):\n    If (feature 0 <= 2.5)\n     If (feature 0 <= 1.5)\n      Predict: 0.0\n     Else (feature 0 > 1.5)\n      Predict: 1.0\n    Else (feature 0 > 2.5)\n     Predict: 1.0\n"
     first = quality.STATS[0]
     assert set(quality.tree_rules(dump)) == {((first, True, 2.5),), ((first, True, 1.5),), ((first, False, 1.5), (first, True, 2.5)), ((first, False, 2.5),)}
+
+
+def test_fit_runs_few_tasks_a_job(spark):
+    """The sample's partitions don't follow those of the documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(64)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    tracker, group = spark.sparkContext.statusTracker(), "few tasks"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        quality.fit(docs, labels)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    wide = [s for s in stages if s and s.numTasks > 2 * quality.FIT_TASKS]
+    assert len(stages) > 50 and len(wide) < 10

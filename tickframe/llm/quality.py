@@ -30,12 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import whole_texts
+from .common import release, stage, whole_texts
 from .shingles import slices, utf8, word_hashes
 
 #: Labelled rows that a fit takes at most, those of smallest hash.
 FIT_ROWS = 20_000
 TREES, DEPTH, LASSO = 24, 4, 0.001
+#: Tasks of each of the fit's jobs. The sample is a few MB at most, whatever
+#: the number of files it came from.
+FIT_TASKS = 4
+#: Bytes of text whose statistics are counted at once.
+SLICE_BYTES = 1 << 19
 KEEP_SCORE = 0.7
 
 STATS = tuple(f"stat_{x}" for x in ("log_words", "word_bytes", "upper", "digit", "mark", "pipe", "bang", "stop", "unique", "repeat", "pair_repeat", "line_bytes", "control"))
@@ -96,7 +101,7 @@ def with_statistics(rows: DataFrame, returned: list[str]) -> DataFrame:
     def tasks(batches):
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 stats = statistics_of(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in returned), *(pa.array(np.ascontiguousarray(x)) for x in stats.T)],
                                                  [*returned, *STATS])
@@ -148,20 +153,27 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
+def _dealt(sample: DataFrame) -> DataFrame:
+    """``sample`` in few partitions: a fit runs hundreds of short jobs, each
+    with a task for every partition. Ordered, so that a model depends on the
+    rows alone."""
+    return sample.orderBy("label", *STATS).coalesce(FIT_TASKS)
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Rules:
     """Rules from labelled rows that are not held out: at most ``fit_rows``
     of them, those whose doc_id has the smallest hash."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    rows = with_statistics(whole_texts(docs).join(F.broadcast(chosen), "doc_id"), ["label"]).persist()
+    sample = stage(with_statistics(whole_texts(docs).join(F.broadcast(chosen), "doc_id"), ["label"]), "quality-sample")
+    rows = _dealt(sample).persist()
     try:
         sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
         if len(sizes) < 2:
             share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
             return Rules(math.log(share / (1 - share)), ())
-        few = rows.sparkSession.sparkContext.defaultParallelism
-        assembled = VectorAssembler(inputCols=list(STATS), outputCol="x").transform(rows.coalesce(few))
+        assembled = VectorAssembler(inputCols=list(STATS), outputCol="x").transform(rows)
         forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="onethird").fit(assembled)
         paths = tree_rules(forest.toDebugString)
         if not paths:
@@ -175,6 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Rules:
         return Rules(float(model.intercept), tuple((float(w), p) for w, p in zip(weights, paths, strict=True) if w))
     finally:
         rows.unpersist()
+        release(sample)
 
 
 def score(docs: DataFrame, rules: Rules) -> DataFrame:

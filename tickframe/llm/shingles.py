@@ -86,7 +86,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first[cuts] = inside[cuts]
     last[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last)
-    size = 1 << max(SLICE_BYTES.bit_length(), int(len(data)).bit_length())
+    size = 1 << max(19, int(len(data)).bit_length())  # few sizes, as they are kept
     up, down = _powers(size)
     total = np.zeros(len(data) + 1, _U)
     np.cumsum(_VALUES[data] * up[:len(data)], dtype=_U, out=total[1:])
