@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickframe.llm import decontaminate, lines
 from tickframe.llm.queries import QUERIES
@@ -112,6 +113,26 @@ def test_lines_of_few_words_with_one_replaced(spark, tmp_path):
     assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 1, 3: 1, 4: 0}
 
 
+def test_nothing_staged_has_more_rows_than_lines(spark, monkeypatch):
+    """Tokens of lines are never written out as rows."""
+    rows, write = {}, lines.stage
+    monkeypatch.setattr(lines, "stage", lambda df, name: (out := write(df, name), rows.update({name: out.count()}))[0])
+    base = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1:]]) + f"\nown {i} of these {i % 7}") for i in range(40)]
+    out = lines.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {i: n for i, (n, _) in brute_lines(docs, lines.THRESHOLD).items()} and out
+    assert rows and max(rows.values()) <= 80
+
+
+def test_plain_lines_differ_where_their_words_do(spark):
+    words = [*(chr(c) for c in (*range(0xA1, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00), *range(0x4E00, 0x4E80), *range(0x1F600, 0x1F640)) if not chr(c).isspace()), "É", "É9", "aé", "AÉ", "ãa", "日É"]
+    rows = spark.createDataFrame([(w,) for w in words], "text string").select("text", lines._plain(F.col("text")).alias("plain")).collect()
+    assert len({r.plain for r in rows}) == len({lower(w) for w in words})
+    assert {lower(a.text) == lower(b.text) for a in rows for b in rows if a.plain == b.plain} == {True}
+    mixed = spark.createDataFrame([("É\tB\r\x0bÜber",)], "text string").select(lines.tokens(lines._plain(F.col("text")))).first()[0]
+    assert len(mixed) == 3
+
+
 def test_texts_that_share_a_doc_id(spark):
     """Lines and postings of one text are never taken for another's."""
     docs = [(1, "hello world foo bar baz"), (2, "hello world foo bar baz\nx"), (2, "entirely unique sentence nobody repeats\ny"),

@@ -7,14 +7,16 @@ blank lines never. Equal lines are brought together by hash first; the first
 of each stands for all of them in the join.
 
 Tokens are ordered by rarity: by the level of their count (over all lines,
-in counters of hashed words), then longer words first. Two lines that are
+in counters of hashed words). Two lines that are
 similar share a token among the first ``n - ceil(threshold * n) + 1`` of
 each. Among lines with a common prefix token, a pair also has to pass the
-length filter and the positional filter, and the 64-bit sums of their tokens
-may not differ in more bits than similar lines in tokens. The join has two steps, so that a
+length filter and the positional filter, and of the bits that tell whether
+the tokens hashed to them are odd in number, no more may differ than similar
+lines differ in tokens. The join has two steps, so that a
 group of near copies isn't paired with itself: each line is verified with
-the earliest line of its token's group; only lines that remain without a
-partner are paired with all earlier lines of their groups. One earlier
+the earliest line of the groups of a few of its tokens; only lines that remain without a
+partner are paired with all earlier lines of the groups of all their prefix
+tokens, in a join whose two sides are one shuffle. One earlier
 partner is all a line needs, so the steps together lose none.
 
 All of it is DataFrame operations; only the counters, a fixed number, pass
@@ -29,8 +31,7 @@ there, follows the text).
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,20 +39,30 @@ from .common import release, small, stage
 from .spans import let
 
 THRESHOLD = 0.75
-COUNTERS = 1 << 16
+COUNTERS = 1 << 18
+#: Tokens by which a line meets the earliest of their groups.
+LEADS = 4
+#: Tokens up to which a line has one set of 64 bits.
+FEW = 56
+#: Line numbers in lists by document up to which the lists are broadcast.
+LISTED_LINES = 1_600_000
 
-_SPACE, _UPPER, _LOWER = "\t\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACE = "\t\x0b\x0c\r"
 
 
 def _plain(text: Column) -> Column:
-    """A-Z lower-cased, white space but line ends as spaces. ``lower`` does
-    the same for texts of ASCII alone, and faster."""
-    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.when(text.rlike("[\t\x0b\x0c\r]"), F.translate(low, _SPACE, " " * len(_SPACE))).otherwise(low)
+    """A-Z lower-cased, white space but line ends as spaces; for comparing
+    only. ``lower`` alone does it for ASCII. Other texts are read byte by byte
+    as Latin-1 first: of a letter's bytes ``lower`` can only change the first,
+    and as the others tell how many bytes it had, two letters stay two."""
+    low = F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(F.decode(text.cast("binary"), "ISO-8859-1")))
+    for space in _SPACE:
+        low = F.replace(low, F.lit(space), F.lit(" "))
+    return low
 
 
-def tokens(line: Column) -> Column:
-    return F.array_remove(F.split(_plain(line), " "), "")
+def tokens(plain: Column) -> Column:
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _counter(hashed: Column) -> Column:
@@ -61,18 +72,16 @@ def _counter(hashed: Column) -> Column:
 def rarity_levels(docs: DataFrame) -> list[int]:
     """log2 level of each counter's word count."""
     words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("token")).where("token != ''")
-    counts = words.groupBy(_counter(F.xxhash64("token")).alias("c")).count().collect()  # COUNTERS rows at most
-    levels = [0] * COUNTERS
-    for r in counts:
-        levels[r["c"]] = min(int(2 * math.log2(r["count"])), 126) + 1
-    return levels
+    counts = words.groupBy(_counter(F.xxhash64("token")).alias("c")).count().toArrow()  # COUNTERS rows at most
+    levels = np.zeros(COUNTERS, np.int64)
+    levels[counts["c"].to_numpy()] = np.minimum(2 * np.log2(counts["count"].to_numpy()), 126).astype(np.int64) + 1
+    return levels.tolist()
 
 
-def _lines(docs: DataFrame, text: Column | None = None) -> DataFrame:
-    text = F.col("text") if text is None else text
+def _lines(docs: DataFrame, text: Column, *more: str) -> DataFrame:
     lines = (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_FIRST), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")))
-    return lines.select("doc_id", (F.col("line_no") + F.col(_FIRST)).alias("line_no"), "line")
+             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_FIRST), *more, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")))
+    return lines.select("doc_id", (F.col("line_no") + F.col(_FIRST)).alias("line_no"), "line", *more)
 
 
 #: Number of a text's first line in its document.
@@ -94,26 +103,30 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
-    """(line_at, h, n, bits, prefix) of every line that isn't blank; ``line_at`` is its
-    place in the corpus as one number."""
-    levels = F.lit(bytes(rarity_levels(docs)))  # one byte a counter, below 128
-    low = F.lit((1 << 48) - 1)
-
-    def key(h, t):
-        level = F.ascii(F.substring(levels, _counter(h) + 1, F.lit(1)).cast("string")).cast("long")
-        return F.call_function("shiftleft", level, F.lit(56)) + F.lit(255 << 48) - F.shiftleft(F.least(F.length(t), F.lit(255)).cast("long"), 48) + h.bitwiseAND(low)
-
-    def of(words):
-        return let(F.transform(words, lambda t: F.xxhash64(t)), lambda hashes: of_hashes(words, hashes))
-
-    def of_hashes(words, hashes):
-        return let(F.sort_array(F.array_distinct(F.zip_with(hashes, words, key))), lambda keys: F.struct(
-            F.xxhash64(hashes).alias("h"), F.size(keys).alias("n"), F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(
-                F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
-            F.slice(keys, F.lit(1), (F.size(keys) - F.ceil(F.size(keys) * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
+    """(line_at, h, n, bits, half, prefix) of every line that isn't blank; ``line_at`` is its
+    place in the corpus as one number, ``h`` the hash of its set, a bit of
+    ``bits`` tells whether the tokens that hash to it are odd in number,
+    ``half`` the same for one half of the tokens, of lines with more than ``FEW``;
+    ``prefix`` has 31 bits of each token: a wrong match costs work, as lines are
+    verified on their words."""
+    levels = F.split(F.lit(",".join(map(str, rarity_levels(docs)))), ",").cast("array<long>")  # folded to one literal
+
+    def key(t):
+        h = F.xxhash64(t)
+        return F.call_function("shiftleft", F.get(levels, _counter(h)), F.lit(48)) + F.call_function("shiftrightunsigned", h, F.lit(16))
+
+    def bits(keys, of):
+        return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", of(k), k.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def of_keys(keys):
+        one = F.lit(1).cast("long")
+        half = F.when(F.size(keys) > FEW, bits(keys, lambda k: F.shiftright(k, 6).bitwiseAND(one))).otherwise(F.lit(0).cast("long"))
+        return F.struct(F.xxhash64(keys).alias("h"), F.size(keys).alias("n"), bits(keys, lambda k: one).alias("bits"), half.alias("half"),
+                        F.transform(F.slice(keys, F.lit(1), (F.size(keys) - F.ceil(F.size(keys) * threshold - 1e-9) + 1).cast("int")),
+                                    lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"))
 
     lines = _lines(docs, _plain(F.col("text"))).where(F.trim("line") != "")
-    return lines.select(_place(), let(F.array_remove(F.split("line", " "), ""), of).alias("k")).select("line_at", "k.*")
+    return lines.select(_place(), let(F.sort_array(F.array_distinct(F.transform(tokens(F.col("line")), key))), of_keys).alias("k")).select("line_at", "k.*")
 
 
 def _place() -> Column:
@@ -123,56 +136,77 @@ def _place() -> Column:
 
 
 def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Every line that isn't blank (line_at, h), and for each distinct line h
-    its first place, whether it occurs again, and whether an earlier line is
-    similar to it."""
+    """Every line that isn't blank (line_at, h), and for each distinct set of
+    tokens h its first place, whether it occurs again, and whether an earlier
+    line is similar to it."""
     wide = stage(_prefixes(docs, threshold), "lines-wide")
-    first = stage(wide.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
     every = stage(wide.select("line_at", "h"), "lines")
+    first = stage(wide.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "half", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
     release(wide)
-    entry = first.select(F.posexplode("prefix").alias("p", "token"), "line_at", "n", "bits")
-    group = Window.partitionBy("token")  # spills
-    entry = entry.withColumn("lead", F.min(F.struct("line_at", "n", "p", "bits")).over(group)).withColumn("last", F.max("line_at").over(group)).where("lead.line_at != last").drop("last")
+    distinct_lines = stage(first.select("h", "line_at", "again"), "lines-distinct")
 
-    def may_match(x: str, y: str) -> Column:
-        nx, ny, px, py, bx, by = (F.col(f"{s}{c}") for c in ("n", "p", "bits") for s in (x, y))
+    def close(x: str, y: str) -> Column:
+        nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
         differ = F.floor((nx + ny) * ((1 - threshold) / (1 + threshold)) + 1e-9)  # tokens in one line only, at most
-        need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
-        return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (1 + F.least(nx - px - 1, ny - py - 1) >= need) & (F.bit_count(bx.bitwiseXOR(by)) <= differ)
+        odd, half = (F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")) for c in ("bits", "half"))
+        halves = F.bit_count(half) + F.bit_count(odd.bitwiseXOR(half)) <= differ
+        return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (F.bit_count(odd) <= differ) & ((F.least(nx, ny) <= FEW) | halves)
 
-    entry = entry.where(F.col("line_at") != F.col("lead.line_at")).withColumn("other", F.when(may_match("", "lead."), F.col("lead.line_at")))
-    entry = stage(entry.drop("lead"), "lines-entries")
-    distinct_lines = stage(first.select("h", "line_at", "again"), "lines-distinct")
-    release(first)
-    with_lead = entry.where("other IS NOT NULL").select("line_at", "other").distinct()
-    staged_entry, entry = entry, entry.drop("other")
-    done = _verified(docs, stage(with_lead, "lines-pairs"), threshold)
-    left = entry.join(done, "line_at", "left_anti")
-    x = left.select("token", *(F.col(c).alias(f"x_{c}") for c in ("line_at", "n", "p", "bits")))
-    y = entry.select("token", *(F.col(c).alias(f"y_{c}") for c in ("line_at", "n", "p", "bits")))
-    pairs = x.join(y, "token").where(F.col("y_line_at") < F.col("x_line_at")).where(may_match("x_", "y_"))
+    some = F.slice(F.sort_array("prefix"), 1, LEADS)
+    group = Window.partitionBy("token")  # spills
+    entry = first.select(F.explode(some).alias("token"), "line_at", "n", "bits", "half").withColumn("lead", F.min(F.struct("line_at", "n", "bits", "half")).over(group))
+    entry = entry.where((F.col("line_at") != F.col("lead.line_at")) & close("", "lead."))
+    done = _verified(docs, stage(entry.select("line_at", F.col("lead.line_at").alias("other")).distinct(), "lines-pairs"), threshold)
+
+    # both sides of the join are one exchange: they have the same columns, and all
+    # that differs by side is left to its condition. A p below 0 marks what is done
+    done_at = F.col("done_at").isNotNull()
+    entry = first.join(small(done.withColumnRenamed("line_at", "done_at")), F.col("line_at") == F.col("done_at"), "left").select(
+        F.posexplode("prefix").alias("at", "token"), done_at.alias("is_done"), "line_at", "n", "bits", "half")
+    entry = entry.select("token", F.when(F.col("is_done"), -1 - F.col("at")).otherwise(F.col("at")).alias("p"), "line_at", "n", "bits", "half")
+    entry = entry.select(*(F.coalesce(c, F.lit(0)).alias(c) for c in entry.columns))
+    x, y = (entry.select(*(F.col(c).alias(f"{s}_{c}") for c in entry.columns)) for s in "xy")
+    nx, ny = F.col("x_n"), F.col("y_n")
+    px, py = (F.when(F.col(c) < 0, -1 - F.col(c)).otherwise(F.col(c)) for c in ("x_p", "y_p"))
+    need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
+    before = F.when(F.col("x_p") < 0, F.lit(-(1 << 63))).otherwise(F.col("x_line_at"))
+    may_match = (F.col("y_line_at") < before) & (1 + F.least(nx - px - 1, ny - py - 1) >= need) & close("x_", "y_")
+    pairs = x.join(y, (F.col("x_token") == F.col("y_token")) & may_match)
     pairs = stage(pairs.select(F.col("x_line_at").alias("line_at"), F.col("y_line_at").alias("other")).distinct(), "lines-pairs")
-    release(staged_entry)
+    release(first)
     rest = _verified(docs, pairs, threshold)
-    similar = done.unionByName(rest).distinct().withColumn("similar", F.lit(True))
+    similar = done.unionByName(rest).withColumn("similar", F.lit(True))  # no line is in both
     places = distinct_lines.join(similar, "line_at", "left").withColumnRenamed("line_at", "first_at")
-    return every.select("line_at", "h"), places.withColumn("similar", F.coalesce("similar", F.lit(False)))
+    return every, places.withColumn("similar", F.coalesce("similar", F.lit(False)))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The line_at of ``pairs`` (line_at, other; staged, read once) whose
-    lines are similar, on their distinct tokens' 64-bit hashes."""
-    used = stage(pairs.select("line_at").union(pairs.select("other")).distinct(), "lines-used")
-    texts = _lines(docs).select(_place(), "line").join(small(used), "line_at").select("line_at", F.array_distinct(F.transform(tokens(F.col("line")), lambda t: F.xxhash64(t))).alias("words"))
-    sets = stage(texts.dropDuplicates(["line_at"]), "lines-sets")
-    both = (pairs.join(sets, "line_at").withColumnRenamed("words", "mine").join(sets.select(F.col("line_at").alias("other"), F.col("words").alias("theirs")), "other"))
+    lines are similar. Texts move, not their tokens' hashes: they compress."""
+    used = pairs.select("line_at").union(pairs.select("other")).distinct()
+    used = stage(used.groupBy(F.shiftright("line_at", 24).alias("used_id")).agg(F.collect_set(_line_no()).alias("used_lines")), "lines-used")
+    within = docs.join(_small_lists(used, "used_lines"), F.col("doc_id").cast("long") == F.col("used_id"))
+    texts = _lines(within, _plain(F.col("text")), "used_lines").where(F.array_contains("used_lines", F.col("line_no"))).select(_place(), "line")
+    texts = stage(texts.dropDuplicates(["line_at"]), "lines-texts")
+    both = pairs.join(texts.withColumnsRenamed({"line_at": "other", "line": "theirs"}), "other").join(texts.withColumnRenamed("line", "mine"), "line_at")
+    both = both.select("line_at", *(F.array_distinct(tokens(F.col(c))).alias(c) for c in ("mine", "theirs")))
     common = F.size(F.array_intersect("mine", "theirs"))
     found = stage(both.where(common >= (F.size("mine") + F.size("theirs")) * (threshold / (1 + threshold)) - 1e-9).select("line_at").distinct(), "lines-similar")
-    for read in (pairs, used, sets):
+    for read in (pairs, used, texts):
         release(read)
     return found
 
 
+def _line_no() -> Column:
+    return F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1))
+
+
+def _small_lists(lists: DataFrame, column: str) -> DataFrame:
+    """As ``small``, for a staged table of lists: all their elements count."""
+    n = lists.select(F.sum(F.size(column))).first()[0] or 0
+    return F.broadcast(lists) if n <= LISTED_LINES else lists
+
+
 def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the lines removed, and ``n_lines`` and ``n_removed``."""
     columns = docs.columns
@@ -181,9 +215,9 @@ def remove_repeated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # lines that occur once and are like no other need no join
     places = places.where(F.col("again") | F.col("similar"))
     gone = every.join(small(stage(places, "lines-places")), "h").where(F.col("similar") | (F.col("line_at") != F.col("first_at")))
-    gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), F.col("line_at").bitwiseAND(F.lit((1 << 24) - 1)).alias("line_no"))
+    gone = gone.select(F.shiftright("line_at", 24).alias("removed_id"), _line_no().alias("line_no"))
     gone = stage(gone.groupBy("removed_id").agg(F.collect_set("line_no").alias("removed_lines")), "lines-removed")
-    joined = docs.join(gone, F.col("doc_id") == F.col("removed_id"), "left")
+    joined = docs.join(_small_lists(gone, "removed_lines"), F.col("doc_id") == F.col("removed_id"), "left")
     lines, first = F.split("text", "\n", -1), F.col(_FIRST)
     own = F.sequence(first, first + F.size(lines) - 1)
     rest = let(lines, lambda one: F.transform(F.array_except(own, F.col("removed_lines")), lambda i: F.element_at(one, (i - first + 1).cast("int"))))
