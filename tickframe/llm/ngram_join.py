@@ -14,7 +14,8 @@ of similar length, so documents meet only where they share a shingle among
 the first ``n - need + 1`` of a common order (rare shingles first, by
 counters over all documents); two documents that are similar enough always
 do. Equal sets are one class from the start. Classes that share a shingle
-are first verified with the smallest class of that shingle, and the links
+are first verified with the smallest class of that shingle, then twice with
+one more class, another for each shingle, if no link joins them yet, and the links
 found give components; only groups in which several components remain get
 an R-tree, which is asked for pairs across components. So a group of near
 copies costs about its size, and no link between components is lost. Groups
@@ -50,6 +51,8 @@ SALTS = 4
 KEPT_PAIRS = 1_000_000
 #: Bytes of text hashed at once.
 SLICE_BYTES = 1 << 19
+#: Times that classes are compared with one more of their shingles' classes before the R-tree is asked.
+TURNS = 2
 #: Pairs of one class that a group of ``_links`` compares.
 HOME = 64
 
@@ -327,9 +330,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     star = entries.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
     links = _links(docs, classes, star)
-    found = components(links)
-    labelled = entries.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    labelled = stage(labelled.select("token", "class", "component"), "jaccard-labelled")
+
+    def labelled_by(links: DataFrame) -> DataFrame:
+        labelled = entries.join(components(links).withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        return stage(labelled.select("token", "class", "component"), "jaccard-labelled")
+
+    labelled = labelled_by(links)
+    for turn in range(TURNS):
+        # another class of each group beyond a leaf, a different one for each shingle, and the classes not yet in its component
+        leads = labelled.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "class", F.lit(turn)).alias("order"), F.col("class").alias("lead"), F.col("component").alias("its"))).alias("l"),
+                                              F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("size"))
+        leads = leads.where("c0 != c1").where(F.col("size") > LEAF).select("token", "l.lead", "l.its")
+        across = labelled.join(leads, "token").where("component != its").select(F.greatest("class", "lead").alias("a"), F.least("class", "lead").alias("b")).distinct()
+        across = stage(across, "jaccard-across")
+        links = links.unionByName(_links(docs, classes, across))
+        release(across)
+        release(labelled)
+        labelled = labelled_by(links)
     release(entries)
     # groups with several components
     groups = (labelled.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1"))
