@@ -44,6 +44,9 @@ COUNTERS = 1 << 18
 LEADS = 4
 #: Tokens up to which a line has one set of 64 bits.
 FEW = 56
+#: Tokens up to which it has two.
+MANY = 120
+_BITS = ("bits", "half", "other", "both")
 #: Line numbers in lists by document up to which the lists are broadcast.
 LISTED_LINES = 1_600_000
 
@@ -103,10 +106,11 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
-    """(line_at, h, n, bits, half, prefix) of every line that isn't blank; ``line_at`` is its
+    """(line_at, h, n, bits, half, other, both, prefix) of every line that isn't blank; ``line_at`` is its
     place in the corpus as one number, ``h`` the hash of its set, a bit of
     ``bits`` tells whether the tokens that hash to it are odd in number,
     ``half`` the same for one half of the tokens, of lines with more than ``FEW``;
+    ``other`` for another half and ``both`` for what is in the two, of lines with more than ``MANY``;
     ``prefix`` has 31 bits of each token: a wrong match costs work, as lines are
     verified on their words."""
     levels = F.split(F.lit(",".join(map(str, rarity_levels(docs)))), ",").cast("array<long>")  # folded to one literal
@@ -120,8 +124,13 @@ def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
 
     def of_keys(keys):
         one = F.lit(1).cast("long")
-        half = F.when(F.size(keys) > FEW, bits(keys, lambda k: F.shiftright(k, 6).bitwiseAND(one))).otherwise(F.lit(0).cast("long"))
-        return F.struct(F.xxhash64(keys).alias("h"), F.size(keys).alias("n"), bits(keys, lambda k: one).alias("bits"), half.alias("half"),
+
+        def part(more: int, of) -> Column:
+            return F.when(F.size(keys) > more, bits(keys, of)).otherwise(F.lit(0).cast("long"))
+
+        half, other = (lambda k, at=at: F.shiftright(k, at).bitwiseAND(one) for at in (6, 7))
+        return F.struct(F.xxhash64(keys).alias("h"), F.size(keys).alias("n"), bits(keys, lambda k: one).alias("bits"), part(FEW, half).alias("half"),
+                        part(MANY, other).alias("other"), part(MANY, lambda k: half(k).bitwiseAND(other(k))).alias("both"),
                         F.transform(F.slice(keys, F.lit(1), (F.size(keys) - F.ceil(F.size(keys) * threshold - 1e-9) + 1).cast("int")),
                                     lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"))
 
@@ -141,20 +150,23 @@ def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     line is similar to it."""
     wide = stage(_prefixes(docs, threshold), "lines-wide")
     every = stage(wide.select("line_at", "h"), "lines")
-    first = stage(wide.groupBy("h").agg(F.min(F.struct("line_at", "n", "bits", "half", "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
+    first = stage(wide.groupBy("h").agg(F.min(F.struct("line_at", "n", *_BITS, "prefix")).alias("f"), (F.count(F.lit(1)) > 1).alias("again")).select("h", "again", "f.*"), "lines-first")
     release(wide)
     distinct_lines = stage(first.select("h", "line_at", "again"), "lines-distinct")
 
     def close(x: str, y: str) -> Column:
         nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
         differ = F.floor((nx + ny) * ((1 - threshold) / (1 + threshold)) + 1e-9)  # tokens in one line only, at most
-        odd, half = (F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")) for c in ("bits", "half"))
+        odd, half, other, both = (F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")) for c in _BITS)
         halves = F.bit_count(half) + F.bit_count(odd.bitwiseXOR(half)) <= differ
-        return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (F.bit_count(odd) <= differ) & ((F.least(nx, ny) <= FEW) | halves)
+        one, rest = other.bitwiseXOR(both), odd.bitwiseXOR(half)
+        quarters = F.bit_count(both) + F.bit_count(half.bitwiseXOR(both)) + F.bit_count(one) + F.bit_count(rest.bitwiseXOR(one)) <= differ
+        return ((F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (F.bit_count(odd) <= differ)
+                & ((F.least(nx, ny) <= FEW) | halves) & ((F.least(nx, ny) <= MANY) | quarters))
 
     some = F.slice(F.sort_array("prefix"), 1, LEADS)
     group = Window.partitionBy("token")  # spills
-    entry = first.select(F.explode(some).alias("token"), "line_at", "n", "bits", "half").withColumn("lead", F.min(F.struct("line_at", "n", "bits", "half")).over(group))
+    entry = first.select(F.explode(some).alias("token"), "line_at", "n", *_BITS).withColumn("lead", F.min(F.struct("line_at", "n", *_BITS)).over(group))
     entry = entry.where((F.col("line_at") != F.col("lead.line_at")) & close("", "lead."))
     done = _verified(docs, stage(entry.select("line_at", F.col("lead.line_at").alias("other")).distinct(), "lines-pairs"), threshold)
 
@@ -162,8 +174,8 @@ def similar_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     # that differs by side is left to its condition. A p below 0 marks what is done
     done_at = F.col("done_at").isNotNull()
     entry = first.join(small(done.withColumnRenamed("line_at", "done_at")), F.col("line_at") == F.col("done_at"), "left").select(
-        F.posexplode("prefix").alias("at", "token"), done_at.alias("is_done"), "line_at", "n", "bits", "half")
-    entry = entry.select("token", F.when(F.col("is_done"), -1 - F.col("at")).otherwise(F.col("at")).alias("p"), "line_at", "n", "bits", "half")
+        F.posexplode("prefix").alias("at", "token"), done_at.alias("is_done"), "line_at", "n", *_BITS)
+    entry = entry.select("token", F.when(F.col("is_done"), -1 - F.col("at")).otherwise(F.col("at")).alias("p"), "line_at", "n", *_BITS)
     entry = entry.select(*(F.coalesce(c, F.lit(0)).alias(c) for c in entry.columns))
     x, y = (entry.select(*(F.col(c).alias(f"{s}_{c}") for c in entry.columns)) for s in "xy")
     nx, ny = F.col("x_n"), F.col("y_n")
