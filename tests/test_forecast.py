@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tickframe.operators import sequence as sq
 from tickframe.operators import windows as wi
 from tickframe.operators.forecast import block_bounds, forecast_entities, walk_forward_timeline
-from tickframe.operators.lagstats import LagLayout
+from tickframe.operators.lagstats import LagLayout, solve_in_place
 from tickframe.specs import ForecastParams, SplitParams
 
 
@@ -32,6 +33,31 @@ def test_lag_sums_give_the_normal_equations(n_window, n_anchor, n_in, n_out):
     assert np.allclose(gram, x.T @ x) and np.allclose(cross, x.T @ y) and len(sums) == layout.size
 
 
+@pytest.mark.parametrize("n_window,n_anchor", [(1, 0), (1, 3), (3, 2)])
+def test_fits_by_rows_and_by_lag_sums_are_the_same(n_window, n_anchor):
+    """Few samples are solved by XX', many by X'X: the same coefficients."""
+    layout, rows = LagLayout(7, 3, n_window, n_anchor), np.random.default_rng(n_anchor).normal(size=(60, n_window + n_anchor))
+    counts = [0, 1, 8, 8, layout.samples(60)]
+    for m, got in zip(counts, layout.fit_rows(rows, counts, 1e-3), strict=True):
+        if m:
+            x = np.array([layout.features(rows, s + 6) for s in range(m)])
+            y = np.array([rows[s + 7:s + 10, 0] for s in range(m)])
+            want = np.linalg.solve(x.T @ x + 1e-3 * np.trace(x.T @ x) / layout.width * np.eye(layout.width), x.T @ y)
+            by_sums = layout.fit(layout.sums(rows, 0, m), rows[:9, :n_window], rows[m:m + 9, :n_window], 1e-3)
+            assert np.allclose(got, want) and np.allclose(by_sums, want)
+    assert layout.samples(9) == 0 and layout.fit_rows(rows, [0, 0, 0], 1e-3) == [None] * 3
+
+
+def test_solve_in_place_by_blocks():
+    g = np.random.default_rng(5)
+    x, y = g.normal(size=(40, 23)), g.normal(size=(23, 4))
+    for block in (1, 5, 23, 64):
+        assert np.allclose(solve_in_place(x.T @ x, y, block), np.linalg.solve(x.T @ x, y))
+    # not positive to rounding: solved in general
+    layout, assumed = LagLayout(1, 1, 1, 0), np.array([[1.0, 2.0], [2.0, 1.0]])
+    assert np.allclose(layout._ridge(lambda: (assumed.copy(), np.eye(2)), 0.0), np.linalg.inv(assumed))
+
+
 def brute(pdf, p, exog):
     """All models and predictions of one entity by plain matrices."""
     pdf = pdf.sort_values("Date").reset_index(drop=True)
@@ -89,6 +115,32 @@ def test_forecaster_equals_plain_matrices(spark, channels, chunk):
     assert out["D"].n_eval_days == 0 and out["D"].test_pct_err is None and out["A"].n_predicted_days > 0
 
 
+def test_by_default_every_channel_counts_on_every_day(spark, monkeypatch):
+    """The default looks at volume and statement measures on all days of a
+    window, as the reference does, and so does the registered query: not on
+    the anchor day alone."""
+    from tickframe.operators import forecast as fc
+    from tickframe.plans import registry
+
+    # A has more samples than features, B fewer
+    df, p = series(spark, {"A": 130, "B": 80}), ForecastParams(n_in=20, n_out=6, block=30, tail_forecast=3, tail_price=4)
+    _, details = forecast_entities(df, p, exog=["M"])
+    got = {(r.Instrument, r.block_start, r.h): r.predicted for r in details.collect()}
+    want = {(e, *k): day[3] for e, pdf in df.toPandas().groupby("Instrument")
+            for k, day in brute(pdf, replace(p, channels="window"), ["M"])[0].items()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    passed = []
+
+    def noted(rows, p, *args, **kw):
+        passed.append((p, kw["exog"]))
+        return forecast_entities(rows, ForecastParams(n_in=2, n_out=1, block=3, tail_forecast=1, tail_price=1), exog=["M"])
+
+    monkeypatch.setattr(fc, "forecast_entities", noted)
+    registry._entity_forecast(type("Given", (), {"countries": series(spark, {"A": 13})}))
+    (used, exog), = passed
+    assert (used.n_in, used.n_out, used.block, used.channels, len(exog)) == (360, 90, 180, "window", 10)
+
+
 def test_left_out_rows_are_counted(spark):
     bad = [("A", dt.date(2002, 1, 1), None, 1.0, 1.0), ("A", dt.date(2002, 1, 2), float("nan"), 1.0, 1.0),
            ("A", dt.date(2002, 1, 3), 1.0, float("inf"), 1.0), ("A", None, 1.0, 1.0, 1.0)]

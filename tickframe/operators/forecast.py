@@ -40,12 +40,13 @@ def walk_forward_naive(blocks: DataFrame, n_out: int, window: int, value: str =
 # from the reference's per-company LSTM.
 #
 # Features of an anchor day t: the entity's min-max scaled closes of days
-# t-n_in+1..t, its other scaled channels on day t or (channels="window") on
-# all of these days, and a bias; targets: scaled closes of days
-# t+1..t+n_out. The fit needs only X'X and X'Y, which follow from lagged
+# t-n_in+1..t, its other scaled channels on all of these days or
+# (channels="anchor") on day t alone, and a bias; targets: scaled closes of
+# days t+1..t+n_out. The fit needs only X'X and X'Y, which follow from lagged
 # products (``lagstats``): each block of rows emits its sums per scope
-# (train / +test / +val), Spark adds the vectors per entity, and one small
-# step per entity solves. Walk-forward evaluation uses the model of the
+# (train / +test / +val), Spark adds the vectors per entity, and one
+# step per entity solves; where an entity has fewer samples than features,
+# its rows go to that step instead, which solves the smaller XX'. Walk-forward evaluation uses the model of the
 # scope before each block, fed with the observed history, as the reference
 # does; a timeline of the evaluated days, made without any model, is what
 # predictions are joined to, so a day without a prediction shows as a null.
@@ -95,7 +96,7 @@ def _block_pass(layout: LagLayout, n_cols: int, rows_per_block: int, block: int)
     def one(name, number, base, ends, lo, hi, rows):
         first, last = number * rows_per_block, (number + 1) * rows_per_block - 1  # anchors of this block
         at = n_in - 1
-        for scope, end in enumerate(ends):
+        for scope, end in enumerate(ends if layout.samples(ends[-1]) > layout.width else ()):
             start, stop = max(first, at), min(last, end - 1 - n_out) + 1
             if start < stop:
                 sums = layout.sums(rows, start - n_in + 1 - base, stop - n_in + 1 - base)
@@ -120,30 +121,44 @@ def _block_pass(layout: LagLayout, n_cols: int, rows_per_block: int, block: int)
     return tasks
 
 
+_MODELS = ("Instrument string, scope int, n_samples long, coef array<double>, anchors "
+           "array<struct<split: string, block_start: long, feat: array<double>, lo: double, hi: double>>")
+
+
 def _solve(layout: LagLayout, ridge: float, channels: int):
     """Per entity: the models of the three scopes, each over all samples up
-    to its end. Input rows hold the summed lag sums by scope, the first rows
-    and the rows around each scope's end."""
+    to its end, with the anchors that each is to predict from. Input rows
+    hold the rows up to the last end where these make no more samples than
+    features; else the summed lag sums by scope, the first rows and the rows
+    around each scope's end."""
     span = layout.span
-    schema = pa.schema([("Instrument", pa.string()), ("scope", pa.int32()), ("n_samples", pa.int64()), ("coef", pa.list_(pa.float64()))])
+    anchor = pa.struct([("split", pa.string()), ("block_start", pa.int64()), ("feat", pa.list_(pa.float64())), ("lo", pa.float64()), ("hi", pa.float64())])
+    schema = pa.schema([("Instrument", pa.string()), ("scope", pa.int32()), ("n_samples", pa.int64()), ("coef", pa.list_(pa.float64())),
+                        ("anchors", pa.list_(anchor))])
+
+    def models(row):
+        edge = {r["seq"]: r["v"] for r in row["edge"]}
+        take = lambda first, n: np.array([edge[first + i] for i in range(n)]).reshape(n, channels)
+        ends = [row[x] for x in ("train_end", "test_end", "all_end")]
+        counts = [layout.samples(end) for end in ends]
+        if counts[-1] <= layout.width:
+            return list(zip(counts, layout.fit_rows(take(0, ends[-1]), counts, ridge), strict=True))
+        by_scope = {r["scope"]: r for r in row["stats"] or []}
+        total, n, out = np.zeros(layout.size), 0, []
+        for scope, end in enumerate(ends):
+            if scope in by_scope:
+                total, n = total + np.array(by_scope[scope]["sums"]), n + by_scope[scope]["n"]
+            head, tail = (take(first, span - 1)[:, :layout.n_window] if n else None for first in (0, end - span + 1))
+            out.append((n, layout.fit(total, head, tail, ridge) if n else None))
+        return out
 
     def tasks(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                edge = {r["seq"]: r["v"] for r in row["edge"]}
-                take = lambda first: np.array([edge[first + i] for i in range(span - 1)]).reshape(span - 1, channels)
-                by_scope = {r["scope"]: r for r in row["stats"] or []}
-                total, n, out = np.zeros(layout.size), 0, []
-                for scope, end in enumerate((row["train_end"], row["test_end"], row["all_end"])):
-                    if scope in by_scope:
-                        total, n = total + np.array(by_scope[scope]["sums"]), n + by_scope[scope]["n"]
-                    coef = None
-                    if n:
-                        gram, cross = layout.equations(total, take(0), take(end - span + 1))
-                        lam = ridge * max(np.trace(gram) / layout.width, 1e-12)
-                        coef = np.linalg.solve(gram + lam * np.eye(layout.width), cross).ravel()
-                    out.append({"Instrument": row["Instrument"], "scope": scope, "n_samples": n, "coef": coef})
-                yield pa.RecordBatch.from_pylist(out, schema)
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]  # one entity's numbers at a time
+                yield pa.RecordBatch.from_pylist([
+                    {"Instrument": row["Instrument"], "scope": scope, "n_samples": n, "coef": None if coef is None else coef.ravel(),
+                     "anchors": [x for x in row["anchors"] or [] if x["scope"] == scope]} for scope, (n, coef) in enumerate(models(row))], schema)
 
     return tasks
 
@@ -167,8 +182,8 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     history. ``n_eval_days`` and ``n_predicted_days`` count them.
 
     ``exog`` adds other columns' scaled values (the reference fed its model
-    ten statement measures): on the anchor day, or with
-    ``p.channels = "window"`` volume and exog on all ``n_in`` days. Rows with
+    ten statement measures): volume and exog on all ``n_in`` days, or with
+    ``p.channels = "anchor"`` on the anchor day alone. Rows with
     a null or a number that isn't finite in any used column are left out and
     counted (``rows_left_out``). ``chunk`` is the number of rows that a task
     handles at once. ``pct_denominator='prediction'`` reproduces the
@@ -216,22 +231,25 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
     stats = (passed.where(c("kind") == "stat").select(entity, "scope", "n", array_to_vector("sums").alias("sums"))
              .groupBy(entity, "scope").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(c("sums"))).alias("sums"))
              .groupBy(entity).agg(F.collect_list(F.struct("scope", "n", "sums")).alias("stats")))
-    # the rows at the start and before each scope's end
-    near = c("seq") < layout.span - 1
+    # the rows at the start and before each scope's end; all of them where
+    # they make no more samples than features, so a bounded number
+    near = (c("seq") < layout.span - 1) | ((c("all_end") - (layout.span - 1) <= layout.width) & (c("seq") < c("all_end")))
     for end in ends:
         near = near | ((c("seq") >= c(end) - layout.span + 1) & (c("seq") < c(end)))
-    window_cells = F.array(*[c(f"x{k}") for k in range(layout.n_window)])
-    edges = seq.where(near).groupBy(entity).agg(F.collect_list(F.struct("seq", window_cells.alias("v"))).alias("edge"),
+    row_cells = F.array(*[c(f"x{k}") for k in range(len(used))])
+    edges = seq.where(near).groupBy(entity).agg(F.collect_list(F.struct("seq", row_cells.alias("v"))).alias("edge"),
                                                 *[F.max(e).alias(e) for e in ends])
-    models = staged(stats.join(edges, entity).mapInArrow(_solve(layout, p.ridge, layout.n_window),
-                                                         "Instrument string, scope int, n_samples long, coef array<double>"), "forecast-models")
-
-    anchors = passed.where(c("kind") == "anchor").select(entity, "scope", "split", "block_start", "feat", "lo", "hi")
-    pred = anchors.join(models.where(c("coef").isNotNull()).select(entity, "scope", "coef"), [entity, "scope"])
-    pred = pred.withColumn("yhat", _predict_expr(layout.width, p.n_out, c("feat"), c("coef")))
-    steps = staged(pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), "lo", "hi")
-                   .select(entity, "split", "block_start", c("h").cast("long").alias("h"),
-                           (c("ps") * (c("hi") - c("lo")) + c("lo")).alias("predicted")), "forecast-steps")
+    anchors = (passed.where(c("kind") == "anchor").groupBy(entity)
+               .agg(F.collect_list(F.struct("scope", "split", "block_start", "feat", "lo", "hi")).alias("anchors")))
+    # anchors travel with their entity: coefficients (thousands by n_out, per
+    # scope) are used where they were solved, neither shuffled nor written
+    models = edges.join(stats, entity, "left").join(anchors, entity, "left").mapInArrow(_solve(layout, p.ridge, len(used)), _MODELS)
+    pred = models.select(entity, "scope", "n_samples", "coef", F.explode_outer("anchors").alias("a")).select(
+        entity, "scope", "n_samples", "coef", "a.*")
+    yhat = F.when(c("coef").isNotNull(), _predict_expr(layout.width, p.n_out, c("feat"), c("coef")))
+    pred = staged(pred.select(entity, "scope", "n_samples", "split", "block_start", yhat.alias("yhat"), "lo", "hi"), "forecast-predicted")
+    steps = pred.select(entity, "split", "block_start", F.posexplode("yhat").alias("h", "ps"), "lo", "hi").select(
+        entity, "split", "block_start", c("h").cast("long").alias("h"), (c("ps") * (c("hi") - c("lo")) + c("lo")).alias("predicted"))
     ent = seq.where(c("seq") == 0).select(entity, "n_rows")  # one row per entity, no shuffle
 
     # every evaluated day, with its prediction if there is one
@@ -250,7 +268,7 @@ def forecast_entities(series: DataFrame, p: ForecastParams = ForecastParams(),
               .groupBy(entity).agg(F.avg("predicted").alias("future_predicted_price")))
     recent = (seq.where(c("seq") >= c("n_rows") - p.tail_price)
               .groupBy(entity).agg(exact_avg("Price_Close").alias("recent_price")))
-    nsamp = models.where(c("scope") == 2).select(entity, "n_samples")
+    nsamp = pred.where(c("scope") == 2).select(entity, "n_samples")  # at most one anchor: the future's
     res = (ent.join(left_out, entity, "left").join(nsamp, entity, "left").join(metrics, entity, "left")
            .join(future, entity, "left").join(recent, entity, "left").fillna(0, ["n_eval_days", "n_predicted_days", "n_samples"]))
     res = res.withColumn("potential_upside", relative_upside("future_predicted_price", "recent_price"))

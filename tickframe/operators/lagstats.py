@@ -78,7 +78,73 @@ class LagLayout:
         gram[first_extra:, first_extra:] = square + np.triu(square, 1).T
         return gram, cross
 
+    def samples(self, end: int) -> int:
+        """How many samples lie in the first ``end`` rows."""
+        return max(end - self.span + 1, 0)
+
+    def fit(self, sums: np.ndarray, head: np.ndarray, tail: np.ndarray, ridge: float) -> np.ndarray:
+        """The ridge coefficients (features x labels) of these samples; the
+        penalty is ``ridge`` times the mean of the diagonal of X'X."""
+        return self._ridge(lambda: self.equations(sums, head, tail), ridge)
+
+    def fit_rows(self, rows: np.ndarray, counts, ridge: float) -> list:
+        """The same coefficients for the first ``m`` samples of ``rows``, for
+        each ``m`` of the rising ``counts`` (none for 0), by (XX' + l)^-1 Y:
+        the smaller system where samples are fewer than features. All share
+        one XX', as sample s+1 by t+1 differs from s by t in one row each."""
+        most, n_in = counts[-1], self.n_in
+        out = [None] * len(counts)
+        if not most:
+            return out
+        window, ends = rows[:most + n_in - 1, :self.n_window], np.column_stack([rows[n_in - 1:most + n_in - 1, self.n_window:], np.ones(most)])
+        along = window @ window.T
+        for s in range(1, len(along)):  # running sums down the diagonals
+            along[s, 1:] += along[s - 1, :-1]
+        both = along[n_in - 1:, n_in - 1:].copy()
+        both[1:, 1:] -= along[:most - 1, :most - 1]
+        del along
+        both += ends @ ends.T
+        steps = np.lib.stride_tricks.sliding_window_view
+        labels = steps(rows[n_in:most + self.span - 1, 0], self.n_out)
+        for k, m in enumerate(counts):
+            if m:
+                dual = self._ridge(lambda m=m: (both[:m, :m].copy(), labels[:m]), ridge)
+                inputs = [np.ascontiguousarray(steps(window[:m + n_in - 1, b], n_in)).T @ dual for b in range(self.n_window)]
+                out[k] = np.concatenate([*inputs, ends[:m].T @ dual])
+        return out
+
+    def _ridge(self, made, ridge: float) -> np.ndarray:
+        """Solve what ``made`` makes, X'X or XX' and a right side, penalised.
+        X'X and XX' have the same trace."""
+        def penalised():
+            a, y = made()
+            a.ravel()[::len(a) + 1] += ridge * max(np.trace(a) / self.width, 1e-12)
+            return a, y
+
+        try:
+            return solve_in_place(*penalised())
+        except np.linalg.LinAlgError:  # not positive, to rounding: a penalty of about nothing
+            return np.linalg.solve(*penalised())
+
     def features(self, rows: np.ndarray, anchor: int) -> np.ndarray:
         """The feature vector of the sample whose last input row is ``anchor``."""
         inputs = rows[anchor - self.n_in + 1:anchor + 1, :self.n_window].T.ravel()
         return np.concatenate([inputs, rows[anchor, self.n_window:], [1.0]])
+
+
+def solve_in_place(a: np.ndarray, y: np.ndarray, block: int = 256) -> np.ndarray:
+    """``x`` of ``a x = y`` for a positive definite ``a``, by a Cholesky
+    factor that is written over ``a``'s lower half, block by block: half the
+    work of a general solve, and no second matrix of ``a``'s size."""
+    cuts = [(k, min(k + block, len(a))) for k in range(0, len(a), block)]
+    for lo, hi in cuts:
+        a[lo:hi, lo:hi] = np.linalg.cholesky(a[lo:hi, lo:hi])
+        below = a[hi:, lo:hi] = np.linalg.solve(a[lo:hi, lo:hi], a[hi:, lo:hi].T).T
+        for k in range(0, len(below), block):
+            a[hi + k:, hi + k:hi + k + block] -= below[k:] @ below[k:k + block].T
+    x = y.copy()
+    for lo, hi in cuts:
+        x[lo:hi] = np.linalg.solve(a[lo:hi, lo:hi], x[lo:hi] - a[lo:hi, :lo] @ x[:lo])
+    for lo, hi in reversed(cuts):
+        x[lo:hi] = np.linalg.solve(a[lo:hi, lo:hi].T, x[lo:hi] - a[hi:, lo:hi].T @ x[hi:])
+    return x

@@ -74,9 +74,9 @@ class SplitParams:
 @dataclass(frozen=True)
 class ForecastParams:
     """Direct multi-horizon forecaster (reference: 360 in, 90 out, 180 blocks).
-    ``channels``: volume and further inputs on the ``anchor`` day only, or on
-    every day of the ``window`` as in the reference (12 channels make 4,321
-    features and a dense solve of that size per entity and scope)."""
+    ``channels``: volume and further inputs on every day of the ``window``,
+    as in the reference (12 channels make 4,321 features and a dense solve of
+    that size per entity and scope), or on its last, the ``anchor``, only."""
 
     n_in: int = 360
     n_out: int = 90
@@ -84,4 +84,4 @@ class ForecastParams:
     ridge: float = 1e-3
     tail_forecast: int = 45
     tail_price: int = 10
-    channels: str = "anchor"
+    channels: str = "window"
